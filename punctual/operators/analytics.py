@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from punctual.functions.parsing import clock_part, present
@@ -42,13 +42,9 @@ def value_shares(df: DataFrame, column: str) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Exact number of distinct values per column.
-
-    The combinations are reduced first, inside the map tasks, so the distinct
-    counts no longer see the flights themselves.
-    """
-    combinations = df.select(*columns).distinct()
-    return combinations.agg(*[F.count_distinct(c).alias(f"n_{c}") for c in columns])
+    """Exact number of distinct values per column, duplicates removed inside
+    the map tasks before anything is shuffled."""
+    return df.agg(*[F.count_distinct(c).alias(f"n_{c}") for c in columns])
 
 
 def overall_rate(df: DataFrame, label: str = LABEL) -> DataFrame:
@@ -104,85 +100,64 @@ def rate_uplift(
     return rates.withColumn("uplift", F.col("rate_when") - F.col("rate_against"))
 
 
+def _near_values(df: DataFrame, rows: int = 100) -> list[float]:
+    """A value of each column from the first rows, 0 where none is known."""
+    head = df.head(rows)
+    return [next((r[i] for r in head if r[i] is not None), 0.0) for i in range(len(df.columns))]
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS) -> DataFrame:
     """Pearson correlation of every column pair over rows where both are known.
 
-    One pass groups rows by which columns are known (a bit mask; one group when
-    nothing is missing, at most 2^k for k columns) and keeps counts, means and
-    centred moments, which stay exact for large means. The few group rows are
-    then merged per pair. A constant column has no correlation: NULL.
+    One pass groups rows by which columns are known (a bit mask: one group when
+    nothing is missing, at most 2^k for k columns) and sums values and
+    products, so that k(k+3)/2 sums serve all pairs. The few group rows are
+    then added up per pair. Values are taken relative to one seen in the data,
+    which keeps the sums accurate for large means. A constant column has no
+    correlation: NULL.
     """
-    known = df.select([present(F.col(c).cast("double")).alias(c) for c in columns])
-    mask = sum(
-        (F.when(F.col(c).isNotNull(), 1 << i).otherwise(0) for i, c in enumerate(columns)),
-        F.lit(0),
-    )
-    pairs = list(combinations_with_replacement(range(len(columns)), 2))
-    moments = [F.count("*").cast("double").alias("n")]
-    for i, c in enumerate(columns):
-        moments += [
-            F.avg(c).alias(f"mean_{i}"),
-            F.min(c).alias(f"low_{i}"),
-            F.max(c).alias(f"high_{i}"),
-            F.var_pop(c).alias(f"var_{i}"),
-        ]
-    moments += [
-        F.covar_pop(columns[i], columns[j]).alias(f"cov_{i}_{j}") for i, j in pairs if i != j
-    ]
-    groups = known.groupBy(mask.alias("mask")).agg(*moments)
-
-    def side(name: str, i: int) -> list[Column]:
-        return [F.col(f"{part}_{i}").alias(f"{part}_{name}") for part in ("mean", "low", "high", "var")]
-
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("i"),
-                F.lit(j).alias("j"),
-                F.lit((1 << i) | (1 << j)).alias("needs"),
-                *side("x", i),
-                *side("y", j),
-                F.col(f"var_{i}" if i == j else f"cov_{i}_{j}").alias("cov"),
-            )
-            for i, j in pairs
-        ]
-    )
-    per_group = (
-        groups.select("mask", "n", F.explode(entries).alias("e"))
-        .select("mask", "n", "e.*")
-        .where(F.col("mask").bitwiseAND(F.col("needs")) == F.col("needs"))
-    )
-    pair = Window.partitionBy("i", "j")
-    weight = F.sum("n").over(pair)
-    shifted = per_group.withColumns(
-        {
-            f"d_{s}": F.col(f"mean_{s}") - F.sum(F.col("n") * F.col(f"mean_{s}")).over(pair) / weight
-            for s in ("x", "y")
-        }
-    )
-
-    def merged(spread: str, a: str, b: str) -> Column:
-        return F.sum(F.col("n") * (F.col(spread) + F.col(a) * F.col(b)))
-
-    varies = (F.min("low_x") < F.max("high_x")) & (F.min("low_y") < F.max("high_y"))
-    spread = F.sqrt(merged("var_x", "d_x", "d_x")) * F.sqrt(merged("var_y", "d_y", "d_y"))
-    values = shifted.groupBy("i", "j").agg(
-        F.when(varies, F.try_divide(merged("cov", "d_x", "d_y"), spread)).alias("correlation")
-    )
-    names = F.array(*[F.lit(c) for c in columns])
-    # every pair of columns appears, also one that has no row in common
-    all_pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in pairs])
-    wanted = df.sparkSession.range(1).select(F.inline(all_pairs)).join(values, ["i", "j"], "left")
-    both_ways = F.array_distinct(
-        F.array(
-            F.struct(F.col("i").alias("a"), F.col("j").alias("b")),
-            F.struct(F.col("j").alias("a"), F.col("i").alias("b")),
+    known = df.select([present(F.col(c).cast("double")).alias(f"x{i}") for i, c in enumerate(columns)])
+    near = _near_values(known)
+    moved = known.select([(F.col(x) - F.lit(v)).alias(x) for x, v in zip(known.columns, near)])
+    size = range(len(columns))
+    pairs = list(combinations_with_replacement(size, 2))
+
+    mask = " + ".join(f"IF(x{i} IS NULL, 0, {1 << i})" for i in size)
+    sums = ["CAST(COUNT(*) AS DOUBLE) AS n"]
+    for i in size:
+        sums += [f"SUM(x{i}) AS s{i}", f"MIN(x{i}) AS low{i}", f"MAX(x{i}) AS high{i}"]
+    sums += [f"SUM(x{i} * x{j}) AS s{i}_{j}" for i, j in pairs]
+    groups = moved.groupBy(F.expr(mask).alias("mask")).agg(*map(F.expr, sums))
+
+    entries = ", ".join(
+        f"STRUCT({i} AS i, {j} AS j, {1 << i | 1 << j} AS needs, mask, n, s{i} AS sx, s{j} AS sy,"
+        f" s{i}_{i} AS sxx, s{j}_{j} AS syy, s{i}_{j} AS sxy,"
+        f" low{i} AS low_x, high{i} AS high_x, low{j} AS low_y, high{j} AS high_y)"
+        for i, j in pairs
+    )
+    totals = (
+        groups.selectExpr(f"INLINE(ARRAY({entries}))")
+        .where("mask & needs = needs")
+        .groupBy("i", "j")
+        .agg(
+            *[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")],
+            F.expr("MIN(low_x) < MAX(high_x) AND MIN(low_y) < MAX(high_y)").alias("varies"),
         )
     )
-    return wanted.select(F.explode(both_ways).alias("p"), "correlation").select(
-        F.get(names, F.col("p.a")).alias("feature_a"),
-        F.get(names, F.col("p.b")).alias("feature_b"),
-        "correlation",
+    values = totals.selectExpr(
+        "i",
+        "j",
+        "IF(varies, TRY_DIVIDE(n * sxy - sx * sy, SQRT(n * sxx - sx * sx) * SQRT(n * syy - sy * sy)),"
+        " NULL) AS r",
+    )
+    # every pair is listed, also one without a row in common
+    listed = ", ".join(f"STRUCT({i} AS i, {j} AS j)" for i, j in pairs)
+    wanted = df.sparkSession.range(1).selectExpr(f"INLINE(ARRAY({listed}))")
+    names = ", ".join(f"'{c}'" for c in columns)
+    return wanted.join(values, ["i", "j"], "left").selectExpr(
+        f"INLINE(ARRAY_DISTINCT(TRANSFORM(ARRAY(STRUCT(i AS a, j AS b), STRUCT(j AS a, i AS b)),"
+        f" p -> STRUCT(GET(ARRAY({names}), p.a) AS feature_a, GET(ARRAY({names}), p.b) AS feature_b,"
+        f" IF(r IS NULL, NULL, LEAST(1.0D, GREATEST(-1.0D, r))) AS correlation))))"
     )
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from punctual.operators import metrics
 from punctual.operators.features import delay_status, prepare
 from punctual.schema import SCORED_COLUMNS
-from punctual.session import ensure_checkpoint_dir
+from punctual.session import ensure_checkpoint_dir, spread
 from punctual.settings import DEFAULTS, Settings
 
 
@@ -125,7 +125,7 @@ def fit_trees(vectors: DataFrame, settings: Settings = DEFAULTS) -> GBTClassific
         seed=settings.seed,
         cacheNodeIds=True,
         checkpointInterval=settings.checkpoint_every,
-    ).fit(vectors.select("features", settings.label))
+    ).fit(spread(vectors.select("features", settings.label)))
 
 
 @dataclass(frozen=True)

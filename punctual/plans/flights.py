@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctual.functions import rules
-from punctual.schema import COLUMNS
+from punctual.schema import COLUMNS, typed_schema
+from punctual.session import scratch_folder, spread
 
 # Fixed values of the mapping: draw name -> (multiplier, increment, modulus).
 _DRAWS = {
@@ -24,6 +25,15 @@ _DRAWS = {
     "h8": (950706376, 17, 2147483647),
 }
 
+_LINE_COLUMNS = (
+    "l_orderkey",
+    "l_partkey",
+    "l_suppkey",
+    "l_linenumber",
+    "l_extendedprice",
+    "l_shipdate",
+)
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -118,3 +128,24 @@ def flights_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flights_from_lines(
         read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "part")
     )
+
+
+# Where this process wrote the table, per application and source folder.
+_WRITTEN: dict[tuple[str, str], str] = {}
+
+
+def flights_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same flights as columnar files, derived once per application.
+
+    The join and the hashes run once instead of in every query, and filters
+    and column choice then reach the files. (Pushed into the derivation, one
+    filter on the label would repeat the base hash some twenty times per row.)
+    The files lie in the shared folder, so a lost executor costs nothing.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _WRITTEN:
+        path = scratch_folder(spark, "flights")
+        lines = spread(read_table(spark, sf_dir, "lineitem").select(*_LINE_COLUMNS))
+        flights_from_lines(lines, read_table(spark, sf_dir, "part")).write.parquet(path)
+        _WRITTEN[key] = path
+    return spark.read.schema(typed_schema()).parquet(_WRITTEN[key])

@@ -11,7 +11,13 @@ from pyspark.sql import functions as F
 
 from punctual.functions import draws, parsing, rules
 from punctual.operators import analytics, features, learning, metrics, synthesis
-from punctual.plans.flights import flights_view, read_table, with_delay, with_draws
+from punctual.plans.flights import (
+    flights_table,
+    flights_view,
+    read_table,
+    with_delay,
+    with_draws,
+)
 from punctual.schema import (
     CATEGORICAL_FEATURES,
     COLUMNS,
@@ -50,26 +56,26 @@ _query(flights_view)
 @_query
 def scan_csv(spark, sf_dir):
     path = scratch_folder(spark, "csv")
-    files.write_flights_csv(flights_view(spark, sf_dir), path)
+    files.write_flights_csv(flights_table(spark, sf_dir), path)
     return files.read_flights_csv(spark, path)
 
 
 @_query
 def table_shape(spark, sf_dir):
-    return analytics.table_shape(flights_view(spark, sf_dir))
+    return analytics.table_shape(flights_table(spark, sf_dir))
 
 
 @_query
 def table_head(spark, sf_dir):
     ordered = ("flight_id", "date", "scheduled_departure", "distance_miles")
-    return features.first_rows(flights_view(spark, sf_dir), 5, *ordered)
+    return features.first_rows(flights_table(spark, sf_dir), 5, *ordered)
 
 
 @_query
 def feed_rows(spark, sf_dir):
     """CSV to keyed JSON, values read back as text."""
     path = scratch_folder(spark, "feed-csv")
-    files.write_flights_csv(flights_view(spark, sf_dir), path)
+    files.write_flights_csv(flights_table(spark, sf_dir), path)
     records = feed.keyed_records(files.read_feed_csv(spark, path), max_records=0)
     data = F.from_json("value", text_schema())
     return records.select("key", data.alias("data")).select("key", "data.*")
@@ -78,7 +84,7 @@ def feed_rows(spark, sf_dir):
 @_query
 def feed_key(spark, sf_dir):
     """Keys of full records, of records with an empty origin, and without the column."""
-    rows = flights_view(spark, sf_dir)
+    rows = flights_table(spark, sf_dir)
     blanked = rows.withColumn(
         "origin", F.when(F.col("weather_origin") == "Fog", "").otherwise(F.col("origin"))
     )
@@ -95,7 +101,7 @@ def feed_key(spark, sf_dir):
 @_query
 def time_features(spark, sf_dir):
     """Calendar and clock features, with unreadable dates and clocks mixed in."""
-    rows = flights_view(spark, sf_dir).withColumns(
+    rows = flights_table(spark, sf_dir).withColumns(
         {
             "date": F.when(F.col("carrier") == "Brand#13", "x").otherwise(F.col("date")),
             "scheduled_departure": F.when(F.col("weather_origin") == "Fog", "0615")
@@ -116,7 +122,7 @@ def time_features(spark, sf_dir):
 @_query
 def cast_numeric(spark, sf_dir):
     """Numbers that arrive as text, some of it unreadable."""
-    rows = flights_view(spark, sf_dir)
+    rows = flights_table(spark, sf_dir)
     text = rows.select(
         "flight_id",
         *[
@@ -131,7 +137,7 @@ def cast_numeric(spark, sf_dir):
 
 @_query
 def delayed_flights(spark, sf_dir):
-    return features.delayed_flights(flights_view(spark, sf_dir)).select(
+    return features.delayed_flights(flights_table(spark, sf_dir)).select(
         "flight_id", "departure_delay_minutes", "arrival_delay_minutes"
     )
 
@@ -147,7 +153,7 @@ def status_label(spark, sf_dir):
 @_query
 def valid_rows(spark, sf_dir):
     """Rows with all model numbers present, after NULLs and NaNs are mixed in."""
-    rows = features.prepare(flights_view(spark, sf_dir)).withColumns(
+    rows = features.prepare(flights_table(spark, sf_dir)).withColumns(
         {
             "temperature_origin": F.when(
                 F.col("weather_origin") != "Fog", F.col("temperature_origin")
@@ -194,7 +200,7 @@ def _departure_hour():
 @_query
 def delay_probability(spark, sf_dir):
     milli = rules.delay_probability_milli(F.col("weather_origin"), _departure_hour(), _is_hub())
-    return flights_view(spark, sf_dir).select(
+    return flights_table(spark, sf_dir).select(
         "flight_id", milli.cast("bigint").alias("prob_milli")
     )
 
@@ -206,7 +212,7 @@ def delay_minutes(spark, sf_dir):
 
 @_query
 def delay_label(spark, sf_dir):
-    return flights_view(spark, sf_dir).select(
+    return flights_table(spark, sf_dir).select(
         "flight_id", rules.delayed_label(F.col("departure_delay_minutes")).alias("label")
     )
 
@@ -223,7 +229,7 @@ def scheduled_arrival(spark, sf_dir):
     """Arrival clock after a flight time that grows with distance."""
     departure = F.col("scheduled_departure")
     minutes = F.floor(F.col("distance_miles") % 361) + 60
-    return flights_view(spark, sf_dir).select(
+    return flights_table(spark, sf_dir).select(
         "flight_id",
         rules.clock_after(
             parsing.clock_part(departure, 0), parsing.clock_part(departure, 1), minutes
@@ -235,7 +241,7 @@ def scheduled_arrival(spark, sf_dir):
 def date_arith(spark, sf_dir):
     day = parsing.flight_date(F.col("date"))
     ahead = (F.col("distance_miles") % 30).cast("int")
-    return flights_view(spark, sf_dir).select(
+    return flights_table(spark, sf_dir).select(
         "flight_id",
         F.date_add(day, ahead).alias("later"),
         F.datediff(day, F.lit("1995-01-01").cast("date")).alias("days_since"),
@@ -246,7 +252,7 @@ def date_arith(spark, sf_dir):
 @_query
 def round_weather(spark, sf_dir):
     """Rounding, flooring at a bound and truncation."""
-    return flights_view(spark, sf_dir).select(
+    return flights_table(spark, sf_dir).select(
         "flight_id",
         F.bround(F.col("temperature_origin") * F.lit(0.937), 1).alias("temperature"),
         F.greatest(F.lit(0.0), F.bround(F.col("wind_speed_origin") * F.lit(1.237) - 5, 1)).alias(
@@ -291,37 +297,37 @@ def synth_flights(spark, sf_dir):
 
 @_query
 def dataset_summary(spark, sf_dir):
-    return analytics.dataset_summary(flights_view(spark, sf_dir))
+    return analytics.dataset_summary(flights_table(spark, sf_dir))
 
 
 @_query
 def label_distribution(spark, sf_dir):
-    return analytics.value_shares(flights_view(spark, sf_dir), "is_delayed")
+    return analytics.value_shares(flights_table(spark, sf_dir), "is_delayed")
 
 
 @_query
 def distinct_counts(spark, sf_dir):
-    return analytics.distinct_counts(flights_view(spark, sf_dir), ["origin", "carrier"])
+    return analytics.distinct_counts(flights_table(spark, sf_dir), ["origin", "carrier"])
 
 
 @_query
 def overall_rate(spark, sf_dir):
-    return analytics.overall_rate(flights_view(spark, sf_dir))
+    return analytics.overall_rate(flights_table(spark, sf_dir))
 
 
 @_query
 def rate_by_carrier(spark, sf_dir):
-    return analytics.rate_by(flights_view(spark, sf_dir), "carrier")
+    return analytics.rate_by(flights_table(spark, sf_dir), "carrier")
 
 
 @_query
 def rate_by_hour(spark, sf_dir):
-    return analytics.rate_by_hour(flights_view(spark, sf_dir))
+    return analytics.rate_by_hour(flights_table(spark, sf_dir))
 
 
 @_query
 def rate_by_weather(spark, sf_dir):
-    return analytics.rate_by(flights_view(spark, sf_dir), "weather_origin")
+    return analytics.rate_by(flights_table(spark, sf_dir), "weather_origin")
 
 
 @_query
@@ -335,23 +341,23 @@ def rate_by_priority(spark, sf_dir):
 
 @_query
 def origin_stats(spark, sf_dir):
-    return analytics.origin_stats(flights_view(spark, sf_dir))
+    return analytics.origin_stats(flights_table(spark, sf_dir))
 
 
 @_query
 def top_origins(spark, sf_dir):
-    return analytics.top_origins(flights_view(spark, sf_dir), min_flights=600)
+    return analytics.top_origins(flights_table(spark, sf_dir), min_flights=600)
 
 
 @_query
 def correlation_matrix(spark, sf_dir):
-    return analytics.correlation_matrix(flights_view(spark, sf_dir)).withColumn(
+    return analytics.correlation_matrix(flights_table(spark, sf_dir)).withColumn(
         "correlation", F.round("correlation", 6)
     )
 
 
 def _delay_histogram(spark, sf_dir, column) -> DataFrame:
-    delayed = features.delayed_flights(flights_view(spark, sf_dir))
+    delayed = features.delayed_flights(flights_table(spark, sf_dir))
     return analytics.histogram(delayed, column)
 
 
@@ -370,18 +376,18 @@ def uplift_weather(spark, sf_dir):
     """Thunderstorms against calm weather."""
     kind = F.col("weather_origin")
     return analytics.rate_uplift(
-        flights_view(spark, sf_dir), kind == "Thunderstorm", kind.isin(*rules.CALM_WEATHER)
+        flights_table(spark, sf_dir), kind == "Thunderstorm", kind.isin(*rules.CALM_WEATHER)
     )
 
 
 @_query
 def uplift_peak(spark, sf_dir):
-    return analytics.rate_uplift(flights_view(spark, sf_dir), rules.is_peak(_departure_hour()))
+    return analytics.rate_uplift(flights_table(spark, sf_dir), rules.is_peak(_departure_hour()))
 
 
 @_query
 def uplift_hub(spark, sf_dir):
-    return analytics.rate_uplift(flights_view(spark, sf_dir), _is_hub())
+    return analytics.rate_uplift(flights_table(spark, sf_dir), _is_hub())
 
 
 # ---- predictions by rule and their quality ---------------------------------------------------
@@ -390,7 +396,7 @@ def uplift_hub(spark, sf_dir):
 def _rule_scored(spark, sf_dir) -> DataFrame:
     """Flights scored by the delay rule itself: a prediction other engines repeat."""
     milli = rules.delay_probability_milli(F.col("weather_origin"), _departure_hour(), _is_hub())
-    return flights_view(spark, sf_dir).select(
+    return flights_table(spark, sf_dir).select(
         "flight_id",
         "weather_origin",
         "is_delayed",
@@ -429,7 +435,7 @@ def recall_delayed(spark, sf_dir):
 
 
 def _prepared(spark, sf_dir) -> DataFrame:
-    return features.prepare(flights_view(spark, sf_dir))
+    return features.prepare(flights_table(spark, sf_dir))
 
 
 def _split(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
@@ -442,7 +448,7 @@ def split_counts(spark, sf_dir):
     bucket = learning.portable_bucket(F.col("flight_id"))
     side = F.when(bucket < CHECK_SETTINGS.train_percent, "train").otherwise("test")
     return (
-        flights_view(spark, sf_dir)
+        flights_table(spark, sf_dir)
         .groupBy(side.alias("side"))
         .agg(F.count("*").alias("n"), F.avg("is_delayed").alias("delay_rate"))
     )
@@ -451,7 +457,7 @@ def split_counts(spark, sf_dir):
 @_query
 def split_random(spark, sf_dir):
     """Sizes of Spark's own seeded split."""
-    train, test = learning.random_split(flights_view(spark, sf_dir))
+    train, test = learning.random_split(flights_table(spark, sf_dir))
     sides = train.select(F.lit("train").alias("side")).unionAll(test.select(F.lit("test").alias("side")))
     return sides.groupBy("side").agg(F.count("*").alias("n"))
 
@@ -581,7 +587,7 @@ def _drain(stream: DataFrame, checkpoint: str, out: str) -> None:
 def _through_stream(spark, sf_dir, transform) -> DataFrame:
     """Send all flights through the file twin of the feed and read the sink."""
     source, checkpoint, out = (scratch_folder(spark, p) for p in ("feed", "progress", "sink"))
-    _send(spark, flights_view(spark, sf_dir), source)
+    _send(spark, flights_table(spark, sf_dir), source)
     _drain(transform(feed.read_records(spark, "files", source)), checkpoint, out)
     return spark.read.parquet(out)
 
