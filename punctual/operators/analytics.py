@@ -147,8 +147,8 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS)
     values = totals.selectExpr(
         "i",
         "j",
-        "IF(varies, TRY_DIVIDE(n * sxy - sx * sy, SQRT(n * sxx - sx * sx) * SQRT(n * syy - sy * sy)),"
-        " NULL) AS r",
+        "CASE WHEN NOT varies THEN NULL WHEN i = j THEN 1.0D ELSE TRY_DIVIDE(n * sxy - sx * sy,"
+        " SQRT(n * sxx - sx * sx) * SQRT(n * syy - sy * sy)) END AS r",
     )
     # every pair is listed, also one without a row in common
     listed = ", ".join(f"STRUCT({i} AS i, {j} AS j)" for i, j in pairs)

@@ -112,8 +112,8 @@ def random_split(df: DataFrame, settings: Settings = DEFAULTS) -> tuple[DataFram
 def fit_trees(vectors: DataFrame, settings: Settings = DEFAULTS) -> GBTClassificationModel:
     """Gradient-boosted trees on assembled rows.
 
-    Node ids are cached between levels and checkpointed, which bounds both the
-    work per level of deep trees and the lineage of long runs.
+    Residuals are checkpointed every few trees, so that the lineage of a long
+    run stays short and a lost executor recomputes little.
     """
     ensure_checkpoint_dir(vectors.sparkSession)
     return GBTClassifier(
@@ -123,7 +123,6 @@ def fit_trees(vectors: DataFrame, settings: Settings = DEFAULTS) -> GBTClassific
         maxDepth=settings.depth,
         stepSize=settings.step_size,
         seed=settings.seed,
-        cacheNodeIds=True,
         checkpointInterval=settings.checkpoint_every,
     ).fit(spread(vectors.select("features", settings.label)))
 

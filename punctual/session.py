@@ -17,6 +17,10 @@ RECOMMENDED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Wide projections make generated methods that HotSpot never compiles
+    # (8,000 bytes of code); past that size Spark's split, interpreted-operator
+    # path is 3 to 13 times faster on the flight rules.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # building wide plans is several times faster without call-site capture
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

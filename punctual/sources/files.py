@@ -42,9 +42,24 @@ def read_flights_csv(spark: SparkSession, path: str, **options: str) -> DataFram
 
 def read_feed_csv(spark: SparkSession, path: str, **options: str) -> DataFrame:
     """Every column as text, empty fields as empty strings: the raw feed."""
-    names = _header(spark, path, **options)
-    rows = _read(spark, path, text_schema(names), **options)
-    return rows.select([F.coalesce(F.col(f"`{n}`"), F.lit("")).alias(n) for n in names])
+    return _filled(_read(spark, path, text_schema(_header(spark, path, **options)), **options))
+
+
+def _filled(rows: DataFrame) -> DataFrame:
+    return rows.select([F.coalesce(F.col(f"`{n}`"), F.lit("")).alias(n) for n in rows.columns])
+
+
+def stream_feed_csv(
+    spark: SparkSession, folder: str, max_files_per_trigger: int | None = None, **options: str
+) -> DataFrame:
+    """The raw feed as a stream of the folder's CSV files, as they arrive.
+
+    ``max_files_per_trigger`` with the interval of the query sets the pace.
+    """
+    limits = {"maxFilesPerTrigger": str(max_files_per_trigger)} if max_files_per_trigger else {}
+    chosen = {**_CSV, "enforceSchema": "false", **limits, **options}
+    schema = text_schema(_header(spark, folder, **options))
+    return _filled(spark.readStream.schema(schema).options(**chosen).csv(folder))
 
 
 def write_flights_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
