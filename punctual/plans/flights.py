@@ -100,7 +100,7 @@ def flights_from_lines(lineitem: DataFrame, part: DataFrame) -> DataFrame:
         F.concat_ws(
             "-", F.concat(F.lit("FL"), F.lpad(_text(F.col("l_orderkey")), 7, "0")), *ids
         ).alias("flight_id"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("date"),
+        _text(F.col("l_shipdate").cast("date")).alias("date"),
         F.col("p_brand").alias("carrier"),
         F.concat_ws("-", "p_brand", _text(F.col("h5") % 9900 + 100)).alias("flight_number"),
         _airport(F.col("l_suppkey")).alias("origin"),

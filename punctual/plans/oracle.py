@@ -383,6 +383,7 @@ FROM orders GROUP BY o_orderpriority""",
             f"SELECT CASE WHEN {_BUCKET} < 80 THEN 'train' ELSE 'test' END AS side, "
             "COUNT(*) AS n, AVG(is_delayed) AS delay_rate FROM flights GROUP BY 1"
         ),
+        "split_random": _flights("SELECT flight_id FROM flights"),
         "category_index": _by_category(f"SELECT *, {_POSITION} AS index FROM freq", "flights"),
         "onehot_width": _by_category(
             f"SELECT category, value, COUNT(*) OVER (PARTITION BY category) AS width, "

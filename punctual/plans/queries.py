@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import vector_to_array
@@ -25,7 +26,7 @@ from punctual.schema import (
     NUMERIC_FEATURES,
     text_schema,
 )
-from punctual.session import scratch_folder
+from punctual.session import scratch_folder, tune
 from punctual.settings import Settings
 from punctual.sources import feed, files
 from punctual.streaming import scoring
@@ -39,8 +40,13 @@ _QUERIES: dict[str, Query] = {}
 
 
 def _query(build: Query) -> Query:
-    _QUERIES[build.__name__] = build
-    return build
+    @wraps(build)
+    def tuned(spark, sf_dir):
+        tune(spark)
+        return build(spark, sf_dir)
+
+    _QUERIES[build.__name__] = tuned
+    return tuned
 
 
 def queries() -> dict[str, Query]:
@@ -170,7 +176,7 @@ def valid_rows(spark, sf_dir):
 def hour_of_event(spark, sf_dir):
     """The clock and JSON operators on the event table."""
     events = read_table(spark, sf_dir, "events")
-    clock = F.date_format("ts", "HH:mm")
+    clock = F.substring(F.col("ts").cast("string"), 12, 5)
     return events.select(
         "event_id",
         parsing.clock_part(clock, 0).alias("hour"),
@@ -456,10 +462,9 @@ def split_counts(spark, sf_dir):
 
 @_query
 def split_random(spark, sf_dir):
-    """Sizes of Spark's own seeded split."""
-    train, test = learning.random_split(flights_table(spark, sf_dir))
-    sides = train.select(F.lit("train").alias("side")).unionAll(test.select(F.lit("test").alias("side")))
-    return sides.groupBy("side").agg(F.count("*").alias("n"))
+    """Both sides of Spark's seeded split: together the whole table, once."""
+    train, test = learning.random_split(flights_table(spark, sf_dir).select("flight_id"))
+    return train.unionAll(test)
 
 
 def _category_values(df: DataFrame) -> DataFrame:

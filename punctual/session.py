@@ -12,15 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 # Nothing here fixes a degree of parallelism: adaptive execution starts from
 # the cluster's own shuffle setting, merges small partitions and splits skewed
 # ones at run time.
+TUNING = {
+    # Wide projections make generated methods that HotSpot never compiles
+    # (8,000 bytes of code); past that size Spark's split, interpreted-operator
+    # path is 3 to 13 times faster on the flight rules.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
 RECOMMENDED = {
+    **TUNING,
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # Wide projections make generated methods that HotSpot never compiles
-    # (8,000 bytes of code); past that size Spark's split, interpreted-operator
-    # path is 3 to 13 times faster on the flight rules.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
     # building wide plans is several times faster without call-site capture
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
@@ -38,6 +41,14 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> None:
+    """Apply the run-time settings to a session built elsewhere, except those it
+    has set itself."""
+    for key, value in TUNING.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+
+
 def _local_folder() -> str:
     path = tempfile.mkdtemp(prefix="punctual-")
     atexit.register(shutil.rmtree, path, ignore_errors=True)

@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from punctual.operators import features, learning
 from punctual.plans.flights import flights_table
-from punctual.schema import CATEGORICAL_FEATURES, NUMERIC_FEATURES, SCORED_COLUMNS
+from punctual.schema import CATEGORICAL_FEATURES, COLUMNS, NUMERIC_FEATURES, SCORED_COLUMNS
 from punctual.settings import Settings
+from punctual.sources import feed
+from punctual.streaming import scoring
 
 SMALL = Settings(trees=3, depth=3)
 
@@ -86,6 +88,17 @@ def test_scored_rows(prepared, model):
     assert scored.count() == prepared.count() and wrong.isEmpty()
 
 
+def test_stream_scores_equal_batch_scores(spark, prepared, model, tmp_path):
+    source, checkpoint, out = (str(tmp_path / n) for n in ("in", "progress", "out"))
+    feed.send_records(feed.keyed_records(prepared.select(*COLUMNS)), "files", source)
+    scored = scoring.score_records(feed.read_records(spark, "files", source), model)
+    scoring.run(scoring.write_stream(scored, checkpoint, "parquet", out, once=True))
+    streamed = spark.read.parquet(out)
+    batch = learning.scored_rows(model.score(prepared))
+    assert streamed.count() == batch.count()
+    assert streamed.exceptAll(batch).isEmpty()
+
+
 def test_saved_model_scores_alike(prepared, model, tmp_path):
     paths = str(tmp_path / "features"), str(tmp_path / "trees")
     for _ in range(2):  # saving again replaces
