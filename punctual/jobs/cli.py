@@ -168,7 +168,11 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
-    args = _parser().parse_args(argv)
+    parser = _parser()
+    args = parser.parse_args(argv)
+    streams = args.job == "predict" or getattr(args, "files_per_trigger", None)
+    if streams and not args.checkpoint:
+        parser.error("--checkpoint is needed to keep the progress of a stream")
     session = spark or build_session(f"punctual-{args.job}")
     try:
         args.run(session, args)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import QuantileDiscretizer
+import math
+
+from pyspark import StorageLevel
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -75,11 +78,12 @@ def area_under_roc(
 ) -> DataFrame:
     """Exact area under the ROC curve, ties counted half, as one row.
 
-    Rows are first reduced to one per score level. Levels are cut into
-    quantile ranges of about equal size; each range accumulates its own
-    levels in order, in parallel, and only the range totals, at most
-    ``ranges`` rows, are accumulated in one task. Any cut gives the same area,
-    so no score is rounded or binned.
+    Rows are first reduced to one per score level; these are kept while two
+    jobs read them, so the rows are scored once. Levels are cut into quantile
+    ranges of about equal size; each range accumulates its own levels in order,
+    in parallel, and only the range totals, at most ``ranges`` rows, are
+    accumulated in one task. Any cut gives the same area, so no score is
+    rounded or binned.
     """
     levels = (
         df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
@@ -88,14 +92,26 @@ def area_under_roc(
             F.count_if(F.col(label) == 1).alias("pos"),
             F.count_if(F.col(label) == 0).alias("neg"),
         )
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    cut = QuantileDiscretizer(
-        numBuckets=ranges, inputCol="score", outputCol="range", relativeError=0.1 / ranges
-    ).fit(levels.select("score"))
+    try:
+        shares = [i / ranges for i in range(1, ranges)]
+        inner = sorted(set(levels.approxQuantile("score", shares, 0.1 / ranges))) or [0.0]
+        cut = Bucketizer(
+            splits=[-math.inf, *inner, math.inf], inputCol="score", outputCol="range"
+        )
+        auc = _area(cut.transform(levels)).first().auc
+    finally:
+        levels.unpersist()
+    return df.sparkSession.range(1).select(F.lit(auc).cast("double").alias("auc"))
+
+
+def _area(levels: DataFrame) -> DataFrame:
+    """Share of (positive, negative) pairs in the right order, from the counts
+    per score level and the ranges the levels are cut into."""
     below = Window.partitionBy("range").orderBy("score")
     in_range = (
-        cut.transform(levels)
-        .withColumn("neg_below", F.sum("neg").over(below) - F.col("neg"))
+        levels.withColumn("neg_below", F.sum("neg").over(below) - F.col("neg"))
         .groupBy("range")
         .agg(
             F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / F.lit(2.0))).alias("area"),

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from itertools import combinations_with_replacement
 
+from punctual.operators.synthesis import CARRIERS, HUBS
 from punctual.schema import CATEGORICAL_FEATURES, COLUMNS, NUMERIC_COLUMNS, NUMERIC_FEATURES
 
 _WEATHER = """CASE WHEN {p} < 40 THEN 'Clear' WHEN {p} < 65 THEN 'Cloudy' WHEN {p} < 80 THEN 'Rain'
@@ -191,10 +192,8 @@ def _synthesis() -> str:
         angle = f"COS(6.283185307179586::DOUBLE * {u(b)})"
         return f"({mean}.0::DOUBLE + {spread}.0::DOUBLE * {radius} * {angle})"
 
-    carriers = "AA DL UA WN B6 AS NK F9 G4 HA SY QX YX OH MQ OO 9E YV".split()
-    hubs = "ATL LAX ORD DFW DEN JFK SFO SEA LAS MCO EWR CLT PHX IAH MIA BOS MSP FLL DTW PHL".split()
-    listed = ", ".join(f"'{c}'" for c in carriers)
-    hub_list = ", ".join(f"'{c}'" for c in hubs)
+    listed = ", ".join(f"'{c}'" for c in CARRIERS)
+    hub_list = ", ".join(f"'{c}'" for c in HUBS)
 
     def airport(i: str) -> str:
         letters = f"CONCAT('X', CHR(CAST(65 + ({i} - 20) // 26 AS INTEGER)), CHR(CAST(65 + ({i} - 20) % 26 AS INTEGER)))"

@@ -65,3 +65,9 @@ def test_class_never_predicted_scores_zero(spark):
 def test_missing_labels_are_left_out(spark):
     rows = spark.createDataFrame([(1.0, 1.0), (None, 1.0), (0.0, None)], "is_delayed double, prediction double")
     assert [tuple(r) for r in metrics.confusion(rows).collect()] == [(1.0, 1.0, 1)]
+
+
+def test_auc_of_one_level_and_of_no_rows(spark):
+    rows = spark.createDataFrame([(0.5, 1.0), (0.5, 0.0)], "score double, is_delayed double")
+    assert metrics.area_under_roc(rows).first().auc == 0.5
+    assert metrics.area_under_roc(rows.limit(0)).first().auc is None
