@@ -6,7 +6,7 @@ import math
 
 from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from punctual.schema import LABEL
@@ -26,17 +26,23 @@ def class_scores(counts: DataFrame) -> DataFrame:
 
     A class that is never predicted has precision 0.
     """
-    hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)
-    as_label = F.struct(F.col("label").alias("c"), F.col("n").alias("s"), F.lit(0).cast("bigint").alias("p"), hit.alias("h"))
-    as_guess = F.struct(F.col("prediction").alias("c"), F.lit(0).cast("bigint").alias("s"), F.col("n").alias("p"), F.lit(0).cast("bigint").alias("h"))
-    totals = (
-        counts.select(F.inline(F.array(as_label, as_guess)))
-        .groupBy(F.col("c").alias("class"))
-        .agg(
-            F.sum("s").alias("support"),
-            F.sum("p").alias("predicted"),
-            F.sum("h").alias("hits"),
+    n, none = F.col("n"), F.lit(0).cast("bigint")
+    hit = F.when(F.col("label") == F.col("prediction"), n).otherwise(none)
+
+    def part(of: str, support: Column, predicted: Column, hits: Column) -> Column:
+        return F.struct(
+            F.col(of).alias("class"),
+            support.alias("support"),
+            predicted.alias("predicted"),
+            hits.alias("hits"),
         )
+
+    # every count once under its label and once under its prediction
+    parts = F.array(part("label", n, none, hit), part("prediction", none, n, none))
+    totals = (
+        counts.select(F.inline(parts))
+        .groupBy("class")
+        .agg(*[F.sum(c).alias(c) for c in ("support", "predicted", "hits")])
     )
     hits = F.col("hits").cast("double")
 

@@ -95,7 +95,8 @@ def read_records(
     ``kind`` is ``kafka`` or ``files`` (a folder of Parquet files).
     """
     if kind == "kafka":
-        return spark.readStream.format("kafka").options(**kafka_source_options(settings, **kafka)).load()
+        options = kafka_source_options(settings, **kafka)
+        return spark.readStream.format("kafka").options(**options).load()
     if kind == "files":
         reader = spark.readStream.schema(RECORD_SCHEMA)
         if max_files_per_trigger:

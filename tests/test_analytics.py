@@ -52,7 +52,8 @@ def test_distinct_counts_leave_out_null(labelled):
 
 
 def test_top_origins(spark):
-    data = [(f"f{i}", o, float(i < d)) for o, n, d in (("A", 3, 1), ("B", 2, 2), ("C", 4, 2), ("D", 3, 1)) for i in range(n)]
+    origins = (("A", 3, 1), ("B", 2, 2), ("C", 4, 2), ("D", 3, 1))  # name, flights, delayed
+    data = [(f"f{i}", o, float(i < d)) for o, n, d in origins for i in range(n)]
     rows = spark.createDataFrame(data, "flight_id string, origin string, is_delayed double")
     best = analytics.top_origins(rows, min_flights=3, n=2)
     assert [(r.origin, r.total_flights) for r in best.collect()] == [("C", 4), ("A", 3)]

@@ -142,7 +142,13 @@ def _records(spark, values):
 
 
 def test_parse_takes_numbers_with_and_without_quotes(spark):
-    values = ['{"distance_miles": "12", "flight_id": "F1"}', '{"distance_miles": 12}', '{"distance_miles": "x"}', "not json", None]
+    values = [
+        '{"distance_miles": "12", "flight_id": "F1"}',
+        '{"distance_miles": 12}',
+        '{"distance_miles": "x"}',
+        "not json",
+        None,
+    ]
     parsed = scoring.parse_records(_records(spark, values))
     assert parsed.columns == list(COLUMNS)
     rows = parsed.collect()
