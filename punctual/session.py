@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,6 +51,7 @@ def tune(spark: SparkSession) -> None:
             spark.conf.set(key, value)
 
 
+@cache
 def _local_folder() -> str:
     path = tempfile.mkdtemp(prefix="punctual-")
     atexit.register(shutil.rmtree, path, ignore_errors=True)
