@@ -79,13 +79,12 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 @cache
-def _byte_values() -> np.ndarray:
+def _byte_values(salt: int) -> np.ndarray:
     """A 64-bit value for each byte, drawn from a fixed seed."""
-    return np.random.default_rng(20240607).integers(1, 2**64 - 1, 256, dtype=np.uint64)
+    return np.random.default_rng(20240607 + salt).integers(1, 2**64 - 1, 256, dtype=np.uint64)
 
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_UNBASE = pow(_BASE, -1, 2**64)
+_BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)  # odd, so they have inverses mod 2 ** 64
 
 
 @cache
@@ -95,17 +94,54 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span, equal spans alike wherever they stand."""
-    size = 1 << max(10, int(len(data)).bit_length())
-    terms = _byte_values()[data]
-    terms *= _powers(_BASE, size)[: len(data)]
-    prefix = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(terms, out=prefix[1:])
-    value = (prefix[ends] - prefix[starts]) * _powers(_UNBASE, size)[starts]
+def _rolling(terms: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: int) -> np.ndarray:
+    """Polynomial hash of stretches of ``terms``, equal stretches alike."""
+    size = 1 << max(10, len(terms).bit_length())
+    base = _BASES[salt]
+    prefix = np.zeros(len(terms) + 1, np.uint64)
+    np.cumsum(terms * _powers(base, size)[: len(terms)], out=prefix[1:])
+    value = (prefix[ends] - prefix[starts]) * _powers(pow(base, -1, 2**64), size)[starts]
     return mix64(value ^ (ends - starts).astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: int = 0) -> np.ndarray:
+    """64-bit hash of each byte span, equal spans alike wherever they stand."""
+    return _rolling(_byte_values(salt)[data], starts, ends, salt)
+
+
+def word_hashes(
+    bodies: list[bytes], salts: tuple[int, ...] = (0,), lower: bool = False, piece: int = 1 << 21
+) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Number of words per text, and the words' hashes one behind the other, one
+    array per salt. About ``piece`` bytes are held as arrays at a time."""
+    counts: list[np.ndarray] = []
+    hashes: list[list[np.ndarray]] = [[] for _ in salts]
+    at = 0
+    while at < len(bodies):
+        upto, size = at, 0
+        while upto < len(bodies) and (upto == at or size + len(bodies[upto]) < piece):
+            size += len(bodies[upto]) + 1
+            upto += 1
+        lengths = np.fromiter(map(len, bodies[at:upto]), np.int64, upto - at)
+        begins = np.cumsum(lengths + 1) - lengths - 1
+        data = np.frombuffer(b"\n".join(bodies[at:upto]) + b"\n", np.uint8)
+        data = lower_ascii(data) if lower else data
+        starts, ends = word_spans(data)
+        owner = np.searchsorted(begins, starts, side="right") - 1
+        counts.append(np.bincount(owner, minlength=upto - at))
+        for salt, held in zip(salts, hashes):
+            held.append(span_hashes(data, starts, ends, salt))
+        at = upto
+    if not counts:
+        return np.zeros(0, np.int64), [np.zeros(0, np.uint64) for _ in salts]
+    return np.concatenate(counts), [np.concatenate(h) for h in hashes]
+
+
+def run_hashes(words: np.ndarray, starts: np.ndarray, width: int, salt: int = 0) -> np.ndarray:
+    """Hash of the ``width`` words from each of ``starts``."""
+    return _rolling(words, starts, starts + width, salt)
+
+
 # ---- sorted keys as bytes ---------------------------------------------------------
 
 

@@ -42,5 +42,54 @@ JOIN lined l ON d.source IS NOT DISTINCT FROM l.source AND d.k = l.k
 """
 
 
+OP1_TOPK = """
+WITH v AS (
+  SELECT DISTINCT vec_id,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, q.e AS qe, c.vec_id,
+         CAST(coalesce(list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2])), 0)
+              AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(c.e) = len(q.e)
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (
+           PARTITION BY query_id, qe ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+OP7_REPEATS = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), windows AS (
+  SELECT r, i, array_to_string(w[i:i + 34], ' ') AS x
+  FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM docs WHERE len(w) >= 35)
+), repeated AS (
+  SELECT r, i FROM windows WHERE x IN (SELECT x FROM windows GROUP BY x HAVING count(*) > 1)
+), covered AS (
+  SELECT r, list(DISTINCT j) AS gone
+  FROM (SELECT r, unnest(range(i, i + 35)) AS j FROM repeated) GROUP BY r
+), cut AS (
+  SELECT doc_id, w, CASE WHEN gone IS NULL THEN w ELSE list_transform(
+           list_filter(range(1, len(w) + 1), lambda j: NOT list_contains(gone, j)),
+           lambda j: w[j]) END AS kept
+  FROM docs LEFT JOIN covered USING (r)
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - len(kept) AS BIGINT) AS n_removed,
+       sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256
+FROM cut
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_mixing": OP4_MIXING}
+    return {
+        "op1_topk": OP1_TOPK,
+        "op4_mixing": OP4_MIXING,
+        "op7_repeats": OP7_REPEATS,
+    }

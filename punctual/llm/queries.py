@@ -7,12 +7,30 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from punctual.llm import html_text, mixing, quality, sharding, tokens
+from punctual.llm import (
+    html_text,
+    mixing,
+    quality,
+    repeats,
+    sharding,
+    simhash,
+    tokens,
+    topk,
+    warc,
+)
 from punctual.llm.common import table
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.grouped(table(spark, sf_dir, "documents"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_digests(
         table(spark, sf_dir, "documents"),
@@ -25,6 +43,14 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf_dir, "documents"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(table(spark, sf_dir, "pages"))
+
+
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeat_digests(table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"), columns=["doc_id"])
 
@@ -38,7 +64,15 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        f.__name__: f
-        for f in (op3_bpe, op4_mixing, op8_quality, op9_sharding, op10_html)
-    }
+    operators = (
+        op1_topk,
+        op2_simhash,
+        op3_bpe,
+        op4_mixing,
+        op6_warc,
+        op7_repeats,
+        op8_quality,
+        op9_sharding,
+        op10_html,
+    )
+    return {f.__name__: f for f in operators}
