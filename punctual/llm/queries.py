@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from punctual.llm import (
     html_text,
     mixing,
+    ngram,
     quality,
     repeats,
     sharding,
@@ -43,6 +44,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf_dir, "documents"))
 
 
+def op5_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram.scored_texts(table(spark, sf_dir, "documents"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived_pages(table(spark, sf_dir, "pages"))
 
@@ -69,6 +74,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op2_simhash,
         op3_bpe,
         op4_mixing,
+        op5_ngram,
         op6_warc,
         op7_repeats,
         op8_quality,
