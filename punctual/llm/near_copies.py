@@ -1,0 +1,223 @@
+"""Near-copy removal on whole tables with SimHash fingerprints.
+
+Texts are near copies when the sets of their word shingles (five words,
+lower-cased in ASCII) have a Jaccard similarity of at least ``min_similarity``.
+Fingerprints of such texts differ in about ten of 64 bits at 0.8, far too many
+for agreeing on whole pieces of a fingerprint, so candidates meet by content:
+each distinct text is filed under some of its smallest shingle hashes, the rarest
+of those that another text shares. Two texts at 0.8 or above have most of their
+smallest hashes in common; that all ``key_sample`` of them miss has a chance of
+about 0.2 ** key_sample. Inside a bucket fingerprints are compared bit-sliced,
+within a radius four standard deviations beyond the one expected at the least
+similarity, and of each bucket a minimum spanning forest by distance is handed
+on. Its edges are then checked on the full shingle sets, so nothing is removed
+on a fingerprint's word alone. Checked edges form groups; of each group the row
+with the smallest id stays.
+
+Equal texts are one node throughout. Buckets beyond ``tile_rows`` texts are dealt
+over tiles, so that every two of their texts still meet in one task of bounded
+size.
+
+Edge cases: texts without words are copies of each other; texts shorter than a
+shingle are one shingle; rows equal in id and text count once; NULL ids are the
+last to stay; all columns pass through; an empty table gives no rows.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from punctual.llm.common import as_bytes, pack_sorted, regrouped, stored, unpack_sorted
+from punctual.llm.simhash import (
+    components,
+    majority,
+    near_pairs,
+    popcount,
+    shingle_hashes,
+    whole_buckets,
+)
+
+_CHUNK = 4 << 20
+
+
+def radius_for(similarity: float) -> int:
+    """Bits by which fingerprints at a Jaccard similarity differ, with a margin
+    of four standard deviations."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return min(30, math.ceil(64 * share + 4 * math.sqrt(64 * share * (1 - share))))
+
+
+def shingle_set(text: bytes, width: int) -> np.ndarray:
+    """Sorted distinct shingle hashes; a text without words has the empty one."""
+    hashes = shingle_hashes(text, width) or [0]
+    return np.unique(np.array(hashes, np.uint64))
+
+
+def _node(text: Column) -> Column:
+    return F.unhex(F.md5(F.coalesce(text.cast("binary"), F.lit(b""))))
+
+
+def _signatures(texts: DataFrame, width: int, key_sample: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in regrouped(batches, _CHUNK, "body"):
+            sets = [shingle_set(b, width) for b in as_bytes(part.column("body"))]
+            counts = np.fromiter(map(len, sets), np.int64, len(sets))
+            prints = majority(np.concatenate(sets), counts)
+            keys = [s[:key_sample].view(np.int64).tolist() for s in sets]
+            yield from pa.table(
+                [part.column("node"), pa.array(prints.view(np.int64)), pa.array(keys, pa.list_(pa.int64()))],
+                ["node", "fp", "keys"],
+            ).to_batches()
+
+    return texts.mapInArrow(run, "node binary, fp long, keys array<long>")
+
+
+def _candidates(
+    signatures: DataFrame, radius: int, keys_used: int, tile_rows: int
+) -> DataFrame:
+    """Edges between different texts that share a key and are near by fingerprint."""
+    filed = signatures.select("node", "fp", F.explode("keys").alias("key"))
+    shared = stored(
+        filed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "copies-keys"
+    )
+    rarest = Window.partitionBy("node").orderBy("n", "key")
+    met = filed.join(shared.withColumnRenamed("key", "of_key"), F.col("key") == F.col("of_key"))
+    chosen = stored(
+        met.withColumn("r", F.row_number().over(rarest))
+        .where(F.col("r") <= keys_used)
+        .select("node", "fp", "key", "n"),
+        "copies-filed",
+    )
+    tiles = F.ceil(F.col("n") / tile_rows)
+    own = F.pmod(F.xxhash64("node"), tiles)
+    pairs = F.transform(
+        F.sequence(F.lit(0).cast("bigint"), tiles - 1),
+        lambda other: F.xxhash64("key", F.least(own, other), F.greatest(own, other)),
+    )
+    buckets = chosen.select(F.explode(pairs).alias("bucket"), "fp", "node")
+    steps = sorted({r for r in (2, 6, 12) if r < radius} | {radius})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in whole_buckets(batches):
+            keys = part.column("bucket").to_numpy()
+            prints = part.column("fp").to_numpy().view(np.uint64)
+            a, b = spanning_forest(keys, prints, steps)
+            node = part.column("node")
+            yield from pa.table([node.take(pa.array(a)), node.take(pa.array(b))], ["a", "b"]).to_batches()
+
+    dealt = buckets.repartition("bucket").sortWithinPartitions("bucket")
+    edges = dealt.mapInArrow(run, "a binary, b binary")
+    return edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
+def spanning_forest(
+    buckets: np.ndarray, prints: np.ndarray, steps: list[int]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that join the members of each bucket at rising radii, at most one
+    fewer than members; near pairs are preferred to far ones."""
+    label = np.arange(len(buckets))
+    ends: tuple[list, list] = ([], [])
+
+    def roots(x: np.ndarray) -> np.ndarray:
+        while True:
+            up = label[x]
+            if np.array_equal(up, x):
+                return x
+            x = up
+
+    for radius in steps:
+        for a, b in near_pairs(buckets, prints, radius):
+            near = np.argsort(popcount(prints[a] ^ prints[b]), kind="stable")
+            a, b = a[near], b[near]
+            while len(a):
+                ra, rb = roots(a), roots(b)
+                apart = ra != rb
+                a, b, ra, rb = a[apart], b[apart], ra[apart], rb[apart]
+                high, low = np.maximum(ra, rb), np.minimum(ra, rb)
+                _, first = np.unique(high, return_index=True)
+                label[high[first]] = low[first]
+                ends[0].append(a[first])
+                ends[1].append(b[first])
+            label = label[label]
+    empty = np.zeros(0, np.int64)
+    return tuple(np.concatenate(e) if e else empty for e in ends)
+
+
+def _verified(
+    edges: DataFrame, texts: DataFrame, width: int, min_similarity: float
+) -> DataFrame:
+    """The edges whose shingle sets are similar enough."""
+    needed = edges.select(F.explode(F.array("a", "b")).alias("n")).distinct()
+    wanted = texts.join(needed, F.col("node") == F.col("n"), "left_semi").dropDuplicates(["node"])
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # 32 bits of a hash tell the shingles of two texts apart
+            found = [
+                pack_sorted(np.unique(shingle_set(b, width) >> np.uint64(32)))
+                for b in as_bytes(batch.column("body"))
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array(found, pa.binary())], names=["node", "shingles"]
+            )
+
+    known = stored(wanted.mapInArrow(sets, "node binary, shingles binary"), "copies-sets", "none")
+    of_a = known.select(F.col("node").alias("node_a"), F.col("shingles").alias("set_a"))
+    of_b = known.select(F.col("node").alias("node_b"), F.col("shingles").alias("set_b"))
+    joined = edges.join(of_a, F.col("a") == F.col("node_a")).join(of_b, F.col("b") == F.col("node_b"))
+
+    def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist())
+            good = []
+            for x, y in pairs:
+                x, y = unpack_sorted(x), unpack_sorted(y)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                good.append(both >= min_similarity * (len(x) + len(y) - both))
+            kept = batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+            yield kept
+
+    return joined.select("a", "b", "set_a", "set_b").mapInArrow(similar, "a binary, b binary")
+
+
+def without_near_copies(
+    docs: DataFrame,
+    width: int = 5,
+    min_similarity: float = 0.8,
+    key_sample: int = 16,
+    keys_used: int = 8,
+    tile_rows: int = 4096,
+) -> DataFrame:
+    """``docs`` with one row of each group of near copies."""
+    texts = docs.select(_node(F.col("text")).alias("node"), F.col("text").cast("binary").alias("body"))
+    signed = stored(_signatures(texts, width, key_sample), "copies-signed")
+    signatures = signed.dropDuplicates(["node"])
+    edges = stored(
+        _candidates(signatures, radius_for(min_similarity), keys_used, tile_rows), "copies-edges"
+    )
+    similar = stored(_verified(edges, texts, width, min_similarity), "copies-similar")
+    roots = stored(components(similar, "copies-stars"), "copies-roots")
+    narrow = docs.select("doc_id", _node(F.col("text")).alias("__node"))
+    rooted = narrow.join(roots, F.col("__node") == F.col("node"), "left").select(
+        "doc_id", "__node", F.coalesce("root", "__node").alias("root")
+    )
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "__node")).alias("s")
+    stays = stored(
+        rooted.groupBy("root")
+        .agg(first)
+        .select(F.col("s.doc_id").alias("__id"), F.col("s.__node").alias("__stays")),
+        "copies-stay",
+    )
+    marked = docs.withColumn("__node", _node(F.col("text")))
+    kept = marked.join(
+        stays,
+        (F.col("__node") == F.col("__stays")) & F.col("doc_id").eqNullSafe(F.col("__id")),
+        "left_semi",
+    )
+    return kept.dropDuplicates(["doc_id", "__node"]).select(*docs.columns)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -81,4 +82,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_sharding,
         op10_html,
     )
-    return {f.__name__: f for f in operators}
+    return {f.__name__: f for f in operators} | {"pipeline": corpus_pipeline.run}
