@@ -53,7 +53,7 @@ INLINE = frozenset(
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
-FURNITURE = frozenset(
+FURNITURE_TAGS = frozenset(
     """
     nav footer aside form button select option menu dialog label fieldset datalist legend optgroup
     output progress meter head frameset
@@ -79,7 +79,7 @@ MAIN_TAGS = frozenset(["article", "main"])
 class BlockRules:
     max_link_density: float = 0.33
     short_chars: int = 70
-    long_chars: int = 140
+    long_chars: int = 100
     stop_low: float = 0.10
     stop_high: float = 0.20
 
@@ -193,7 +193,7 @@ def blocks(page: str) -> list[Block]:
         junk = bool(parts & JUNK_NAMES) or (bool(rest) and bool(_HIDDEN.search(rest)))
         if name in ("html", "body"):
             junk = False
-        elif name in FURNITURE:
+        elif name in FURNITURE_TAGS:
             junk = True
         elif name == "header":
             junk = junk or not mains

@@ -46,7 +46,7 @@ _END = np.uint64(0x5851F42D4C957F2C)
 _START = np.uint64(0x14057B7EF767814E)
 _PAIR_A, _PAIR_B = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x369DEA0F31A53F85)
 BUCKETS = 48
-_GRID = 4  # steps per power of two in the histogram of held-out tokens
+_GRID = 16  # steps per power of two in the histogram of held-out tokens
 
 
 @dataclass(frozen=True)

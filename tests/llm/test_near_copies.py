@@ -1,0 +1,82 @@
+import numpy as np
+
+from punctual.llm import near_copies
+
+SCHEMA = "doc_id long, text string, node string, fp int"
+
+
+def shingles(text, width=5):
+    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").encode().split()
+    return frozenset(b" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1)))
+
+
+def survivors(rows, least=0.8):
+    sets = [shingles(r[1]) for r in rows]
+    up = list(range(len(rows)))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if both >= least * (len(a) + len(sets[j]) - both):
+                x, y = root(i), root(j)
+                up[max(x, y)] = min(x, y)
+    first = {}
+    for i, r in enumerate(rows):
+        key = (r[0] is None, r[0] or 0)
+        first[root(i)] = min(key, first.get(root(i), key))
+    return sorted(first.values())
+
+
+def kept(spark, rows, **knobs):
+    df = spark.createDataFrame(rows, SCHEMA)
+    out = near_copies.without_near_copies(df, **knobs)
+    assert out.columns == df.columns
+    return sorted((r.doc_id is None, r.doc_id or 0) for r in out.collect())
+
+
+def some_copies(n, seed=4):
+    rng = np.random.default_rng(seed)
+    base = [[f"w{rng.integers(3000)}" for _ in range(120)] for _ in range(12)]
+    rows = []
+    for i in range(n):
+        words = list(base[rng.integers(12)])
+        for _ in range(rng.integers(0, 4)):
+            words[rng.integers(len(words))] = f"x{rng.integers(1000)}"
+        rows.append((n - i, " ".join(words), "x", i))
+    return rows + [(10_000 + i, " ".join(f"u{rng.integers(9999)}" for _ in range(80)), "", 0) for i in range(30)]
+
+
+def test_equals_brute_force(spark):
+    rows = some_copies(200)
+    assert kept(spark, rows) == survivors(rows)
+
+
+def test_tiles_of_a_large_bucket_lose_nothing(spark):
+    rows = some_copies(150, seed=8)
+    assert kept(spark, rows, tile_rows=8) == survivors(rows)
+
+
+def test_edges(spark):
+    rows = [
+        (5, None, None, None),
+        (4, "", None, None),
+        (6, " \n", None, None),
+        (7, "one two", "a", 1),
+        (8, "ONE  two", "b", 1),
+        (None, "one two", "c", 1),
+        (None, "quite another text of this kind", "c", 1),
+        (9, "the same row twice over", "d", 2),
+        (9, "the same row twice over", "d", 2),
+        (9, "the same id with another text", "d", 2),
+        (11, "long " * 50_000, "e", 3),
+    ]
+    assert kept(spark, rows) == survivors(rows)
+
+
+def test_empty_table(spark):
+    assert kept(spark, []) == []
