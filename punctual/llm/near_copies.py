@@ -9,10 +9,11 @@ of those that another text shares. Two texts at 0.8 or above have most of their
 smallest hashes in common; that all ``key_sample`` of them miss has a chance of
 about 0.2 ** key_sample. Inside a bucket fingerprints are compared bit-sliced,
 within a radius four standard deviations beyond the one expected at the least
-similarity, and of each bucket a minimum spanning forest by distance is handed
-on. Its edges are then checked on the full shingle sets, so nothing is removed
-on a fingerprint's word alone. Checked edges form groups; of each group the row
-with the smallest id stays.
+similarity. Texts that are near another one meet again with their full shingle
+sets, and every near pair that is not joined yet is checked on them, so nothing
+is removed on a fingerprint's word alone and no near pair goes unchecked. What
+leaves a bucket is a spanning forest of checked pairs. They form groups; of each
+group the row with the smallest id stays.
 
 Equal texts are one node throughout. Buckets beyond ``tile_rows`` texts are dealt
 over tiles, so that every two of their texts still meet in one task of bounded
@@ -26,14 +27,14 @@ last to stay; all columns pass through; an empty table gives no rows.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from punctual.llm.common import as_bytes, pack_sorted, regrouped, stored, unpack_sorted
+from punctual.llm.common import as_bytes, regrouped, stored
 from punctual.llm.simhash import (
     components,
     majority,
@@ -78,112 +79,147 @@ def _signatures(texts: DataFrame, width: int, key_sample: int) -> DataFrame:
     return texts.mapInArrow(run, "node binary, fp long, keys array<long>")
 
 
-def _candidates(
-    signatures: DataFrame, radius: int, keys_used: int, tile_rows: int
-) -> DataFrame:
-    """Edges between different texts that share a key and are near by fingerprint."""
+def _filed(signatures: DataFrame, keys_used: int, tile_rows: int) -> DataFrame:
+    """Rows (bucket, fp, node): each text under its rarest shared keys."""
     filed = signatures.select("node", "fp", F.explode("keys").alias("key"))
     shared = stored(
         filed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "copies-keys"
     )
     rarest = Window.partitionBy("node").orderBy("n", "key")
     met = filed.join(shared.withColumnRenamed("key", "of_key"), F.col("key") == F.col("of_key"))
-    chosen = stored(
-        met.withColumn("r", F.row_number().over(rarest))
-        .where(F.col("r") <= keys_used)
-        .select("node", "fp", "key", "n"),
-        "copies-filed",
-    )
+    chosen = met.withColumn("r", F.row_number().over(rarest)).where(F.col("r") <= keys_used)
     tiles = F.ceil(F.col("n") / tile_rows)
     own = F.pmod(F.xxhash64("node"), tiles)
     pairs = F.transform(
         F.sequence(F.lit(0).cast("bigint"), tiles - 1),
         lambda other: F.xxhash64("key", F.least(own, other), F.greatest(own, other)),
     )
-    buckets = chosen.select(F.explode(pairs).alias("bucket"), "fp", "node")
-    steps = sorted({r for r in (2, 6, 12) if r < radius} | {radius})
+    return chosen.select(F.explode(pairs).alias("bucket"), "fp", "node")
+
+
+def _near_some(filed: DataFrame, radius: int) -> DataFrame:
+    """The rows that have another one of their bucket within the radius."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in whole_buckets(batches):
             keys = part.column("bucket").to_numpy()
-            prints = part.column("fp").to_numpy().view(np.uint64)
-            a, b = spanning_forest(keys, prints, steps)
-            node = part.column("node")
-            yield from pa.table([node.take(pa.array(a)), node.take(pa.array(b))], ["a", "b"]).to_batches()
+            near = np.zeros(len(keys), bool)
+            for a, b in near_pairs(keys, _prints(part), radius):
+                near[a] = True
+                near[b] = True
+            yield from part.filter(pa.array(near)).to_batches()
 
-    dealt = buckets.repartition("bucket").sortWithinPartitions("bucket")
-    edges = dealt.mapInArrow(run, "a binary, b binary")
-    return edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    dealt = filed.repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(run, "bucket long, fp long, node binary")
 
 
-def spanning_forest(
-    buckets: np.ndarray, prints: np.ndarray, steps: list[int]
-) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs that join the members of each bucket at rising radii, at most one
-    fewer than members; near pairs are preferred to far ones."""
-    label = np.arange(len(buckets))
-    ends: tuple[list, list] = ([], [])
+def _prints(part: pa.Table) -> np.ndarray:
+    return part.column("fp").to_numpy().view(np.uint64)
 
-    def roots(x: np.ndarray) -> np.ndarray:
-        while True:
-            up = label[x]
-            if np.array_equal(up, x):
-                return x
-            x = up
 
-    for radius in steps:
-        for a, b in near_pairs(buckets, prints, radius):
-            near = np.argsort(popcount(prints[a] ^ prints[b]), kind="stable")
-            a, b = a[near], b[near]
-            while len(a):
-                ra, rb = roots(a), roots(b)
-                apart = ra != rb
-                a, b, ra, rb = a[apart], b[apart], ra[apart], rb[apart]
-                high, low = np.maximum(ra, rb), np.minimum(ra, rb)
-                _, first = np.unique(high, return_index=True)
-                label[high[first]] = low[first]
-                ends[0].append(a[first])
-                ends[1].append(b[first])
-            label = label[label]
-    empty = np.zeros(0, np.int64)
-    return tuple(np.concatenate(e) if e else empty for e in ends)
-
-
-def _verified(
-    edges: DataFrame, texts: DataFrame, width: int, min_similarity: float
-) -> DataFrame:
-    """The edges whose shingle sets are similar enough."""
-    needed = edges.select(F.explode(F.array("a", "b")).alias("n")).distinct()
-    wanted = texts.join(needed, F.col("node") == F.col("n"), "left_semi").dropDuplicates(["node"])
+def _shingle_sets(texts: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """Shingle sets of the given nodes; 32 bits tell the shingles of two texts apart."""
+    wanted = texts.join(nodes.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left_semi")
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            # 32 bits of a hash tell the shingles of two texts apart
             found = [
-                pack_sorted(np.unique(shingle_set(b, width) >> np.uint64(32)))
+                np.unique(shingle_set(b, width) >> np.uint64(32)).astype("<u4").tobytes()
                 for b in as_bytes(batch.column("body"))
             ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array(found, pa.binary())], names=["node", "shingles"]
+                [batch.column("node"), pa.array(found, pa.binary())], names=["of", "shingles"]
             )
 
-    known = stored(wanted.mapInArrow(sets, "node binary, shingles binary"), "copies-sets", "none")
-    of_a = known.select(F.col("node").alias("node_a"), F.col("shingles").alias("set_a"))
-    of_b = known.select(F.col("node").alias("node_b"), F.col("shingles").alias("set_b"))
-    joined = edges.join(of_a, F.col("a") == F.col("node_a")).join(of_b, F.col("b") == F.col("node_b"))
+    return wanted.dropDuplicates(["node"]).mapInArrow(run, "of binary, shingles binary")
 
-    def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pairs = zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist())
-            good = []
-            for x, y in pairs:
-                x, y = unpack_sorted(x), unpack_sorted(y)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(both >= min_similarity * (len(x) + len(y) - both))
-            kept = batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-            yield kept
 
-    return joined.select("a", "b", "set_a", "set_b").mapInArrow(similar, "a binary, b binary")
+def _checked(near: DataFrame, sets: DataFrame, radius: int, min_similarity: float) -> DataFrame:
+    """Edges that join the similar texts of every bucket."""
+    steps = sorted({r for r in (2, 6, 12) if r < radius} | {radius})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in whole_buckets(batches, 1 << 15):
+            keys, blobs = part.column("bucket").to_numpy(), part.column("shingles")
+
+            def similar(i: int, j: int) -> bool:
+                x, y = (np.frombuffer(blobs[int(k)].as_py(), "<u4") for k in (i, j))
+                few, many = sorted((len(x), len(y)))
+                if few < min_similarity * many:
+                    return False
+                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+                both = int((y[at] == x).sum())
+                return both >= min_similarity * (len(x) + len(y) - both)
+
+            a, b = spanning_forest(keys, _prints(part), steps, similar)
+            node = part.column("node")
+            ends = [node.take(pa.array(x, pa.int64())) for x in (a, b)]
+            yield from pa.table(ends, ["a", "b"]).to_batches()
+
+    dealt = (
+        near.join(sets, F.col("node") == F.col("of"))
+        .select("bucket", "fp", "node", "shingles")
+        .repartition("bucket")
+        .sortWithinPartitions("bucket")
+    )
+    return dealt.mapInArrow(run, "a binary, b binary").distinct()
+
+
+def spanning_forest(
+    buckets: np.ndarray,
+    prints: np.ndarray,
+    steps: list[int],
+    similar: Callable[[int, int], bool],
+) -> tuple[list[int], list[int]]:
+    """Similar pairs that join the members of each bucket, near ones first.
+
+    Every pair within the last step's radius is either joined already or
+    checked. After the first step only members outside their bucket's largest
+    group still ask, since pairs inside it have nothing to add.
+    """
+    n = len(buckets)
+    label = np.arange(n)
+    ends: tuple[list[int], list[int]] = ([], [])
+
+    def roots(x: np.ndarray) -> np.ndarray:
+        while True:
+            up = label[x]
+            if np.array_equal(up, x):
+                return x
+            x = up
+
+    asking, done = None, -1
+    for radius in steps:
+        for a, b in near_pairs(buckets, prints, radius, asking=asking):
+            far = popcount(prints[a] ^ prints[b])
+            order = np.argsort(far, kind="stable")
+            order = order[far[order] > done]
+            a, b = a[order], b[order]
+            at, stride = 0, 64
+            while at < len(a):
+                ra, rb = roots(a[at : at + stride]), roots(b[at : at + stride])
+                for k in np.flatnonzero(ra != rb).tolist():
+                    i, j = int(a[at + k]), int(b[at + k])
+                    x, y = int(ra[k]), int(rb[k])
+                    while label[x] != x:
+                        x = int(label[x])
+                    while label[y] != y:
+                        y = int(label[y])
+                    if x != y and similar(i, j):
+                        label[max(x, y)] = min(x, y)
+                        ends[0].append(i)
+                        ends[1].append(j)
+                at += stride
+                stride = min(stride * 2, 1 << 14)
+        label = roots(np.arange(n))
+        done = radius
+        # the largest group of each bucket stops asking
+        root, size = np.unique(label, return_counts=True)
+        order = np.lexsort((size, buckets[root]))
+        home = buckets[root[order]]
+        largest = root[order][np.append(home[1:] != home[:-1], True)] if n else root
+        asking = ~np.isin(label, largest)
+    return ends
 
 
 def without_near_copies(
@@ -198,10 +234,10 @@ def without_near_copies(
     texts = docs.select(_node(F.col("text")).alias("node"), F.col("text").cast("binary").alias("body"))
     signed = stored(_signatures(texts, width, key_sample), "copies-signed")
     signatures = signed.dropDuplicates(["node"])
-    edges = stored(
-        _candidates(signatures, radius_for(min_similarity), keys_used, tile_rows), "copies-edges"
-    )
-    similar = stored(_verified(edges, texts, width, min_similarity), "copies-similar")
+    radius = radius_for(min_similarity)
+    near = stored(_near_some(_filed(signatures, keys_used, tile_rows), radius), "copies-near")
+    sets = stored(_shingle_sets(texts, near.select("node").distinct(), width), "copies-sets")
+    similar = stored(_checked(near, sets, radius, min_similarity), "copies-similar")
     roots = stored(components(similar, "copies-stars"), "copies-roots")
     narrow = docs.select("doc_id", _node(F.col("text")).alias("__node"))
     rooted = narrow.join(roots, F.col("__node") == F.col("node"), "left").select(

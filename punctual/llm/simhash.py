@@ -132,12 +132,18 @@ def _bit_planes(prints: np.ndarray, lane: np.ndarray, block_starts: np.ndarray)
 
 
 def near_pairs(
-    bucket: np.ndarray, prints: np.ndarray, radius: int, items: int = 1 << 17
+    bucket: np.ndarray,
+    prints: np.ndarray,
+    radius: int,
+    items: int = 1 << 17,
+    asking: np.ndarray | None = None,
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs (later, earlier) of the same bucket within ``radius`` bits.
 
     ``bucket`` must be ascending. Queries against blocks are taken ``items`` at
-    a time, each query against its own block and the ones before it.
+    a time, each query against its own block and the ones before it. With a
+    mask ``asking`` only those members are queries, against all others of their
+    bucket.
     """
     if radius > 30:
         raise ValueError("radius above 30 of 64 bits")
@@ -155,8 +161,12 @@ def near_pairs(
     planes = _bit_planes(prints, lane, block_starts)
     full = _ALL >> (np.uint64(64) - block_sizes)
 
-    need = (place >> 6) + 1  # blocks a member is compared with
+    # blocks a member is compared with: up to its own, or all of the bucket
+    last = own_block if asking is None else np.repeat(own_block[heads + sizes - 1], sizes)
+    need = last - np.repeat(own_block[heads], sizes) + 1
     need[np.repeat(sizes, sizes) == 1] = 0
+    if asking is not None:
+        need[~asking] = 0
     upto = np.cumsum(need)
     start = 0
     while start < n:
@@ -165,9 +175,10 @@ def near_pairs(
         counts = need[start:stop]
         query = np.repeat(np.arange(start, stop), counts)
         back = np.arange(len(query)) - np.repeat(np.cumsum(counts) - counts, counts)
-        block = own_block[query] - back
-        earlier = (np.uint64(1) << lane[query]) - np.uint64(1)
-        alive = np.where(back == 0, earlier, full[block])
+        block = last[query] - back
+        itself = np.uint64(1) << lane[query]
+        inside = itself - np.uint64(1) if asking is None else full[block] & ~itself
+        alive = np.where(block == own_block[query], inside, full[block])
         yield from _matches(query, block, alive, prints, planes, block_starts, radius)
         start = stop
 
@@ -245,7 +256,7 @@ def joined_labels(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.
 
 
 def whole_buckets(
-    batches: Iterator[pa.RecordBatch], most: int = 1 << 18
+    batches: Iterator[pa.RecordBatch], most: int = 1 << 18, most_bytes: int = 1 << 26
 ) -> Iterator[pa.Table]:
     """Tables of complete buckets from a stream sorted by ``bucket``."""
     held: list[pa.Table] = []
@@ -255,7 +266,7 @@ def whole_buckets(
             continue
         held.append(pa.Table.from_batches([batch]))
         rows += batch.num_rows
-        if rows < most:
+        if rows < most and sum(t.nbytes for t in held) < most_bytes:
             continue
         whole = pa.concat_tables(held)
         keys = whole.column("bucket").to_numpy()
