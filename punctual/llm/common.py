@@ -87,20 +87,25 @@ def _byte_values(salt: int) -> np.ndarray:
 _BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)  # odd, so they have inverses mod 2 ** 64
 
 
-@cache
+_LONGEST: dict[int, np.ndarray] = {}
+
+
 def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+    """The first ``n`` powers modulo 2 ** 64; the longest array asked for is kept."""
+    if len(_LONGEST.get(base, ())) < n:
+        out = np.full(1 << max(10, (n - 1).bit_length()), base, np.uint64)
+        out[0] = 1
+        _LONGEST[base] = np.multiply.accumulate(out)
+    return _LONGEST[base][:n]
 
 
 def _rolling(terms: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: int) -> np.ndarray:
     """Polynomial hash of stretches of ``terms``, equal stretches alike."""
-    size = 1 << max(10, len(terms).bit_length())
     base = _BASES[salt]
     prefix = np.zeros(len(terms) + 1, np.uint64)
-    np.cumsum(terms * _powers(base, size)[: len(terms)], out=prefix[1:])
-    value = (prefix[ends] - prefix[starts]) * _powers(pow(base, -1, 2**64), size)[starts]
+    np.cumsum(terms * _powers(base, len(terms)), out=prefix[1:])
+    undo = _powers(pow(base, -1, 2**64), len(terms) + 1)
+    value = (prefix[ends] - prefix[starts]) * undo[starts]
     return mix64(value ^ (ends - starts).astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
 
 
@@ -110,7 +115,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: in
 
 
 def word_hashes(
-    bodies: list[bytes], salts: tuple[int, ...] = (0,), lower: bool = False, piece: int = 1 << 21
+    bodies: list[bytes], salts: tuple[int, ...] = (0,), lower: bool = False, piece: int = 1 << 20
 ) -> tuple[np.ndarray, list[np.ndarray]]:
     """Number of words per text, and the words' hashes one behind the other, one
     array per salt. About ``piece`` bytes are held as arrays at a time."""

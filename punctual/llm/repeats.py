@@ -6,8 +6,8 @@ stretch of cells, the sorted list of cells it has hit. Merged over all batches
 the counts can only be too high, never too low. Cells hit twice go back to the
 batches that hit them, and a window all of whose cells are among them is
 estimated to be repeated. Second pass: only those windows are grouped, by a
-128-bit hash, and the ones that really occur twice go back to their batches.
-There the words they cover are removed.
+128-bit hash, and one bit per window says to its batch whether it really occurs
+twice. There the words that such windows cover are removed.
 
 The sketch grows with the number of windows (``cells_per_window``) and lies in
 stretches of bounded size over the cluster, so its error rate is the same for
@@ -171,18 +171,39 @@ def _merged(sketch: Sketch):
 
 # ---- second pass ------------------------------------------------------------------------
 
-_KEYS = "part long, batch string, first binary, second binary, twice binary"
+_KEYS = "part long, batch string, first binary, second binary, twice binary, places binary"
+
+
+def _ordered_keys(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (first, second) in order, and which of them each window has."""
+    order = np.lexsort((second, first))
+    a, b = first[order], second[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    which = np.empty(len(a), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return np.stack([a[new], b[new]]), which
+
+
+def _part_slices(first: np.ndarray, parts: int) -> list[tuple[int, slice]]:
+    """Stretches of sorted keys that belong to one part."""
+    if not len(first):
+        return []
+    part = ((first >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+    edges = np.flatnonzero(np.diff(part, prepend=part[:1] + np.uint64(1)))
+    return [(int(part[a]), slice(a, b)) for a, b in zip(edges, [*edges[1:], len(part)])]
 
 
 def _estimated(width: int, sketch: Sketch, parts: int):
-    """Keys of the windows of a batch that the sketch estimates to be repeated."""
+    """Keys of the windows of a batch that the sketch estimates to be repeated.
+    The windows' places travel with the first row and come back with its answer."""
 
     def run(batch: pa.Table, often: pa.Table) -> pa.Table:
-        out: dict[str, list] = {n: [] for n in ("part", "batch", "first", "second", "twice")}
+        out: list[tuple] = []
         if batch.num_rows and often.num_rows:
             bodies = as_bytes(from_blob(batch.column("body")[0].as_py()).column("__body"))
             found = windows_of(bodies, width)
-            likely = np.ones(len(found.first), bool)
+            likely = np.arange(len(found.first))
             rows = np.asarray(often.column("row"))
             numbers = np.asarray(often.column("stretch"))
             blobs = often.column("cells").to_pylist()
@@ -190,31 +211,18 @@ def _estimated(width: int, sketch: Sketch, parts: int):
                 mine = sorted((numbers[i], blobs[i]) for i in np.flatnonzero(rows == row))
                 cells = [unpack_sorted(b) + np.uint64(n * sketch.stretch) for n, b in mine]
                 known = np.concatenate(cells) if cells else np.zeros(0, np.uint64)
-                at = np.flatnonzero(likely)
-                likely[at] = _among(sketch.places(found.first[at], row), known)
-            keys = np.stack([found.first[likely], found.second[likely]], axis=1)
-            if len(keys):
-                order = np.lexsort((keys[:, 1], keys[:, 0]))
-                keys = keys[order]
-                new = np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)])
-                sizes = np.diff(np.concatenate([np.flatnonzero(new), [len(keys)]]))
-                keys = keys[new]
-                part = (keys[:, 0] >> np.uint64(40)) % np.uint64(parts)
-                name = batch.column("batch")[0].as_py()
-                for number in np.unique(part):
-                    own = part == number
-                    out["part"].append(int(number))
-                    out["batch"].append(name)
-                    out["first"].append(pack_sorted(keys[own, 0]))
-                    out["second"].append(pack_numbers(keys[own, 1]))
-                    out["twice"].append(pack_numbers(sizes[own] > 1))
-        return pa.table(
-            {
-                "part": pa.array(out["part"], pa.int64()),
-                "batch": pa.array(out["batch"], pa.string()),
-                **{n: pa.array(out[n], pa.binary()) for n in ("first", "second", "twice")},
-            }
-        )
+                likely = likely[_among(sketch.places(found.first[likely], row), known)]
+            keys, which = _ordered_keys(found.first[likely], found.second[likely])
+            twice = np.bincount(which, minlength=keys.shape[1]) > 1
+            name, places = batch.column("batch")[0].as_py(), pack_sorted(likely.astype(np.uint64))
+            for number, own in _part_slices(keys[0], parts):
+                first, second = pack_sorted(keys[0, own]), pack_numbers(keys[1, own])
+                out.append((number, name, first, second, pack_numbers(twice[own]), places))
+                places = None
+        columns = list(zip(*out)) or [()] * 6
+        types = [pa.int64(), pa.string(), *[pa.binary()] * 4]
+        names = ["part", "batch", "first", "second", "twice", "places"]
+        return pa.table([pa.array(c, t) for c, t in zip(columns, types)], names)
 
     return run
 
@@ -227,54 +235,44 @@ def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[at] == values
 
 
-_TRUE = "batch string, first binary, second binary"
+_TRUE = "part long, batch string, repeated binary, places binary"
 
 
-def _confirmed(keys: pa.Table) -> pa.Table:
-    """Of the keys of one part, those that occur twice or more, per batch."""
+def _confirmed(key: tuple, keys: pa.Table) -> pa.Table:
+    """For the keys of one part, batch by batch, whether they occur twice or more."""
     first = [unpack_sorted(b) for b in keys.column("first").to_pylist()]
     second = [unpack_numbers(b) for b in keys.column("second").to_pylist()]
     twice = [unpack_numbers(b) for b in keys.column("twice").to_pylist()]
-    a, b, n = np.concatenate(first), np.concatenate(second), np.concatenate(twice)
-    order = np.lexsort((b, a))
-    same = np.zeros(len(a), bool)
-    x, y = order[1:], order[:-1]
-    equal = (a[x] == a[y]) & (b[x] == b[y])
-    same[x[equal]] = True
-    same[y[equal]] = True
-    same |= n > 0
-    names, ones, twos, at = [], [], [], 0
-    for name, f, s in zip(keys.column("batch").to_pylist(), first, second):
-        good = same[at : at + len(f)]
-        at += len(f)
-        if good.any():
-            names.append(name)
-            ones.append(pack_sorted(f[good]))
-            twos.append(pack_numbers(s[good]))
+    _, which = _ordered_keys(np.concatenate(first), np.concatenate(second))
+    count = np.bincount(which, weights=np.concatenate(twice) + np.uint64(1))
+    ends = np.cumsum([len(f) for f in first])[:-1]
+    flags = [pack_numbers(f) for f in np.split(count[which] > 1, ends)]
     return pa.table(
         {
-            "batch": pa.array(names, pa.string()),
-            "first": pa.array(ones, pa.binary()),
-            "second": pa.array(twos, pa.binary()),
+            "part": pa.array([key[0].as_py()] * len(flags), pa.int64()),
+            "batch": keys.column("batch"),
+            "repeated": pa.array(flags, pa.binary()),
+            "places": keys.column("places"),
         }
     )
 
 
-def _covered(bodies: list[bytes], width: int, repeats: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+def _covered(bodies: list[bytes], width: int, answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Words per text, and which words lie in a repeated window."""
+    if not answers.num_rows:
+        counts = np.fromiter((len(b.split()) for b in bodies), np.int64, len(bodies))
+        return counts, np.zeros(int(counts.sum()), bool)
     found = windows_of(bodies, width)
-    total = int(found.counts.sum())
-    steps = np.zeros(total + 1, np.int64)
-    if repeats.num_rows:
-        first = np.concatenate([unpack_sorted(b) for b in repeats.column("first").to_pylist()])
-        second = np.concatenate([unpack_numbers(b) for b in repeats.column("second").to_pylist()])
-        maybe = np.flatnonzero(_among(found.first, np.unique(first)))
-        known = set(zip(first.tolist(), second.tolist()))
-        pairs = zip(found.first[maybe].tolist(), found.second[maybe].tolist())
-        good = np.fromiter((p in known for p in pairs), bool, len(maybe))
-        at = found.starts[maybe[good]]
-        np.add.at(steps, at, 1)
-        np.add.at(steps, at + width, -1)
+    places = next(p for p in answers.column("places").to_pylist() if p is not None)
+    likely = unpack_sorted(places).astype(np.int64)
+    _, which = _ordered_keys(found.first[likely], found.second[likely])
+    flags = answers.column("repeated").to_pylist()
+    order = np.argsort(np.asarray(answers.column("part")))
+    repeated = np.concatenate([unpack_numbers(flags[i]) for i in order]).astype(bool)
+    at = found.starts[likely[repeated[which]]]
+    steps = np.zeros(int(found.counts.sum()) + 1, np.int64)
+    steps[at] += 1
+    steps[at + width] -= 1
     return found.counts, np.cumsum(steps[:-1]) > 0
 
 
