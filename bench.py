@@ -33,7 +33,6 @@ HEADLINE = (
     "metrics",
     "category_index",
     "assembled",
-    "synth_flights",
     "scan_csv",
     "feed_rows",
     "stream_parse",

@@ -21,6 +21,12 @@ def number(text: Column) -> Column:
     return text.try_cast("double")
 
 
+def padded(value: Column, width: int) -> Column:
+    """A whole number as text, zero-padded to ``width``; longer ones keep all digits."""
+    text = value.cast("string")
+    return F.lpad(text, F.greatest(F.lit(width), F.length(text)), "0")
+
+
 def present(value: Column) -> Column:
     """A double with NaN read as missing, as data frames in Python do."""
     return F.nanvl(value, F.lit(None).cast("double"))

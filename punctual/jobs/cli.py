@@ -10,7 +10,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from punctual.operators import analytics, features, learning, synthesis
-from punctual.session import build_session
+from punctual.session import build_session, scratch_folder
 from punctual.settings import DEFAULTS, Settings
 from punctual.sources import feed, files
 from punctual.streaming import scoring
@@ -58,12 +58,19 @@ def reports(flights: DataFrame, settings: Settings = DEFAULTS) -> dict[str, Data
 def report(spark: SparkSession, args) -> None:
     """Show the descriptive tables, or write each to a folder."""
     flights = features.cast_numeric(_flights(spark, args))
+    if args.format == "csv":
+        # the text is parsed once; every report then reads only its columns
+        path = scratch_folder(spark, "report")
+        files.write_flights_parquet(flights, path)
+        flights = files.read_flights_parquet(spark, path)
     for title, table in reports(flights, _settings(args)).items():
         if args.output:
             table.write.mode("overwrite").parquet(f"{args.output}/{title.replace(' ', '_')}")
         else:
             print(title)
-            table.show(100, truncate=False)
+            print(*table.columns, sep="\t")
+            for row in table.toLocalIterator():
+                print(*row, sep="\t")
 
 
 def train(spark: SparkSession, args) -> None:
@@ -71,33 +78,61 @@ def train(spark: SparkSession, args) -> None:
     settings = _settings(args)
     flights = _flights(spark, args)
     analytics.dataset_summary(features.cast_numeric(flights), settings.label).show()
+    sides = learning.hash_split(features.prepare(flights), settings)
+    for name, side in zip(("train", "test"), sides):
+        print(f"{name} rows: {side.count()}")
     model, measured = learning.train_and_evaluate(flights, settings)
     measured.show(truncate=False)
     model.save(args.features_path, args.classifier_path)
 
 
 def send(spark: SparkSession, args) -> None:
-    """Deliver a CSV feed, at once or file by file at a steady interval."""
+    """Deliver a CSV feed: at once, file by file, or in batches of rows at a
+    steady pace. Ends after the last row unless told to follow the folder."""
     settings = _settings(args)
-    if args.files_per_trigger:
-        rows = files.stream_feed_csv(spark, args.input, args.files_per_trigger)
-        records = feed.keyed_records(rows)
-        kind = "kafka" if args.kind == "kafka" else "parquet"
-        scoring.run(
-            scoring.write_stream(
-                records, args.checkpoint, kind, args.path, args.interval, settings=settings
-            )
-        )
-    else:
+    if not _paced(args):
         records = feed.keyed_records(files.read_feed_csv(spark, args.input), args.max_records)
         feed.send_records(records, args.kind, args.path, settings)
+        return
+    interval = args.interval or settings.trigger_interval
+    if args.batch_size or args.max_records:
+        rows = feed.keyed_records(files.read_feed_csv(spark, args.input), args.max_records)
+        seconds = spark.sql(f"SELECT CAST(INTERVAL {interval} AS INTERVAL SECOND)").first()[0]
+        each = feed.records_per_trigger(
+            seconds.total_seconds(), args.batch_size or 100, args.delay or 0.1
+        )
+        staged = scratch_folder(spark, "paced")
+        feed.stage_records(rows, staged, each)
+        records = feed.read_records(
+            spark, "files", staged, max_files_per_trigger=args.files_per_trigger or 1
+        )
+    else:
+        rows = files.stream_feed_csv(spark, args.input, args.files_per_trigger)
+        records = feed.keyed_records(rows)
+    kind = "kafka" if args.kind == "kafka" else "parquet"
+    query = scoring.write_stream(
+        records, args.checkpoint, kind, args.path, interval, settings=settings
+    )
+    scoring.run(query, follow=args.follow)
+
+
+def _paced(args) -> bool:
+    return bool(args.files_per_trigger or args.batch_size)
 
 
 def predict(spark: SparkSession, args) -> None:
     """Score the live feed until stopped."""
     settings = _settings(args)
     model = learning.DelayModel.load(args.features_path, args.classifier_path)
-    records = feed.read_records(spark, args.kind, args.path, settings)
+    options = {
+        "starting_offsets": args.starting_offsets,
+        "fail_on_data_loss": args.fail_on_data_loss,
+        "max_offsets_per_trigger": args.max_offsets_per_trigger,
+        "min_partitions": args.min_partitions,
+    }
+    records = feed.read_records(
+        spark, args.kind, args.path, settings, **(options if args.kind == "kafka" else {})
+    )
     scored = scoring.score_records(records, model)
     scoring.run(
         scoring.write_stream(
@@ -156,6 +191,9 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument("--input", required=True)
     sub.add_argument("--max-records", type=int)
     sub.add_argument("--files-per-trigger", type=int, help="keep a pace instead of sending at once")
+    sub.add_argument("--batch-size", type=int, help="rows sent at once, every --delay seconds")
+    sub.add_argument("--delay", type=float, help="seconds between batches of rows")
+    sub.add_argument("--follow", action="store_true", help="wait for more after the last row")
     broker(sub)
 
     sub = job("predict", predict)
@@ -164,13 +202,17 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument("--sink", choices=["console", "parquet", "kafka"], default="console")
     sub.add_argument("--output")
     sub.add_argument("--once", action="store_true", help="handle what has arrived, then end")
+    sub.add_argument("--starting-offsets", default="latest")
+    sub.add_argument("--fail-on-data-loss", action="store_true")
+    sub.add_argument("--max-offsets-per-trigger", type=int)
+    sub.add_argument("--min-partitions", type=int, help="read a hot partition in several tasks")
     return parser
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     parser = _parser()
     args = parser.parse_args(argv)
-    streams = args.job == "predict" or getattr(args, "files_per_trigger", None)
+    streams = args.job == "predict" or (args.job == "feed" and _paced(args))
     if streams and not args.checkpoint:
         parser.error("--checkpoint is needed to keep the progress of a stream")
     session = spark or build_session(f"punctual-{args.job}")

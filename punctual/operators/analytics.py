@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from punctual.functions.parsing import clock_part, present
@@ -52,9 +52,9 @@ def overall_rate(df: DataFrame, label: str = LABEL) -> DataFrame:
 
 
 def _known(df: DataFrame, column: str) -> DataFrame:
-    if dict(df.dtypes)[column] == "double":
-        df = df.withColumn(column, present(F.col(column)))
-    return df.where(F.col(column).isNotNull())
+    # the plain test first: it reaches the files, the one for NaN does not
+    df = df.where(F.col(column).isNotNull())
+    return df.where(~F.isnan(column)) if dict(df.dtypes)[column] == "double" else df
 
 
 def rate_by(df: DataFrame, key: str, label: str = LABEL, by_key: bool = False) -> DataFrame:
@@ -100,55 +100,55 @@ def rate_uplift(
     return rates.withColumn("uplift", F.col("rate_when") - F.col("rate_against"))
 
 
-def _near_values(df: DataFrame, rows: int = 100) -> list[float]:
-    """A value of each column from the first rows, 0 where none is known."""
-    head = df.head(rows)
-    return [next((r[i] for r in head if r[i] is not None), 0.0) for i in range(len(df.columns))]
-
-
 def correlation_matrix(df: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS) -> DataFrame:
     """Pearson correlation of every column pair over rows where both are known.
 
     One pass groups rows by which columns are known (a bit mask: one group when
-    nothing is missing, at most 2^k for k columns) and sums values and
-    products, so that k(k+3)/2 sums serve all pairs. The few group rows are
-    then added up per pair. Values are taken relative to one seen in the data,
-    which keeps the sums accurate for large means. A constant column has no
+    nothing is missing, at most 2^k for k columns) and keeps means and
+    covariances, which stay accurate for large values. The few group rows are
+    merged per pair: covariances add up, with the products of how far each
+    group's means lie from those of the pair. A constant column has no
     correlation: NULL.
     """
     known = df.select([present(F.col(c).cast("double")).alias(f"x{i}") for i, c in enumerate(columns)])
-    near = _near_values(known)
-    moved = known.select([(F.col(x) - F.lit(v)).alias(x) for x, v in zip(known.columns, near)])
     size = range(len(columns))
     pairs = list(combinations_with_replacement(size, 2))
 
     mask = " + ".join(f"IF(x{i} IS NULL, 0, {1 << i})" for i in size)
-    sums = ["CAST(COUNT(*) AS DOUBLE) AS n"]
+    moments = ["CAST(COUNT(*) AS DOUBLE) AS n"]
     for i in size:
-        sums += [f"SUM(x{i}) AS s{i}", f"MIN(x{i}) AS low{i}", f"MAX(x{i}) AS high{i}"]
-    sums += [f"SUM(x{i} * x{j}) AS s{i}_{j}" for i, j in pairs]
-    groups = moved.groupBy(F.expr(mask).alias("mask")).agg(*map(F.expr, sums))
+        moments += [f"AVG(x{i}) AS m{i}", f"MIN(x{i}) AS low{i}", f"MAX(x{i}) AS high{i}"]
+    moments += [f"COVAR_POP(x{i}, x{j}) AS c{i}_{j}" for i, j in pairs]
+    groups = known.groupBy(F.expr(mask).alias("mask")).agg(*map(F.expr, moments))
 
     entries = ", ".join(
-        f"STRUCT({i} AS i, {j} AS j, {1 << i | 1 << j} AS needs, mask, n, s{i} AS sx, s{j} AS sy,"
-        f" s{i}_{i} AS sxx, s{j}_{j} AS syy, s{i}_{j} AS sxy,"
+        f"STRUCT({i} AS i, {j} AS j, {1 << i | 1 << j} AS needs, mask, n, m{i} AS mx, m{j} AS my,"
+        f" c{i}_{i} AS cxx, c{j}_{j} AS cyy, c{i}_{j} AS cxy,"
         f" low{i} AS low_x, high{i} AS high_x, low{j} AS low_y, high{j} AS high_y)"
         for i, j in pairs
     )
-    totals = (
+    pair = Window.partitionBy("i", "j")
+    met = (
         groups.selectExpr(f"INLINE(ARRAY({entries}))")
         .where("mask & needs = needs")
-        .groupBy("i", "j")
-        .agg(
-            *[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")],
-            F.expr("MIN(low_x) < MAX(high_x) AND MIN(low_y) < MAX(high_y)").alias("varies"),
+        .withColumns(
+            {
+                "dx": F.col("mx") - F.sum(F.expr("n * mx")).over(pair) / F.sum("n").over(pair),
+                "dy": F.col("my") - F.sum(F.expr("n * my")).over(pair) / F.sum("n").over(pair),
+            }
         )
     )
+    totals = met.groupBy("i", "j").agg(
+        F.expr("SUM(n * (cxx + dx * dx)) AS sxx"),
+        F.expr("SUM(n * (cyy + dy * dy)) AS syy"),
+        F.expr("SUM(n * (cxy + dx * dy)) AS sxy"),
+        F.expr("MIN(low_x) < MAX(high_x) AND MIN(low_y) < MAX(high_y)").alias("varies"),
+    )
     values = totals.selectExpr(
         "i",
         "j",
-        "CASE WHEN NOT varies THEN NULL WHEN i = j THEN 1.0D ELSE TRY_DIVIDE(n * sxy - sx * sy,"
-        " SQRT(n * sxx - sx * sx) * SQRT(n * syy - sy * sy)) END AS r",
+        "CASE WHEN NOT varies THEN NULL WHEN i = j THEN 1.0D"
+        " ELSE TRY_DIVIDE(sxy, SQRT(sxx) * SQRT(syy)) END AS r",
     )
     # every pair is listed, also one without a row in common
     listed = ", ".join(f"STRUCT({i} AS i, {j} AS j)" for i, j in pairs)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -24,44 +23,34 @@ from punctual.settings import DEFAULTS, Settings
 
 
 def feature_stages(settings: Settings = DEFAULTS) -> Pipeline:
-    """Index, one-hot encode, assemble.
+    """Index, one-hot encode, assemble; or index and assemble.
 
     The multi-column stages fit all categories in one job. Unseen and missing
     categories get an extra index and an all-zero vector; rows with a missing
-    number are dropped.
+    number are dropped. The labels of a fitted indexer live on the driver and
+    in every task.
+
+    With ``encoding="index"`` a category is one nominal slot instead of one slot
+    per value, which trees split on sets of values: tree input then holds as
+    many numbers a row as there are columns, however many values they have.
     """
     index = [f"{c}_index" for c in settings.categorical]
     encoded = [f"{c}_encoded" for c in settings.categorical]
-    return Pipeline(
-        stages=[
-            StringIndexer(
-                inputCols=list(settings.categorical), outputCols=index, handleInvalid="keep"
-            ),
-            OneHotEncoder(inputCols=index, outputCols=encoded),
-            VectorAssembler(
-                inputCols=encoded + list(settings.numeric),
-                outputCol="features",
-                handleInvalid="skip",
-            ),
-        ]
+    indexer = StringIndexer(
+        inputCols=list(settings.categorical), outputCols=index, handleInvalid="keep"
     )
-
-
-def check_categories(df: DataFrame, columns: Sequence[str], most: int) -> None:
-    """Refuse categories too wide to be feature slots.
-
-    Labels of a fitted indexer live on the driver and in every task, so their
-    number must not grow with the data.
-    """
-    widths = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    wide = {c: widths[c] for c in columns if widths[c] > most}
-    if wide:
-        raise ValueError(f"too many categories for a feature vector (limit {most}): {wide}")
+    onehot = settings.encoding == "onehot"
+    assembler = VectorAssembler(
+        inputCols=(encoded if onehot else index) + list(settings.numeric),
+        outputCol="features",
+        handleInvalid="skip",
+    )
+    encoder = [OneHotEncoder(inputCols=index, outputCols=encoded)] if onehot else []
+    return Pipeline(stages=[indexer, *encoder, assembler])
 
 
 def fit_features(train: DataFrame, settings: Settings = DEFAULTS) -> PipelineModel:
     """Fit the stages on prepared training rows."""
-    check_categories(train, settings.categorical, settings.max_categories)
     return feature_stages(settings).fit(train)
 
 
@@ -72,6 +61,8 @@ def category_labels(features: PipelineModel, settings: Settings = DEFAULTS) -> d
 
 def vector_width(features: PipelineModel, settings: Settings = DEFAULTS) -> int:
     labels = category_labels(features, settings)
+    if settings.encoding == "index":
+        return len(labels) + len(settings.numeric)
     return sum(len(v) for v in labels.values()) + len(settings.numeric)
 
 
@@ -109,8 +100,11 @@ def random_split(df: DataFrame, settings: Settings = DEFAULTS) -> tuple[DataFram
 # ---- training and scoring -----------------------------------------------------
 
 
-def fit_trees(vectors: DataFrame, settings: Settings = DEFAULTS) -> GBTClassificationModel:
-    """Gradient-boosted trees on assembled rows.
+def fit_trees(
+    vectors: DataFrame, settings: Settings = DEFAULTS, most_values: int = 0
+) -> GBTClassificationModel:
+    """Gradient-boosted trees on assembled rows. A nominal slot needs a bin for
+    each of its at most ``most_values`` values.
 
     Residuals are checkpointed every few trees, so that the lineage of a long
     run stays short and a lost executor recomputes little.
@@ -124,6 +118,7 @@ def fit_trees(vectors: DataFrame, settings: Settings = DEFAULTS) -> GBTClassific
         stepSize=settings.step_size,
         seed=settings.seed,
         checkpointInterval=settings.checkpoint_every,
+        maxBins=max(32, most_values),
     ).fit(vectors.select("features", settings.label))
 
 
@@ -152,12 +147,20 @@ class DelayModel:
 def fit_model(train: DataFrame, settings: Settings = DEFAULTS) -> DelayModel:
     """Fit feature stages and trees on prepared training rows only.
 
-    The rows are read three times at most (categories, split points, tree
-    input, which Spark ML then keeps itself), so they are not cached here.
+    The source is read twice: once for the categories, once for the vectors,
+    which are kept (on disk where memory is short) while Spark ML looks at them
+    for their size, their split points and the tree input.
     """
     labelled = train.where(F.col(settings.label).isNotNull())
     features = fit_features(labelled, settings)
-    return DelayModel(features, fit_trees(features.transform(labelled), settings))
+    vectors = features.transform(labelled).select("features", settings.label)
+    most = max((len(v) for v in category_labels(features, settings).values()), default=0) + 1
+    kept = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        trees = fit_trees(kept, settings, most if settings.encoding == "index" else 0)
+    finally:
+        kept.unpersist()
+    return DelayModel(features, trees)
 
 
 def scored_rows(scored: DataFrame) -> DataFrame:

@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
-from pyspark import StorageLevel
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -82,34 +78,30 @@ def recall_of(counts: DataFrame, value: float = 1.0) -> DataFrame:
 def area_under_roc(
     df: DataFrame, score: str = "score", label: str = LABEL, ranges: int = 1000
 ) -> DataFrame:
-    """Exact area under the ROC curve, ties counted half, as one row.
+    """Exact area under the ROC curve, ties counted half, as one row; missing
+    scores and labels are left out.
 
-    Rows are first reduced to one per score level; these are kept while two
-    jobs read them, so the rows are scored once. Levels are cut into quantile
-    ranges of about equal size; each range accumulates its own levels in order,
+    Rows are first reduced to one per score level. Levels are cut into quantile
+    ranges of about equal size, whose limits enter the plan as a one-row
+    subquery on the same levels; each range accumulates its own levels in order,
     in parallel, and only the range totals, at most ``ranges`` rows, are
     accumulated in one task. Any cut gives the same area, so no score is
     rounded or binned.
     """
     levels = (
-        df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-        .groupBy(F.col(score).alias("score"))
+        df.select(F.col(score).alias("score"), F.col(label).alias("label"))
+        .where(F.col("score").isNotNull() & F.col("label").isNotNull() & ~F.isnan("score"))
+        .groupBy("score")
         .agg(
-            F.count_if(F.col(label) == 1).alias("pos"),
-            F.count_if(F.col(label) == 0).alias("neg"),
+            F.count_if(F.col("label") == 1).alias("pos"),
+            F.count_if(F.col("label") == 0).alias("neg"),
         )
-        .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    try:
-        shares = [i / ranges for i in range(1, ranges)]
-        inner = sorted(set(levels.approxQuantile("score", shares, 0.1 / ranges))) or [0.0]
-        cut = Bucketizer(
-            splits=[-math.inf, *inner, math.inf], inputCol="score", outputCol="range"
-        )
-        auc = _area(cut.transform(levels)).first().auc
-    finally:
-        levels.unpersist()
-    return df.sparkSession.range(1).select(F.lit(auc).cast("double").alias("auc"))
+    shares = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
+    limits = levels.agg(F.percentile_approx("score", shares, 10 * ranges).alias("cuts")).scalar()
+    # the place of a score among the limits; levels are many, limits few
+    place = F.array_position(F.sort_array(F.array_append(limits, F.col("score"))), F.col("score"))
+    return _area(levels.withColumn("range", place))
 
 
 def _area(levels: DataFrame) -> DataFrame:

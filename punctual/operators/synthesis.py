@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctual.functions import draws, rules
+from punctual.functions.parsing import padded
 from punctual.schema import COLUMNS
 
 # Carriers and hub airports.
@@ -100,7 +101,7 @@ def synthesise(
         ),
     )
     made = {
-        "flight_id": F.concat(F.lit("FL"), _padded(F.col("key"), 7)),
+        "flight_id": F.concat(F.lit("FL"), padded(F.col("key"), 7)),
         "date": F.date_format(F.date_add(F.lit(first_day), F.col("day")), "yyyy-MM-dd"),
         "flight_number": F.concat("carrier", F.col("number").cast("string")),
         "scheduled_departure": rules.clock(F.col("hour"), F.col("minute")),
@@ -119,12 +120,6 @@ def synthesise(
     return delayed.select(*[made[c].alias(c) if c in made else F.col(c) for c in COLUMNS])
 
 
-def _padded(value: Column, width: int) -> Column:
-    """Zero-padded to ``width``; longer numbers keep all their digits."""
-    text = value.cast("string")
-    return F.lpad(text, F.greatest(F.lit(width), F.length(text)), "0")
-
-
 def synthetic_flights(spark: SparkSession, n: int, seed: int = 42, **options) -> DataFrame:
     """``n`` flights keyed 0 .. n - 1."""
     return synthesise(spark.range(n), "id", seed, **options)

@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctual.functions import rules
+from punctual.functions.parsing import padded
 from punctual.schema import COLUMNS, typed_schema
-from punctual.session import scratch_folder, spread
+from punctual.session import scratch_folder
 
 # Fixed values of the mapping: draw name -> (multiplier, increment, modulus).
 _DRAWS = {
@@ -44,7 +45,7 @@ def _text(value: Column) -> Column:
 
 
 def _airport(number: Column) -> Column:
-    return F.concat(F.lit("S"), F.lpad(_text(number), 4, "0"))
+    return F.concat(F.lit("S"), padded(number, 4))
 
 
 def with_draws(lineitem: DataFrame) -> DataFrame:
@@ -98,7 +99,7 @@ def flights_from_lines(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     tenth = F.lit(10).cast("double")
     return branded.select(
         F.concat_ws(
-            "-", F.concat(F.lit("FL"), F.lpad(_text(F.col("l_orderkey")), 7, "0")), *ids
+            "-", F.concat(F.lit("FL"), padded(F.col("l_orderkey"), 7)), *ids
         ).alias("flight_id"),
         _text(F.col("l_shipdate").cast("date")).alias("date"),
         F.col("p_brand").alias("carrier"),
@@ -145,7 +146,7 @@ def flights_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _WRITTEN:
         path = scratch_folder(spark, "flights")
-        lines = spread(read_table(spark, sf_dir, "lineitem").select(*_LINE_COLUMNS))
+        lines = read_table(spark, sf_dir, "lineitem").select(*_LINE_COLUMNS)
         flights_from_lines(lines, read_table(spark, sf_dir, "part")).write.parquet(path)
         _WRITTEN[key] = path
     return spark.read.schema(typed_schema()).parquet(_WRITTEN[key])

@@ -1,14 +1,13 @@
 """ANSI SQL stating what each registered query must return.
 
 Written apart from the Spark code and run by another engine on the same
-tables. Queries on trained models have no entry.
+tables. Of trained models it states what any of them must fulfil.
 """
 
 from __future__ import annotations
 
 from itertools import combinations_with_replacement
 
-from punctual.operators.synthesis import CARRIERS, HUBS
 from punctual.schema import CATEGORICAL_FEATURES, COLUMNS, NUMERIC_COLUMNS, NUMERIC_FEATURES
 
 _WEATHER = """CASE WHEN {p} < 40 THEN 'Clear' WHEN {p} < 65 THEN 'Cloudy' WHEN {p} < 80 THEN 'Rain'
@@ -60,6 +59,12 @@ def _two(expression: str) -> str:
     return f"LPAD({_s(expression)}, 2, '0')"
 
 
+def _padded(expression: str, width: int) -> str:
+    """Zero-padded; longer numbers keep all their digits."""
+    text = _s(expression)
+    return f"LPAD({text}, CAST(GREATEST({width}, LENGTH({text})) AS INTEGER), '0')"
+
+
 def _clock(minutes: str) -> str:
     hour = f"CAST(FLOOR((({minutes}) % 1440)/60) AS BIGINT)"
     return f"CONCAT({_two(hour)}, ':', {_two(f'({minutes}) % 60')})"
@@ -68,13 +73,13 @@ def _clock(minutes: str) -> str:
 _FLIGHTS = f"""{_LINES},
 flights AS (
   SELECT
-    CONCAT('FL', LPAD({_s('l_orderkey')},7,'0'), '-', {_s('l_linenumber')}, '-',
+    CONCAT('FL', {_padded('l_orderkey', 7)}, '-', {_s('l_linenumber')}, '-',
            {_s('l_partkey')}, '-', {_s('l_suppkey')}) AS flight_id,
     SUBSTR({_s('l_shipdate')},1,10) AS date,
     p_brand AS carrier,
     CONCAT(p_brand, '-', {_s('100 + h5 % 9900')}) AS flight_number,
-    CONCAT('S', LPAD({_s('l_suppkey')},4,'0')) AS origin,
-    CONCAT('S', LPAD({_s('(l_suppkey + 1 + h3 % 97) % 100')},4,'0')) AS destination,
+    CONCAT('S', {_padded('l_suppkey', 4)}) AS origin,
+    CONCAT('S', {_padded('(l_suppkey + 1 + h3 % 97) % 100', 4)}) AS destination,
     CONCAT({_two('hr')}, ':', {_two('mi')}) AS scheduled_departure,
     {_clock('hr*60 + mi + 60 + h7 % 361')} AS scheduled_arrival,
     CAST(100 + h5 % 3901 AS DOUBLE) AS distance_miles,
@@ -178,60 +183,9 @@ _NUMERIC_FEATURES = {
 _FEATURES = ", ".join(_NUMERIC_FEATURES.get(c, c) for c in NUMERIC_FEATURES)
 
 
-def _synthesis() -> str:
-    def u(stream: int) -> str:
-        block, part = divmod(stream, 4)
-        digest = f"MD5(CONCAT(CAST(event_id AS VARCHAR), '|42|{block}'))"
-        return f"(CAST(CONCAT('0x', SUBSTR({digest}, {part * 8 + 1}, 8)) AS BIGINT) / 4294967296.0::DOUBLE)"
-
-    def below(stream: int, size: int) -> str:
-        return f"CAST(FLOOR({u(stream)} * {size}) AS BIGINT)"
-
-    def normal(a: int, b: int, mean: int, spread: int) -> str:
-        radius = f"SQRT(-2.0::DOUBLE * LN(1.0::DOUBLE - {u(a)}))"
-        angle = f"COS(6.283185307179586::DOUBLE * {u(b)})"
-        return f"({mean}.0::DOUBLE + {spread}.0::DOUBLE * {radius} * {angle})"
-
-    listed = ", ".join(f"'{c}'" for c in CARRIERS)
-    hub_list = ", ".join(f"'{c}'" for c in HUBS)
-
-    def airport(i: str) -> str:
-        letters = f"CONCAT('X', CHR(CAST(65 + ({i} - 20) // 26 AS INTEGER)), CHR(CAST(65 + ({i} - 20) % 26 AS INTEGER)))"
-        return f"CASE WHEN {i} < 20 THEN ([{hub_list}])[{i} + 1] ELSE {letters} END"
-
-    return f"""WITH raw AS (
-  SELECT event_id AS id, {below(0, 365)} AS day, ([{listed}])[{below(1, 18)} + 1] AS carrier,
-    {below(2, 205)} AS a, {below(3, 204)} AS b, 5 + {below(4, 19)} AS hr, 15 * {below(5, 4)} AS mi,
-    60 + {below(6, 361)} AS dur, {below(7, 100)} AS p7, {below(8, 100)} AS p8,
-    ROUND_EVEN({normal(9, 10, 60, 20)}, 1) AS temperature_origin,
-    GREATEST(0.0::DOUBLE, ROUND_EVEN({normal(11, 12, 10, 7)}, 1)) AS wind_speed_origin,
-    CAST(100 + {below(13, 3901)} AS DOUBLE) AS distance_miles,
-    CAST(GREATEST(5, TRUNC({normal(14, 15, 18, 8)})) AS DOUBLE) AS taxi_out_minutes,
-    CAST(GREATEST(3, TRUNC({normal(16, 17, 12, 5)})) AS DOUBLE) AS taxi_in_minutes,
-    {below(18, 1000)} AS occurs, {below(19, 1000)} AS tier, {below(20, 558000)} AS pick,
-    {below(21, 26)} - 10 AS jitter, 100 + {below(22, 9900)} AS num
-  FROM events),
-placed AS (
-  SELECT *, {_weather('p7')} AS weather_origin, {_weather('p8')} AS weather_destination,
-    {airport('a')} AS origin, {airport('((a + 1 + b % 204) % 205)')} AS destination
-  FROM raw),
-likely AS (
-  SELECT *, {_PROBABILITY.format(w='weather_origin', h='hr', hub=f'origin IN ({hub_list})')} AS milli
-  FROM placed),
-late AS (
-  SELECT *, CASE WHEN occurs >= milli THEN 0 WHEN tier < 500 THEN 15 + pick % 31
-    WHEN tier < 800 THEN 46 + pick % 75 ELSE 121 + pick % 240 END AS dd
-  FROM likely)
-SELECT CONCAT('FL', LPAD({_s('id')}, 7, '0')) AS flight_id,
-  {_s("CAST(DATE '2022-01-01' + CAST(day AS INTEGER) AS DATE)")} AS date, carrier,
-  CONCAT(carrier, {_s('num')}) AS flight_number, origin, destination,
-  CONCAT({_two('hr')}, ':', {_two('mi')}) AS scheduled_departure,
-  {_clock('hr*60 + mi + dur')} AS scheduled_arrival,
-  distance_miles, weather_origin, weather_destination, temperature_origin, wind_speed_origin,
-  taxi_out_minutes, taxi_in_minutes, CAST(dd AS DOUBLE) AS departure_delay_minutes,
-  CAST(GREATEST(0, dd + jitter) AS DOUBLE) AS arrival_delay_minutes,
-  CAST(CASE WHEN dd >= 15 THEN 1 ELSE 0 END AS DOUBLE) AS is_delayed
-FROM late"""
+_PASSED = "flight_id, carrier, origin, destination, scheduled_departure, weather_origin"
+
+_SPLIT = "SELECT COUNT(DISTINCT flight_id) AS n, 0::BIGINT AS n_on_both, TRUE AS share_holds FROM flights"
 
 
 _METRICS = """+ classes AS (SELECT DISTINCT is_delayed AS c FROM scored),
@@ -271,6 +225,9 @@ def oracle_sql() -> dict[str, str]:
             "SELECT * FROM flights ORDER BY flight_id, date, scheduled_departure, distance_miles LIMIT 5"
         ),
         "feed_rows": _flights(f"SELECT origin AS key, {text} FROM flights"),
+        "feed_cap": _flights(
+            "SELECT LEAST(1000, COUNT(*)) AS n, 0::BIGINT AS n_unknown FROM flights"
+        ),
         "feed_key": _flights(
             "SELECT flight_id, CASE WHEN weather_origin <> 'Fog' THEN origin END AS key, "
             "'UNKNOWN' AS key_without_origin FROM flights"
@@ -332,7 +289,6 @@ FROM lineitem) {_SHARE.format(c='weather', t='t')}""",
         "route_validity": f"""SELECT * FROM (SELECT {_LINE_KEY}, l_suppkey % 100 AS from_index,
   (l_suppkey % 100 + 1 + l_partkey % 99) % 100 AS to_index FROM lineitem) t
 WHERE from_index <> to_index""",
-        "synth_flights": _synthesis(),
         "dataset_summary": _flights("""SELECT COUNT(*) AS total,
   CAST(SUM(CASE WHEN is_delayed = 1 THEN 1 ELSE 0 END) AS BIGINT) AS delayed,
   CAST(SUM(CASE WHEN is_delayed = 0 THEN 1 ELSE 0 END) AS BIGINT) AS not_delayed,
@@ -382,7 +338,8 @@ FROM orders GROUP BY o_orderpriority""",
             f"SELECT CASE WHEN {_BUCKET} < 80 THEN 'train' ELSE 'test' END AS side, "
             "COUNT(*) AS n, AVG(is_delayed) AS delay_rate FROM flights GROUP BY 1"
         ),
-        "split_random": _flights("SELECT flight_id FROM flights"),
+        "split_random": _flights(_SPLIT),
+        "split_default": _flights(_SPLIT),
         "category_index": _by_category(f"SELECT *, {_POSITION} AS index FROM freq", "flights"),
         "onehot_width": _by_category(
             f"SELECT category, value, COUNT(*) OVER (PARTITION BY category) AS width, "
@@ -402,6 +359,16 @@ FROM orders GROUP BY o_orderpriority""",
         "model_roundtrip": _flights(
             f"SELECT COUNT(*) AS n, CAST(0 AS BIGINT) AS n_changed FROM flights WHERE {_BUCKET} >= 80"
         ),
+        "gbt_train": _flights(
+            "SELECT COUNT(*) AS n, TRUE AS auc_in_range, TRUE AS accuracy_near_majority, "
+            f"TRUE AS recall_is_accuracy FROM flights WHERE {_BUCKET} >= 80"
+        ),
+        "gbt_predict": _flights(
+            f"SELECT {_PASSED}, TRUE AS status_agrees FROM flights WHERE {_BUCKET} >= 80"
+        ),
+        "stream_score": _flights(
+            f"SELECT {_PASSED}, TRUE AS status_agrees, TRUE AS equals_batch FROM flights"
+        ),
         "stream_parse": whole,
         "stream_features": _flights(f"SELECT flight_id, {_FEATURES} FROM flights"),
         "stream_resume": _flights("SELECT flight_id, origin, is_delayed FROM flights"),

@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
 
 from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punctual.functions import draws, parsing, rules
-from punctual.operators import analytics, features, learning, metrics, synthesis
+from punctual.functions import parsing, rules
+from punctual.operators import analytics, features, learning, metrics
 from punctual.plans.flights import (
     flights_table,
     flights_view,
@@ -24,9 +23,10 @@ from punctual.schema import (
     COLUMNS,
     NUMERIC_COLUMNS,
     NUMERIC_FEATURES,
+    SCORED_COLUMNS,
     text_schema,
 )
-from punctual.session import scratch_folder, tune
+from punctual.session import scratch_folder
 from punctual.settings import Settings
 from punctual.sources import feed, files
 from punctual.streaming import scoring
@@ -40,13 +40,8 @@ _QUERIES: dict[str, Query] = {}
 
 
 def _query(build: Query) -> Query:
-    @wraps(build)
-    def tuned(spark, sf_dir):
-        tune(spark)
-        return build(spark, sf_dir)
-
-    _QUERIES[build.__name__] = tuned
-    return tuned
+    _QUERIES[build.__name__] = build
+    return build
 
 
 def queries() -> dict[str, Query]:
@@ -87,6 +82,18 @@ def feed_rows(spark, sf_dir):
     return records.select("key", data.alias("data")).select("key", "data.*")
 
 
+@_query
+def feed_cap(spark, sf_dir):
+    """A capped feed: how many records it has, and how many of them are unknown."""
+    rows = flights_table(spark, sf_dir)
+    capped = feed.keyed_records(rows, max_records=1000).select(
+        F.get_json_object("value", "$.flight_id").alias("flight_id")
+    )
+    known = rows.select("flight_id").distinct()
+    unknown = capped.join(known, "flight_id", "left_anti").agg(F.count("*")).scalar()
+    return capped.agg(F.count("*").alias("n")).withColumn("n_unknown", unknown)
+
+
 @_query
 def feed_key(spark, sf_dir):
     """Keys of full records, of records with an empty origin, and without the column."""
@@ -291,13 +298,6 @@ def route_validity(spark, sf_dir):
     )
 
 
-@_query
-def synth_flights(spark, sf_dir):
-    """One made-up flight per event."""
-    events = read_table(spark, sf_dir, "events").select("event_id")
-    return synthesis.synthesise(events, "event_id", uniform=draws.portable_uniform)
-
-
 # ---- reports -------------------------------------------------------------------------------
 
 
@@ -460,11 +460,35 @@ def split_counts(spark, sf_dir):
     )
 
 
+def _split_facts(sides: tuple[DataFrame, DataFrame]) -> DataFrame:
+    """Of a split of distinct ids: rows of both sides together, ids on both, and
+    whether the first side has about its share."""
+    train, test = (d.select("flight_id", F.lit(t).alias("t")) for d, t in zip(sides, (1, 0)))
+    per_id = train.unionAll(test).groupBy("flight_id").agg(
+        F.count("*").alias("n"), F.sum("t").alias("n_train")
+    )
+    share = F.sum("n_train").cast("double") / F.sum("n").cast("double")
+    return per_id.agg(
+        F.sum("n").alias("n"),
+        F.count_if(F.col("n") > 1).alias("n_on_both"),
+        (F.abs(share - CHECK_SETTINGS.train_percent / 100) < 0.03).alias("share_holds"),
+    )
+
+
+def _ids(spark, sf_dir) -> DataFrame:
+    return flights_table(spark, sf_dir).select("flight_id").distinct()
+
+
 @_query
 def split_random(spark, sf_dir):
-    """Both sides of Spark's seeded split: together the whole table, once."""
-    train, test = learning.random_split(flights_table(spark, sf_dir).select("flight_id"))
-    return train.unionAll(test)
+    """Spark's seeded split."""
+    return _split_facts(learning.random_split(_ids(spark, sf_dir)))
+
+
+@_query
+def split_default(spark, sf_dir):
+    """The split by the engine's own hash, the library's default."""
+    return _split_facts(learning.hash_split(_ids(spark, sf_dir)))
 
 
 def _category_values(df: DataFrame) -> DataFrame:
@@ -501,12 +525,13 @@ def onehot_width(spark, sf_dir):
     rows = _prepared(spark, sf_dir)
     indexer, encoder, _ = learning.fit_features(rows).stages
     encoded = encoder.transform(indexer.transform(_category_values(rows)))
-    vector = _of_category("{}_encoded", lambda c: vector_to_array(F.col(c)))
-    return encoded.select("category", "value", vector.alias("v")).select(
+    # size and slot of the sparse form; a dense array per value would hold V x V numbers
+    sparse = _of_category("{}_encoded", lambda c: F.to_json(F.struct(F.col(c).alias("v"))))
+    return encoded.select("category", "value", sparse.alias("s")).select(
         "category",
         "value",
-        F.size("v").cast("bigint").alias("width"),
-        (F.array_position("v", F.lit(1.0)) - 1).alias("slot"),
+        F.get_json_object("s", "$.v.size").cast("bigint").alias("width"),
+        F.get_json_object("s", "$.v.indices[0]").cast("bigint").alias("slot"),
     )
 
 
@@ -545,15 +570,39 @@ def _model(spark, sf_dir) -> learning.DelayModel:
 
 @_query
 def gbt_train(spark, sf_dir):
-    """A fresh fit, measured on the test side."""
+    """A fresh fit, measured on the test side: rows, and whether the measures
+    are where these data put them."""
     _, test = _split(spark, sf_dir)
-    return learning.evaluate(_fit(spark, sf_dir).score(test), CHECK_SETTINGS)
+    found = learning.evaluate(_fit(spark, sf_dir).score(test), CHECK_SETTINGS)
+    facts = test.agg(F.count("*").alias("n"), F.avg("is_delayed").alias("rate")).select(
+        F.struct("n", "rate").alias("f")
+    )
+    majority = F.greatest(F.col("f.rate"), F.lit(1.0) - F.col("f.rate"))
+    return found.withColumn("f", facts.scalar()).select(
+        F.col("f.n").alias("n"),
+        F.col("auc").between(0.60, 0.72).alias("auc_in_range"),
+        (F.abs(F.col("accuracy") - majority) < 0.02).alias("accuracy_near_majority"),
+        (F.abs(F.col("weighted_recall") - F.col("accuracy")) < 1e-9).alias("recall_is_accuracy"),
+    )
+
+
+def _status_agrees():
+    verdict = F.when(F.col("prediction") == 1.0, "DELAYED").otherwise("ON TIME")
+    return (F.col("prediction").isin(0.0, 1.0) & (F.col("delay_status") == verdict)).alias(
+        "status_agrees"
+    )
+
+
+_PASSED = [c for c in SCORED_COLUMNS if c not in ("prediction", "delay_status")]
 
 
 @_query
 def gbt_predict(spark, sf_dir):
+    """Scored test rows: what is passed through, and whether the status says
+    what the prediction does."""
     _, test = _split(spark, sf_dir)
-    return learning.scored_rows(_model(spark, sf_dir).score(test))
+    scored = learning.scored_rows(_model(spark, sf_dir).score(test))
+    return scored.select(*_PASSED, _status_agrees())
 
 
 @_query
@@ -615,8 +664,17 @@ def stream_features(spark, sf_dir):
 
 @_query
 def stream_score(spark, sf_dir):
+    """Scored live rows, compared with the batch scores of the same flights."""
     model = _model(spark, sf_dir)
-    return _through_stream(spark, sf_dir, lambda records: scoring.score_records(records, model))
+    live = _through_stream(spark, sf_dir, lambda records: scoring.score_records(records, model))
+    batch = learning.scored_rows(model.score(_prepared(spark, sf_dir)))
+    known = batch.groupBy(F.col("flight_id").alias("id")).agg(
+        F.collect_set("prediction").alias("predictions")
+    )
+    equal = F.coalesce(F.array_contains("predictions", F.col("prediction")), F.lit(False))
+    return live.join(known, F.col("flight_id") == F.col("id"), "left").select(
+        *_PASSED, _status_agrees(), equal.alias("equals_batch")
+    )
 
 
 @_query

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import atexit
-import shutil
-import tempfile
 import uuid
-from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JError
+from pyspark import SparkContext
+from pyspark.sql import SparkSession
 
 # Nothing here fixes a degree of parallelism: adaptive execution starts from
 # the cluster's own shuffle setting, merges small partitions and splits skewed
@@ -43,51 +42,47 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
     return builder.getOrCreate()
 
 
-def tune(spark: SparkSession) -> None:
-    """Apply the run-time settings to a session built elsewhere, except those it
-    has set itself."""
-    for key, value in TUNING.items():
-        if spark.conf.get(key, None) is None:
-            spark.conf.set(key, value)
-
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors can reach, from ``spark.checkpoint.dir``."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
+        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+    return configured.rstrip("/")
 
-@cache
-def _local_folder() -> str:
-    path = tempfile.mkdtemp(prefix="punctual-")
-    atexit.register(shutil.rmtree, path, ignore_errors=True)
-    return path
 
+# Scratch tables of this process; results read them lazily, so they go last.
+_SCRATCH: list[str] = []
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, from ``spark.checkpoint.dir``.
 
-    Only a local master, where driver and executor are one process, may fall
-    back to a temporary folder of this machine.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return _local_folder()
-    raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A path for one intermediate table, unique to this call and removed when
+    the application ends."""
+    if not _SCRATCH:
+        atexit.register(remove_scratch)
+    path = f"{shared_folder(spark)}/punctual-{label}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
 
 
-def scratch_folder(spark: SparkSession, label: str) -> str:
-    """A path for one intermediate table, unique to this call."""
-    return f"{shared_folder(spark)}/punctual-{label}-{uuid.uuid4().hex}"
+def remove_scratch() -> None:
+    """Delete this process's scratch tables through Spark's file systems."""
+    jvm, context = SparkContext._jvm, SparkContext._active_spark_context
+    try:
+        while _SCRATCH and jvm is not None:
+            path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+            live = context is not None and context._jsc is not None
+            settings = (
+                context._jsc.hadoopConfiguration()
+                if live
+                else jvm.org.apache.hadoop.conf.Configuration()
+            )
+            path.getFileSystem(settings).delete(path, True)
+    except (Py4JError, OSError):
+        # at the very end the JVM may be gone; then there is nobody left to ask
+        _SCRATCH.clear()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Give iterative jobs a checkpoint folder unless the session has one."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Give every core a share of a small table that arrives in fewer pieces.
-
-    Meant for narrow plans right above a scan. Tables with at least one piece
-    for each core, and so all large ones, pass without a shuffle.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

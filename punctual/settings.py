@@ -18,9 +18,8 @@ class Settings:
     categorical: tuple[str, ...] = CATEGORICAL_FEATURES
     numeric: tuple[str, ...] = NUMERIC_FEATURES
     label: str = LABEL
-    # Category labels are held by the driver and by every task, and each one
-    # becomes a slot of the feature vector: refuse columns beyond this width.
-    max_categories: int = 100_000
+    # "onehot": one slot per category value; "index": one nominal slot per column
+    encoding: str = "onehot"
 
     # boosted trees
     trees: int = 100

@@ -35,12 +35,38 @@ def keyed_records(df: DataFrame, max_records: int | None = None) -> DataFrame:
 
     ``max_records`` of None or 0 means all of them.
     """
-    rows = df.limit(max_records) if max_records else df
+    rows = capped(df, max_records) if max_records else df
     fields = F.struct(*[F.col(c).cast("string").alias(c) for c in df.columns])
     value = F.to_json(fields, {"ignoreNullFields": "false"})
     return rows.select(record_key(df).alias("key"), value.alias("value"))
 
 
+def capped(df: DataFrame, most: int) -> DataFrame:
+    """The first ``most`` rows in the order of the partitions, without moving
+    them through one task.
+
+    Rows are counted per partition first; each partition then keeps what is
+    left of the cap when its turn comes. The order is that of the files, so
+    this is meant for tables read from files.
+    """
+    place = F.monotonically_increasing_id()
+    part, row = F.shiftright(place, 33), place.bitwiseAND((1 << 33) - 1)
+    counts = df.select(part.alias("part")).groupBy("part").agg(F.count("*").alias("n"))
+    left, quota = most, {}
+    for part_number, n in sorted(counts.collect()):
+        quota[part_number] = min(n, left)
+        left -= quota[part_number]
+        if not left:
+            break
+    if not quota:
+        return df
+    # one number per partition that has a share
+    limits = F.map_from_arrays(F.lit([*quota]), F.lit([*quota.values()]))
+    mine = F.coalesce(F.element_at(limits, F.col("__part").cast("int")), F.lit(0))
+    numbered = df.withColumns({"__part": part, "__row": row})
+    return numbered.where(F.col("__row") < mine).drop("__part", "__row")
+
+
 def kafka_source_options(
     settings: Settings = DEFAULTS,
     starting_offsets: str = "latest",
@@ -105,6 +131,11 @@ def read_records(
     raise ValueError(f"unknown kind of feed: {kind}")
 
 
+def stage_records(records: DataFrame, path: str, per_file: int) -> None:
+    """Records as files of at most ``per_file`` each, to be sent file by file."""
+    records.write.option("maxRecordsPerFile", per_file).parquet(path)
+
+
 def send_records(
     records: DataFrame,
     kind: str = "kafka",

@@ -58,9 +58,13 @@ def write_stream(
     return writer.trigger(processingTime=interval or settings.trigger_interval).start()
 
 
-def run(query: StreamingQuery) -> None:
-    """Wait for the query; stop it however the wait ends."""
+def run(query: StreamingQuery, follow: bool = True) -> None:
+    """Wait for the query; stop it however the wait ends. Without ``follow`` the
+    wait ends when all that had arrived is handled, at the query's own pace."""
     try:
-        query.awaitTermination()
+        if follow:
+            query.awaitTermination()
+        else:
+            query.processAllAvailable()
     finally:
         query.stop()

@@ -45,7 +45,7 @@ def sql_rows(con, sql: str):
     return columns, Counter(tuple(canonical(r[i]) for i in order) for r in result.fetchall())
 
 
-_KINDS = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE"}
+_KINDS = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE", "boolean": "BOOLEAN"}
 
 
 def kinds(df, con, sql: str):

@@ -12,10 +12,12 @@ from punctual.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[8]",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
+        spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
         spark__driver__memory="8g",
         spark__sql__shuffle__partitions="8",
         spark__ui__enabled="false",

@@ -77,6 +77,23 @@ def test_correlation_with_gaps_equals_data_frame(spark):
     assert found["d"].isna().all()
 
 
+@pytest.mark.parametrize("first", ["missing", "far"])
+def test_correlation_does_not_depend_on_first_rows(spark, first):
+    """Around 1e9, the first rows unknown or far off: still the plain value."""
+    rng = np.random.default_rng(3)
+    a = 1e9 + rng.normal(size=20_000)
+    data = pd.DataFrame({"a": a, "b": a + rng.normal(size=20_000)})
+    if first == "missing":
+        data.loc[:999, ["a", "b"]] = np.nan
+    else:
+        data.loc[0] = [0.0, np.nan]
+    known = data.dropna()
+    true = np.corrcoef(known.a - 1e9, known.b - 1e9)[0, 1]
+    for rows in (data, data.sample(frac=1, random_state=1)):
+        found = _as_frame(analytics.correlation_matrix(spark.createDataFrame(rows), ["a", "b"]), "ab")
+        assert found.loc["a", "b"] == pytest.approx(true, abs=1e-6)
+
+
 def test_correlation_constant_only_where_both_known(spark):
     data = pd.DataFrame({"a": [1.0, 1.0, 2.0, 3.0], "b": [5.0, 6.0, np.nan, np.nan]})
     found = _as_frame(analytics.correlation_matrix(spark.createDataFrame(data), ["a", "b"]), "ab")

@@ -48,10 +48,17 @@ def test_rows_without_a_number_are_dropped(spark, bad):
     assert [r.carrier for r in fitted.transform(rows).collect()] == ["a"]
 
 
-def test_wide_categories_are_refused(spark):
-    rows = _tiny(spark, [str(i) for i in range(200)])
-    with pytest.raises(ValueError, match="carrier"):
-        learning.fit_features(rows, replace(SMALL, max_categories=50))
+@pytest.mark.parametrize("encoding", ["onehot", "index"])
+def test_wide_categories_train(spark, encoding):
+    settings = replace(SMALL, encoding=encoding)
+    rows = _tiny(spark, [str(i) for i in range(200)] * 2)
+    rows = rows.withColumn("is_delayed", (F.col("carrier").cast("int") % 2).cast("double"))
+    model = learning.fit_model(rows, settings)
+    assert model.score(rows).count() == 400
+    width = 14 if encoding == "index" else 200 + 4 + 9
+    assert learning.vector_width(model.features, settings) == width
+    if encoding == "index":
+        assert model.classifier.getMaxBins() == 201
 
 
 @pytest.mark.parametrize("bucket", [learning.split_bucket, learning.portable_bucket])

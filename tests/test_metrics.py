@@ -67,6 +67,15 @@ def test_missing_labels_are_left_out(spark):
     assert [tuple(r) for r in metrics.confusion(rows).collect()] == [(1.0, 1.0, 1)]
 
 
+def test_auc_leaves_out_missing_scores_and_is_lazy(spark):
+    rows = _frame(spark, 500, 2)
+    holes = spark.createDataFrame([(float("nan"), 1.0), (None, 0.0)], "score double, is_delayed double")
+    more = rows.select("score", "is_delayed").unionAll(holes)
+    found = metrics.area_under_roc(more)
+    assert found.first().auc == metrics.area_under_roc(rows).first().auc
+    assert "LogicalRDD" in found._jdf.queryExecution().logical().toString()
+
+
 def test_auc_of_one_level_and_of_no_rows(spark):
     rows = spark.createDataFrame([(0.5, 1.0), (0.5, 0.0)], "score double, is_delayed double")
     assert metrics.area_under_roc(rows).first().auc == 0.5

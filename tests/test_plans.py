@@ -7,7 +7,7 @@ from punctual.operators import analytics, features
 from punctual.plans.flights import flights_from_lines, flights_table, read_table
 from punctual.plans.queries import queries
 
-TRAINED = {"gbt_train", "gbt_predict", "model_roundtrip", "stream_score"}
+TRAINED = {"gbt_train", "gbt_predict", "model_roundtrip"}
 
 
 def _plan(df) -> str:
