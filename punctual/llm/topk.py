@@ -83,7 +83,7 @@ class BallTree:
         return BallTree(
             rows[order],
             ids[order],
-            np.array(columns[0]).reshape(len(nodes), -1),
+            np.array(columns[0]).reshape(len(nodes), rows.shape[1]),
             *[np.array(c) for c in columns[1:]],
             exact=most * most * max(1, rows.shape[1]) < 2.0**53,
         )
@@ -144,7 +144,7 @@ class BallTree:
 
 def _matrix(column: pa.ChunkedArray, length: int) -> np.ndarray:
     flat = column.combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    return np.asarray(flat, np.int64).reshape(-1, length)
+    return np.asarray(flat, np.int64).reshape(len(column), length)
 
 
 def _searching(k: int, leaf_rows: int):
@@ -266,8 +266,9 @@ def top_k(
         asked = queries.join(
             kth, (F.col("vec_id") == F.col("query_id")) & (F.col("mark") == F.col("of")), "left"
         )
-        others = F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != F.col("shard"))
-        asked = asked.withColumn("shard", F.explode(others).cast("long"))
+        every_shard = F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint"))
+        others = F.filter(every_shard, lambda s: s != F.col("shard"))
+        asked = asked.withColumn("shard", F.explode(others))
         found = found.union(answered(asked))
     ranking = Window.partitionBy("query_id", "mark").orderBy(F.desc("score"), "vec_id")
     return (
