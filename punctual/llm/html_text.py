@@ -71,13 +71,30 @@ JUNK_NAMES = frozenset(
     subscribe subscription tags teaser toolbar topbar widget widgets
     """.split()
 )
-MAIN_NAMES = frozenset("article articlebody content entry main post story".split())
 MAIN_TAGS = frozenset(["article", "main"])
+# Names that say the same of a plain element, each word of them present.
+MAIN_NAMES = tuple(
+    frozenset(x.split())
+    for x in (
+        "articlebody",
+        "article body",
+        "article content",
+        "article text",
+        "entry content",
+        "main",
+        "post body",
+        "post content",
+        "story body",
+    )
+)
+#: Names that are furniture around the article, but part of it inside.
+TITLE_NAMES = frozenset(["byline", "header", "masthead", "tags"])
 
 
 @dataclass(frozen=True)
 class BlockRules:
     max_link_density: float = 0.33
+    max_link_density_inside: float = 0.5  # of a marked article
     short_chars: int = 70
     long_chars: int = 100
     stop_low: float = 0.10
@@ -92,7 +109,7 @@ _TOKEN = re.compile(
     r"|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
-_NAMED = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+_NAMED = re.compile(r"(?:^|\s)(class|id|role|itemprop)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _HIDDEN = re.compile(
     r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I
 )
@@ -190,7 +207,7 @@ def blocks(page: str) -> list[Block]:
             links = 0
             heading = name if name in HEADINGS else ""
         parts = _names(rest) if "=" in rest else set()
-        junk = bool(parts & JUNK_NAMES) or (bool(rest) and bool(_HIDDEN.search(rest)))
+        junk = bool(parts & JUNK_NAMES - (TITLE_NAMES if mains else set())) or (bool(rest) and bool(_HIDDEN.search(rest)))
         if name in ("html", "body"):
             junk = False
         elif name in FURNITURE_TAGS:
@@ -199,7 +216,8 @@ def blocks(page: str) -> list[Block]:
             junk = junk or not mains
         elif name in MAIN_TAGS:
             junk = bool(parts & {"comment", "comments", "reply"})
-        main = not junk and (name in MAIN_TAGS or (name == "div" and "articlebody" in parts))
+        plain = name in ("div", "section", "td") and any(m <= parts for m in MAIN_NAMES)
+        main = not junk and (name in MAIN_TAGS or plain)
         if name == "a":
             links += 1
         if junk or main or name not in INLINE:
@@ -218,7 +236,8 @@ TEXT, FURNITURE, NEAR, SHORT = "text", "furniture", "near", "short"
 
 def _decided(block: Block, rules: BlockRules) -> str:
     """First pass: text, furniture, or one of the two ambiguous kinds."""
-    if block.linked > rules.max_link_density * len(block.text):
+    most = rules.max_link_density_inside if block.main else rules.max_link_density
+    if block.linked > most * len(block.text):
         return FURNITURE
     if len(block.text) < rules.short_chars or block.heading:
         return SHORT

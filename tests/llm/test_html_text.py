@@ -48,6 +48,12 @@ def test_furniture_inside_the_article():
     assert html_text.main_text(page) == f"T\n{LONG}\nxyz qwe"
 
 
+def test_names_that_mark_the_article():
+    page = f"""<div id="wrap"><p>{LONG}</p><div class="post-content"><div class="entry-header">Title
+    </div><p>Short one.</p><p>{OTHER}</p><div class="post-footer">{LONG}</div></div></div>"""
+    assert html_text.main_text(page) == f"Title\nShort one.\n{OTHER}"
+
+
 @pytest.mark.parametrize(
     "page, text",
     [
