@@ -56,7 +56,9 @@ def place_rows(
         "order_key", "doc_id", "size", "text_crc32"
     )
     ranked = narrow.withColumn("inside", F.row_number().over(inside)).join(
-        offsets, F.col("source").eqNullSafe(F.col("named")) & (F.col("bucket") == F.col("at"))
+        # their number grows with the sources, so they are not broadcast
+        offsets.hint("merge"),
+        F.col("source").eqNullSafe(F.col("named")) & (F.col("bucket") == F.col("at")),
     )
     shift = F.conv(F.substring(seeded_key(seed, F.col("source")), 1, 8), 16, 10).cast("double")
     rank = (F.col("before") + F.col("inside") - 1).cast("double")
