@@ -10,9 +10,11 @@ smallest hashes in common; that all ``key_sample`` of them miss has a chance of
 about 0.2 ** key_sample. Inside a bucket fingerprints are compared bit-sliced,
 within a radius four standard deviations beyond the one expected at the least
 similarity. Texts that are near another one meet again with their full shingle
-sets, and every near pair that is not joined yet is checked on them, so nothing
-is removed on a fingerprint's word alone and no near pair goes unchecked. What
-leaves a bucket is a spanning forest of checked pairs. They form groups; of each
+sets. Shingles that a text shares with no other of its bucket bound its
+similarity to all of them, which settles most texts of a large loose group; every
+other near pair that is not joined yet is checked on the sets. So nothing is
+removed on a fingerprint's word alone and no near pair goes undecided. What leaves
+a bucket is a spanning forest of checked pairs. They form groups; of each
 group the row with the smallest id stays.
 
 Equal texts are one node throughout. Buckets beyond ``tile_rows`` texts are dealt
@@ -27,7 +29,7 @@ last to stay; all columns pass through; an empty table gives no rows.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +46,7 @@ from punctual.llm.simhash import (
     whole_buckets,
 )
 
-_CHUNK = 4 << 20
+_CHUNK = 1 << 20
 
 
 def radius_for(similarity: float) -> int:
@@ -134,24 +136,56 @@ def _shingle_sets(texts: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     return wanted.dropDuplicates(["node"]).mapInArrow(run, "of binary, shingles binary")
 
 
+class Sets:
+    """Shingle sets of the members of some buckets, one behind the other."""
+
+    def __init__(self, blobs: list[bytes], least: float) -> None:
+        sizes = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
+        self.flat = np.frombuffer(b"".join(blobs), "<u4")
+        self.ends = np.cumsum(sizes)
+        self.sizes = sizes
+        self.least = least
+
+    def of(self, i: int) -> np.ndarray:
+        return self.flat[self.ends[i] - self.sizes[i] : self.ends[i]]
+
+    def enough(self, both: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether ``both`` common shingles make members ``a`` and ``b`` similar."""
+        return both >= self.least * (self.sizes[a] + self.sizes[b] - both)
+
+    def similar(self, i: int, j: int) -> bool:
+        x, y = sorted((self.of(i), self.of(j)), key=len)
+        at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+        return bool(self.enough(int((y[at] == x).sum()), i, j))
+
+    def like(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Which of ``others``, neighbours in the arrays, are similar to ``i``."""
+        mine, first, last = self.of(i), others[0], others[-1]
+        span = self.flat[self.ends[first] - self.sizes[first] : self.ends[last]]
+        hit = mine[np.minimum(np.searchsorted(mine, span), len(mine) - 1)] == span
+        total = np.concatenate([[0], np.cumsum(hit)])
+        base = self.ends[first] - self.sizes[first]
+        stop = self.ends[others] - base
+        return self.enough(total[stop] - total[stop - self.sizes[others]], i, others)
+
+    def shared(self, buckets: np.ndarray) -> np.ndarray:
+        """Shingles of each member that another one of its bucket has as well."""
+        owner = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        group = np.unique(buckets, return_inverse=True)[1].astype(np.uint64)
+        keys = group[owner] << np.uint64(32) | self.flat
+        _, which, often = np.unique(keys, return_inverse=True, return_counts=True)
+        return np.bincount(owner[often[which] > 1], minlength=len(self.sizes))
+
+
 def _checked(near: DataFrame, sets: DataFrame, radius: int, min_similarity: float) -> DataFrame:
     """Edges that join the similar texts of every bucket."""
     steps = sorted({r for r in (2, 6, 12) if r < radius} | {radius})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in whole_buckets(batches, 1 << 15):
-            keys, blobs = part.column("bucket").to_numpy(), part.column("shingles")
-
-            def similar(i: int, j: int) -> bool:
-                x, y = (np.frombuffer(blobs[int(k)].as_py(), "<u4") for k in (i, j))
-                few, many = sorted((len(x), len(y)))
-                if few < min_similarity * many:
-                    return False
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                both = int((y[at] == x).sum())
-                return both >= min_similarity * (len(x) + len(y) - both)
-
-            a, b = spanning_forest(keys, _prints(part), steps, similar)
+            known = Sets(part.column("shingles").to_pylist(), min_similarity)
+            keys = part.column("bucket").to_numpy()
+            a, b = spanning_forest(keys, _prints(part), steps, known)
             node = part.column("node")
             ends = [node.take(pa.array(x, pa.int64())) for x in (a, b)]
             yield from pa.table(ends, ["a", "b"]).to_batches()
@@ -166,20 +200,22 @@ def _checked(near: DataFrame, sets: DataFrame, radius: int, min_similarity: floa
 
 
 def spanning_forest(
-    buckets: np.ndarray,
-    prints: np.ndarray,
-    steps: list[int],
-    similar: Callable[[int, int], bool],
+    buckets: np.ndarray, prints: np.ndarray, steps: list[int], sets: Sets, hubs: int = 16
 ) -> tuple[list[int], list[int]]:
-    """Similar pairs that join the members of each bucket, near ones first.
-
-    Every pair within the last step's radius is either joined already or
-    checked. After the first step only members outside their bucket's largest
-    group still ask, since pairs inside it have nothing to add.
+    """Similar pairs that join the members of each bucket.
+
+    What a member shares with no other one of its bucket bounds its similarity
+    to any of them: members that cannot reach it are left out, and so are pairs.
+    In large buckets the members that share most are compared with all others at
+    once. Then every pair within the last step's radius is either joined already,
+    or excluded by the bound, or checked, near ones first; members of their
+    bucket's largest group stop asking, as pairs inside it have nothing to add.
     """
     n = len(buckets)
     label = np.arange(n)
     ends: tuple[list[int], list[int]] = ([], [])
+    shared = sets.shared(buckets)
+    hopeful = shared >= sets.least * sets.sizes
 
     def roots(x: np.ndarray) -> np.ndarray:
         while True:
@@ -188,12 +224,46 @@ def spanning_forest(
                 return x
             x = up
 
-    asking, done = None, -1
+    def join(i: int, j: int) -> None:
+        x, y = int(roots(np.array([i]))[0]), int(roots(np.array([j]))[0])
+        if x != y:
+            label[max(x, y)] = min(x, y)
+            ends[0].append(i)
+            ends[1].append(j)
+
+    def stragglers() -> np.ndarray:
+        """Hopeful members outside the largest group of their bucket."""
+        label[:] = roots(np.arange(n))
+        root, size = np.unique(label, return_counts=True)
+        order = np.lexsort((size, buckets[root]))
+        home = buckets[root[order]]
+        largest = root[order][np.append(home[1:] != home[:-1], True)]
+        return hopeful & ~np.isin(label, largest)
+
+    heads = np.flatnonzero(np.append(True, buckets[1:] != buckets[:-1]))
+    for start, stop in zip(heads, [*heads[1:], n]):
+        if stop - start <= 64:
+            continue
+        members = np.arange(start, stop)
+        loose = members[hopeful[members]]
+        for _ in range(hubs):
+            if not len(loose):
+                break
+            hub = int(loose[np.argmax(shared[loose] / sets.sizes[loose])])
+            for j in members[sets.like(hub, members) & hopeful[members]].tolist():
+                if j != hub:
+                    join(hub, j)
+            loose = loose[roots(loose) != roots(np.array([hub]))[0]]
+            loose = loose[loose != hub]
+
+    asking, done = stragglers(), -1
     for radius in steps:
         for a, b in near_pairs(buckets, prints, radius, asking=asking):
             far = popcount(prints[a] ^ prints[b])
-            order = np.argsort(far, kind="stable")
-            order = order[far[order] > done]
+            most = np.minimum(shared[a], shared[b])
+            good = (far > done) & hopeful[a] & hopeful[b] & sets.enough(most, a, b)
+            order = np.flatnonzero(good)
+            order = order[np.argsort(far[order], kind="stable")]
             a, b = a[order], b[order]
             at, stride = 0, 64
             while at < len(a):
@@ -205,20 +275,14 @@ def spanning_forest(
                         x = int(label[x])
                     while label[y] != y:
                         y = int(label[y])
-                    if x != y and similar(i, j):
+                    if x != y and sets.similar(i, j):
                         label[max(x, y)] = min(x, y)
                         ends[0].append(i)
                         ends[1].append(j)
                 at += stride
                 stride = min(stride * 2, 1 << 14)
-        label = roots(np.arange(n))
         done = radius
-        # the largest group of each bucket stops asking
-        root, size = np.unique(label, return_counts=True)
-        order = np.lexsort((size, buckets[root]))
-        home = buckets[root[order]]
-        largest = root[order][np.append(home[1:] != home[:-1], True)] if n else root
-        asking = ~np.isin(label, largest)
+        asking = stragglers()
     return ends
 
 

@@ -39,13 +39,13 @@ def kept(spark, rows, **knobs):
     return sorted((r.doc_id is None, r.doc_id or 0) for r in out.collect())
 
 
-def some_copies(n, seed=4):
+def some_copies(n, seed=4, texts=12, edits=4):
     rng = np.random.default_rng(seed)
-    base = [[f"w{rng.integers(3000)}" for _ in range(120)] for _ in range(12)]
+    base = [[f"w{rng.integers(3000)}" for _ in range(120)] for _ in range(texts)]
     rows = []
     for i in range(n):
-        words = list(base[rng.integers(12)])
-        for _ in range(rng.integers(0, 4)):
+        words = list(base[rng.integers(texts)])
+        for _ in range(rng.integers(0, edits)):
             words[rng.integers(len(words))] = f"x{rng.integers(1000)}"
         rows.append((n - i, " ".join(words), "x", i))
     return rows + [(10_000 + i, " ".join(f"u{rng.integers(9999)}" for _ in range(80)), "", 0) for i in range(30)]
@@ -56,6 +56,12 @@ def test_equals_brute_force(spark):
     assert kept(spark, rows) == survivors(rows)
 
 
+def test_a_large_group_with_many_edits(spark):
+    """Most of the group's pairs are near, but not near enough."""
+    rows = some_copies(300, seed=5, texts=1, edits=7)
+    assert kept(spark, rows) == survivors(rows)
+
+
 def test_tiles_of_a_large_bucket_lose_nothing(spark):
     rows = some_copies(150, seed=8)
     assert kept(spark, rows, tile_rows=8) == survivors(rows)
