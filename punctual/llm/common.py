@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from functools import cache
 
@@ -38,6 +39,15 @@ def seeded_key(seed: int, value: Column) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(value.cast("string"), F.lit(""))))
 
 
+def give_back() -> None:
+    """Hand memory that a task no longer uses back to the system: workers live on
+    after it, and their allocators would keep what the largest task needed."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def as_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """Values of a binary Arrow column, empty where NULL."""
     return [v or b"" for v in column.to_pylist()]
@@ -114,32 +124,32 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: in
     return _rolling(_byte_values(salt)[data], starts, ends, salt)
 
 
-def word_hashes(
-    bodies: list[bytes], salts: tuple[int, ...] = (0,), lower: bool = False, piece: int = 1 << 20
-) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Number of words per text, and the words' hashes one behind the other, one
-    array per salt. About ``piece`` bytes are held as arrays at a time."""
-    counts: list[np.ndarray] = []
-    hashes: list[list[np.ndarray]] = [[] for _ in salts]
+def pieces_of(bodies: list[bytes], most_bytes: int = 1 << 20) -> Iterator[slice]:
+    """Stretches of texts of about ``most_bytes``, so that arrays stay small; a
+    longer text is one of its own."""
     at = 0
     while at < len(bodies):
         upto, size = at, 0
-        while upto < len(bodies) and (upto == at or size + len(bodies[upto]) < piece):
+        while upto < len(bodies) and (upto == at or size + len(bodies[upto]) < most_bytes):
             size += len(bodies[upto]) + 1
             upto += 1
-        lengths = np.fromiter(map(len, bodies[at:upto]), np.int64, upto - at)
-        begins = np.cumsum(lengths + 1) - lengths - 1
-        data = np.frombuffer(b"\n".join(bodies[at:upto]) + b"\n", np.uint8)
-        data = lower_ascii(data) if lower else data
-        starts, ends = word_spans(data)
-        owner = np.searchsorted(begins, starts, side="right") - 1
-        counts.append(np.bincount(owner, minlength=upto - at))
-        for salt, held in zip(salts, hashes):
-            held.append(span_hashes(data, starts, ends, salt))
+        yield slice(at, upto)
         at = upto
-    if not counts:
-        return np.zeros(0, np.int64), [np.zeros(0, np.uint64) for _ in salts]
-    return np.concatenate(counts), [np.concatenate(h) for h in hashes]
+
+
+def word_hashes(
+    bodies: list[bytes], salts: tuple[int, ...] = (0,), lower: bool = False
+) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Number of words per text, and the words' hashes one behind the other, one
+    array per salt."""
+    lengths = np.fromiter(map(len, bodies), np.int64, len(bodies))
+    begins = np.cumsum(lengths + 1) - lengths - 1
+    data = np.frombuffer(b"\n".join(bodies) + b"\n", np.uint8)
+    data = lower_ascii(data) if lower else data
+    starts, ends = word_spans(data)
+    owner = np.searchsorted(begins, starts, side="right") - 1
+    counts = np.bincount(owner, minlength=len(bodies))
+    return counts, [span_hashes(data, starts, ends, salt) for salt in salts]
 
 
 def run_hashes(words: np.ndarray, starts: np.ndarray, width: int, salt: int = 0) -> np.ndarray:
@@ -216,6 +226,8 @@ def regrouped(
                 held, size = [], 0
     if held:
         yield pa.Table.from_batches(held)
+    held = []
+    give_back()
 
 
 def _byte_lengths(column: pa.Array) -> np.ndarray:

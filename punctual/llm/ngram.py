@@ -33,9 +33,11 @@ from pyspark.sql import functions as F
 from punctual.llm.batches import batched, from_blob
 from punctual.llm.common import (
     as_bytes,
+    give_back,
     mix64,
     pack_numbers,
     pack_sorted,
+    pieces_of,
     stored,
     unpack_numbers,
     unpack_sorted,
@@ -76,7 +78,9 @@ class Tokens:
 
 
 def tokens_of(bodies: list[bytes]) -> Tokens:
-    counts, (words,) = word_hashes(bodies, lower=True)
+    parts = [word_hashes(bodies[piece], lower=True) for piece in pieces_of(bodies)]
+    counts = np.concatenate([np.zeros(0, np.int64), *[p[0] for p in parts]])
+    words = np.concatenate([np.zeros(0, np.uint64), *[p[1][0] for p in parts]])
     sizes = counts + 1
     ends = np.cumsum(sizes) - 1
     total = int(sizes.sum())
@@ -227,6 +231,7 @@ def _held_out_cells(fit_tokens: int, folds: Folds):
     """Histogram of the withheld tokens of a batch: context bucket by estimates."""
 
     def run(batch: pa.Table, answers: pa.Table) -> pa.Table:
+        give_back()
         rows, found = _opened(batch)
         fold = np.asarray(rows.column("fold"))[found.owner]
         trained, withheld = _counts(answers)
@@ -326,6 +331,7 @@ def scored_texts(
     weights = _weights(cells, uniform)
 
     def last(batch: pa.Table, answers: pa.Table) -> pa.Table:
+        give_back()
         rows, found = _opened(batch)
         trained, _ = _counts(answers)
         single = trained[found.single]

@@ -226,7 +226,7 @@ def measure(texts: list[bytes], rules: Rules = Rules()) -> Measured:
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 FLAGS = ("base_failed", "kept")
-_CHUNK = 4 << 20
+_CHUNK = 1 << 20
 
 
 def judged(docs: DataFrame, rules: Rules = Rules(), columns: list[str] | None = None) -> DataFrame:

@@ -38,9 +38,11 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from punctual.llm.batches import batched, from_blob
 from punctual.llm.common import (
     as_bytes,
+    give_back,
     mix64,
     pack_numbers,
     pack_sorted,
+    pieces_of,
     run_hashes,
     stored,
     unpack_numbers,
@@ -84,13 +86,21 @@ class Windows:
 
 
 def windows_of(bodies: list[bytes], width: int, both: bool = True) -> Windows:
-    counts, words = word_hashes(bodies, (0, 1) if both else (0,))
-    ends = np.cumsum(counts)
-    total = int(counts.sum())
-    room = np.repeat(ends, counts) - np.arange(total)
-    starts = np.flatnonzero(room >= width)
-    hashes = [run_hashes(w, starts, width, salt) for salt, w in enumerate(words)]
-    return Windows(counts, starts, hashes[0], hashes[1] if both else hashes[0])
+    salts = (0, 1) if both else (0,)
+    parts: list[list[np.ndarray]] = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)]]
+    parts += [[np.zeros(0, np.uint64)] for _ in salts]
+    before = 0
+    for piece in pieces_of(bodies):
+        counts, words = word_hashes(bodies[piece], salts)
+        total = int(counts.sum())
+        room = np.repeat(np.cumsum(counts), counts) - np.arange(total)
+        starts = np.flatnonzero(room >= width)
+        hashes = [run_hashes(w, starts, width, salt) for salt, w in zip(salts, words)]
+        for held, new in zip(parts, (counts, starts + before, *hashes)):
+            held.append(new)
+        before += total
+    whole = [np.concatenate(p) for p in parts]
+    return Windows(*whole[:3], whole[-1])
 
 
 def n_windows(bodies: list[bytes], width: int) -> int:
@@ -144,6 +154,7 @@ def _merged(sketch: Sketch):
     """Cells of a stretch that were hit twice or more, for each batch that hit them."""
 
     def run(key: tuple, hits: pa.Table) -> pa.Table:
+        give_back()
         count = np.zeros(sketch.stretch, np.uint8)
         lists = [unpack_sorted(b) for b in hits.column("cells").to_pylist()]
         for cells in lists:
@@ -199,6 +210,7 @@ def _estimated(width: int, sketch: Sketch, parts: int):
     The windows' places travel with the first row and come back with its answer."""
 
     def run(batch: pa.Table, often: pa.Table) -> pa.Table:
+        give_back()
         out: list[tuple] = []
         if batch.num_rows and often.num_rows:
             bodies = as_bytes(from_blob(batch.column("body")[0].as_py()).column("__body"))
@@ -306,6 +318,7 @@ def scan_repeats(
     real = stored(keys.groupBy("part").applyInArrow(_confirmed, _TRUE), "repeats-found", "none")
 
     def last(batch: pa.Table, repeats: pa.Table) -> pa.Table:
+        give_back()
         rows = from_blob(batch.column("body")[0].as_py())
         bodies = rows.column("__body").to_pylist()
         texts = [b or b"" for b in bodies]

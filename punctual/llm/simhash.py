@@ -34,11 +34,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punctual.llm.common import as_bytes, regrouped, stored
+from punctual.llm.common import as_bytes, give_back, regrouped, stored
 
 SEED = 42
 _ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
-_CHUNK = 4 << 20
+_CHUNK = 1 << 20
 
 
 # ---- fingerprints -----------------------------------------------------------------
@@ -278,6 +278,8 @@ def whole_buckets(
             held = [whole]
     if held:
         yield pa.concat_tables(held)
+    held = []
+    give_back()
 
 
 def _piece_masks(blocks: int) -> list[int]:

@@ -1,6 +1,6 @@
 """Byte-level BPE encoding and decoding with the tiktoken library.
 
-The rank file is shared by name and loaded once per Python worker. Texts are
+The rank file is shared by name and loaded once per task. Texts are
 cut before they are encoded: in front of white space that follows something
 else no match of the pattern can cross, so pieces of at least ``chunk_chars``
 characters ending there encode to what the whole text does. A single match
@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from punctual.llm.common import give_back
+
 CHUNK_CHARS = 1 << 16
 LONG_RUN = 1 << 16
 #: Splits nothing: the library merges the whole string as one match.
@@ -93,18 +95,26 @@ def _encoded(column: str, path: str, pattern: str, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             # a handful of texts at a time: ids are much larger than the text
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
                 texts = part.column(column).to_pylist()
                 ids = [encode(t, path, pattern) if t else [] for t in texts]
                 arrays = [part.column(n) for n in part.schema.names]
                 yield pa.RecordBatch.from_arrays(
                     [*arrays, pa.array(ids, pa.list_(pa.int32()))], schema=schema
                 )
+        _forget()
 
     return run
 
 
+def _forget() -> None:
+    """The library's encoders are large: none outlives its task in a worker."""
+    encoding.cache_clear()
+    _ranks.cache_clear()
+    give_back()
+
+
 def encode_texts(
     docs: DataFrame, path: str, pattern: str, column: str = "text", ids: str = "token_ids"
 ) -> DataFrame:
@@ -130,6 +140,8 @@ def decode_texts(
             bodies = [decoder.decode_bytes(v or []) for v in batch.column(ids).to_pylist()]
             arrays = [batch.column(n) for n in batch.schema.names]
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(bodies, pa.binary())], schema=arrow)
+        del decoder
+        _forget()
 
     return encoded.mapInArrow(run, schema)
 
@@ -161,5 +173,7 @@ def token_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 ],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
+        del encoder
+        _forget()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, DIGEST)
