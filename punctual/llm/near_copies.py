@@ -4,12 +4,17 @@ Texts are near copies when the sets of their word shingles (five words,
 lower-cased in ASCII) have a Jaccard similarity of at least ``min_similarity``.
 Fingerprints of such texts differ in about ten of 64 bits at 0.8, far too many
 for agreeing on whole pieces of a fingerprint, so candidates meet by content:
-each distinct text is filed under some of its smallest shingle hashes, the rarest
-of those that another text shares. Two texts at 0.8 or above have most of their
-smallest hashes in common; that all ``key_sample`` of them miss has a chance of
-about 0.2 ** key_sample. Inside a bucket fingerprints are compared bit-sliced,
+each distinct text is filed under its smallest shingle hashes, all of those that
+another text shares, however often. Similar texts have a hash in common among
+the smallest ``n - ceil(0.8 n) + 1`` of each one's n (hashes are the global order
+of a prefix filter), so texts with up to 79 shingles, which need no more than
+``key_sample`` of 16, never miss each other. Of longer ones the ``key_sample`` smallest
+are taken; that the first 16 hashes of two such texts are all unshared has a
+chance of at most 0.2 ** 16. Inside a bucket fingerprints are compared bit-sliced,
 within a radius four standard deviations beyond the one expected at the least
-similarity. Texts that are near another one meet again with their full shingle
+similarity, which 4e-5 of the pairs at just that similarity exceed. Fingerprints of
+few shingles stray further: texts of up to ``short`` shingles are compared on their sets
+whatever their fingerprints say. Texts that are near another one meet again with their full shingle
 sets. Shingles that a text shares with no other of its bucket bound its
 similarity to all of them, which settles most texts of a large loose group; every
 other near pair that is not joined yet is checked on the sets. So nothing is
@@ -33,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from punctual.llm.common import as_bytes, regrouped, stored
@@ -62,54 +67,65 @@ def shingle_set(text: bytes, width: int) -> np.ndarray:
     return np.unique(np.array(hashes, np.uint64))
 
 
+def prefix_length(n: int, similarity: float) -> int:
+    """Smallest hashes of ``n`` of which a text shares one with any similar text."""
+    return n - math.ceil(similarity * n - 1e-9) + 1
+
+
 def _node(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text.cast("binary"), F.lit(b""))))
 
 
-def _signatures(texts: DataFrame, width: int, key_sample: int) -> DataFrame:
+def _signatures(texts: DataFrame, width: int, key_sample: int, min_similarity: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in regrouped(batches, _CHUNK, "body"):
             sets = [shingle_set(b, width) for b in as_bytes(part.column("body"))]
             counts = np.fromiter(map(len, sets), np.int64, len(sets))
             prints = majority(np.concatenate(sets), counts)
-            keys = [s[:key_sample].view(np.int64).tolist() for s in sets]
-            yield from pa.table(
-                [part.column("node"), pa.array(prints.view(np.int64)), pa.array(keys, pa.list_(pa.int64()))],
-                ["node", "fp", "keys"],
-            ).to_batches()
+            keys = [
+                s[: min(key_sample, prefix_length(len(s), min_similarity))].view(np.int64).tolist()
+                for s in sets
+            ]
+            columns = [
+                part.column("node"),
+                pa.array(prints.view(np.int64)),
+                pa.array(counts),
+                pa.array(keys, pa.list_(pa.int64())),
+            ]
+            yield from pa.table(columns, ["node", "fp", "n_shingles", "keys"]).to_batches()
 
-    return texts.mapInArrow(run, "node binary, fp long, keys array<long>")
+    return texts.mapInArrow(run, "node binary, fp long, n_shingles long, keys array<long>")
 
 
-def _filed(signatures: DataFrame, keys_used: int, tile_rows: int) -> DataFrame:
-    """Rows (bucket, fp, node): each text under its rarest shared keys."""
-    filed = signatures.select("node", "fp", F.explode("keys").alias("key"))
+def _filed(signatures: DataFrame, short: int, tile_rows: int) -> DataFrame:
+    """Rows (bucket, fp, node, short): each text under all its shared keys."""
+    filed = signatures.select(
+        "node", "fp", (F.col("n_shingles") <= short).alias("short"), F.explode("keys").alias("key")
+    )
     shared = stored(
         filed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "copies-keys"
     )
-    rarest = Window.partitionBy("node").orderBy("n", "key")
     met = filed.join(shared.withColumnRenamed("key", "of_key"), F.col("key") == F.col("of_key"))
-    chosen = met.withColumn("r", F.row_number().over(rarest)).where(F.col("r") <= keys_used)
     tiles = F.ceil(F.col("n") / tile_rows)
     own = F.pmod(F.xxhash64("node"), tiles)
     pairs = F.transform(
         F.sequence(F.lit(0).cast("bigint"), tiles - 1),
         lambda other: F.xxhash64("key", F.least(own, other), F.greatest(own, other)),
     )
-    return chosen.select(F.explode(pairs).alias("bucket"), "fp", "node")
+    return met.select(F.explode(pairs).alias("bucket"), "fp", "node", "short")
 
 
 def _near_some(filed: DataFrame, radius: int) -> DataFrame:
-    """The rows that have another one of their bucket within the radius."""
+    """The rows that have another one of their bucket within the radius, and the short ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in whole_buckets(batches):
             keys = part.column("bucket").to_numpy()
-            near = np.zeros(len(keys), bool)
+            near = part.column("short").to_numpy().copy()
             for a, b in near_pairs(keys, _prints(part), radius):
                 near[a] = True
                 near[b] = True
-            yield from part.filter(pa.array(near)).to_batches()
+            yield from part.filter(pa.array(near)).drop_columns(["short"]).to_batches()
 
     dealt = filed.repartition("bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(run, "bucket long, fp long, node binary")
@@ -177,7 +193,9 @@ class Sets:
         return np.bincount(owner[often[which] > 1], minlength=len(self.sizes))
 
 
-def _checked(near: DataFrame, sets: DataFrame, radius: int, min_similarity: float) -> DataFrame:
+def _checked(
+    near: DataFrame, sets: DataFrame, radius: int, min_similarity: float, short: int
+) -> DataFrame:
     """Edges that join the similar texts of every bucket."""
     steps = sorted({r for r in (2, 6, 12) if r < radius} | {radius})
 
@@ -185,7 +203,7 @@ def _checked(near: DataFrame, sets: DataFrame, radius: int, min_similarity: floa
         for part in whole_buckets(batches, 1 << 15):
             known = Sets(part.column("shingles").to_pylist(), min_similarity)
             keys = part.column("bucket").to_numpy()
-            a, b = spanning_forest(keys, _prints(part), steps, known)
+            a, b = spanning_forest(keys, _prints(part), steps, known, short)
             node = part.column("node")
             ends = [node.take(pa.array(x, pa.int64())) for x in (a, b)]
             yield from pa.table(ends, ["a", "b"]).to_batches()
@@ -194,15 +212,20 @@ def _checked(near: DataFrame, sets: DataFrame, radius: int, min_similarity: floa
         near.join(sets, F.col("node") == F.col("of"))
         .select("bucket", "fp", "node", "shingles")
         .repartition("bucket")
-        .sortWithinPartitions("bucket")
+        .sortWithinPartitions("bucket", F.octet_length("shingles"))
     )
     return dealt.mapInArrow(run, "a binary, b binary").distinct()
 
 
 def spanning_forest(
-    buckets: np.ndarray, prints: np.ndarray, steps: list[int], sets: Sets, hubs: int = 16
+    buckets: np.ndarray,
+    prints: np.ndarray,
+    steps: list[int],
+    sets: Sets,
+    short: int,
+    hubs: int = 16,
 ) -> tuple[list[int], list[int]]:
-    """Similar pairs that join the members of each bucket.
+    """Similar pairs that join the members of each bucket, which lie in order of size.
 
     What a member shares with no other one of its bucket bounds its similarity
     to any of them: members that cannot reach it are left out, and so are pairs.
@@ -210,6 +233,8 @@ def spanning_forest(
     once. Then every pair within the last step's radius is either joined already,
     or excluded by the bound, or checked, near ones first; members of their
     bucket's largest group stop asking, as pairs inside it have nothing to add.
+    Last, members of up to ``short`` shingles are compared with all members of a
+    size that can be similar, at any radius.
     """
     n = len(buckets)
     label = np.arange(n)
@@ -283,6 +308,19 @@ def spanning_forest(
                 stride = min(stride * 2, 1 << 14)
         done = radius
         asking = stragglers()
+
+    for start, stop in zip(heads, [*heads[1:], n]):
+        asks = np.flatnonzero(asking[start:stop] & (sets.sizes[start:stop] <= short)) + start
+        inside = sets.sizes[start:stop]
+        for i in asks.tolist():
+            mine = int(sets.sizes[i])
+            low = int(np.searchsorted(inside, math.ceil(sets.least * mine - 1e-9)))
+            high = int(np.searchsorted(inside, mine / sets.least + 1e-9, side="right"))
+            others = np.arange(start + low, start + high)
+            apart = hopeful[others] & (roots(others) != roots(np.array([i]))[0])
+            if apart.any():
+                for j in others[apart & sets.like(i, others)].tolist():
+                    join(i, j)
     return ends
 
 
@@ -291,17 +329,17 @@ def without_near_copies(
     width: int = 5,
     min_similarity: float = 0.8,
     key_sample: int = 16,
-    keys_used: int = 8,
+    short: int = 80,
     tile_rows: int = 4096,
 ) -> DataFrame:
     """``docs`` with one row of each group of near copies."""
     texts = docs.select(_node(F.col("text")).alias("node"), F.col("text").cast("binary").alias("body"))
-    signed = stored(_signatures(texts, width, key_sample), "copies-signed")
+    signed = stored(_signatures(texts, width, key_sample, min_similarity), "copies-signed")
     signatures = signed.dropDuplicates(["node"])
     radius = radius_for(min_similarity)
-    near = stored(_near_some(_filed(signatures, keys_used, tile_rows), radius), "copies-near")
+    near = stored(_near_some(_filed(signatures, short, tile_rows), radius), "copies-near")
     sets = stored(_shingle_sets(texts, near.select("node").distinct(), width), "copies-sets")
-    similar = stored(_checked(near, sets, radius, min_similarity), "copies-similar")
+    similar = stored(_checked(near, sets, radius, min_similarity, short), "copies-similar")
     roots = stored(components(similar, "copies-stars"), "copies-roots")
     narrow = docs.select("doc_id", _node(F.col("text")).alias("__node"))
     rooted = narrow.join(roots, F.col("__node") == F.col("node"), "left").select(

@@ -86,3 +86,40 @@ def test_edges(spark):
 
 def test_empty_table(spark):
     assert kept(spark, []) == []
+
+
+def test_a_shared_passage_does_not_hide_a_large_group(spark):
+    """A text of a large group has most of its smallest hashes in a passage that
+    only two others have."""
+    rng = np.random.default_rng(16)
+
+    def words(n):
+        return [f"w{rng.integers(10**9)}" for _ in range(n)]
+
+    while True:
+        text, passage = words(84), words(18)
+        own = near_copies.shingle_set(" ".join(passage).encode(), 5)
+        least = near_copies.shingle_set(" ".join(text + passage).encode(), 5)[:16]
+        if np.isin(least, own).sum() >= 8:
+            break
+    group = [text, *(text[:-1] + words(1) for _ in range(30)), text + passage]
+    group += [words(3) + passage, words(3) + passage]
+    rows = [(i, " ".join(t), "", 0) for i, t in enumerate(group)]
+    assert len(survivors(rows)) == 3
+    assert kept(spark, rows) == survivors(rows)
+
+
+def test_short_texts_are_compared_whatever_their_fingerprints_say(spark):
+    rng = np.random.default_rng(7)
+    rows = []
+    for i in range(6000):
+        words = [f"v{rng.integers(10**9)}" for _ in range(9)]
+        rows += [(2 * i, " ".join(words), "", 0), (2 * i + 1, " ".join(words[:8]), "", 0)]
+    assert kept(spark, rows) == [(False, 2 * i) for i in range(6000)]
+
+
+def test_prefixes_are_exact():
+    for n in range(1, 400):
+        k = near_copies.prefix_length(n, 0.8)
+        most_unshared = max(n - c for c in range(1, n + 1) if 5 * c >= 4 * n)
+        assert k == most_unshared + 1
