@@ -44,6 +44,8 @@ STOP_WORDS = frozenset(
 )
 # Names of elements.
 RAW = "script|style|noscript|template|textarea|title|iframe|svg|math|object|audio|video|canvas"
+#: Those that are empty where their tag closes itself; the others read on as raw text.
+SELF_CLOSED = "template|iframe|svg|math|object|audio|video|canvas"
 INLINE = frozenset(
     """
     a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby
@@ -103,6 +105,8 @@ class BlockRules:
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
+    rf"|<(?P<empty>{SELF_CLOSED})(?=[\s/>])"
+    r"(?:[^>\"'=/]++|=\s*(?:\"[^\"]*+\"|'[^']*+'|[^\s\"'>]++)|/(?!>)|[\"'=])*+/>"
     rf"|<(?P<raw>{RAW})(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(?:/?[a-zA-Z]|[!?/])[^>]*(?:>|\Z)"
@@ -173,7 +177,7 @@ def blocks(page: str) -> list[Block]:
                 if links:
                     linked.append(text)
             continue
-        if kind == "raw":
+        if kind in ("raw", "empty"):
             pieces.append(" ") if not skips else None
             continue
         name = token["name"]

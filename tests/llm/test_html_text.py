@@ -72,6 +72,23 @@ def test_markup(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "icon",
+    [
+        '<svg class="i"/>',
+        "<svg class='a>b' />",
+        "<math/>",
+        "<object data='x'/>",
+        '<iframe src="/x"/>',
+        "<svg class=i/><path/></svg>",
+        "<svg><path d='M0'/>no</svg>",
+    ],
+)
+def test_self_closed_elements_are_empty(icon):
+    page = f"<body>{icon}<article><p>{LONG}</p><p>{icon}{OTHER}</p></article>{icon}</body>"
+    assert html_text.main_text(page) == f"{LONG}\n{OTHER}"
+
+
 def test_edges(spark):
     rows = [
         (1, None, None, "x", 1),
