@@ -8,6 +8,10 @@ that loses too much of its text that way is rejected. Besides, counts over the
 whole text are taken, and the base rule on them rejects too short and too
 repetitive texts.
 
+Whether prose comes to an end mark is asked of a paragraph, not of each of its
+lines: a run of lines up to a blank line, a line that ends in a mark, or a
+navigation line. So hard-wrapped prose stays as it would on one line.
+
 All counts of a few megabytes of text are taken at once on byte arrays; texts
 are independent of each other, so the plan is one scan without a shuffle.
 
@@ -32,7 +36,27 @@ from punctual.llm.common import as_bytes, lower_ascii, mix64, regrouped, span_ha
 
 # Marks that end a line of prose, separators of navigation lines,
 # symbols of the base count, stock phrases of page furniture.
-END_MARKS = ".!?:;…。！？\"'”’»)]"
+END_MARKS = ".!?:;…。！？\"'”’»)]" + (
+    # the other sentence terminators of Unicode, in the order of their codes
+    "\u0589\u061d\u061e\u061f\u06d4\u0700\u0701\u0702\u07f9\u0837\u0839\u083d\u083e"
+    "\u0964\u0965\u104a\u104b\u1362\u1367\u1368\u166e\u1735\u1736\u17d4\u17d5\u1803\u1809"
+    "\u1944\u1945\u1aa8\u1aa9\u1aaa\u1aab\u1b4e\u1b4f\u1b5a\u1b5b\u1b5e\u1b5f\u1b7d\u1b7e"
+    "\u1b7f\u1c3b\u1c3c\u1c7e\u1c7f\u203c\u203d\u2047\u2048\u2049\u2cf9\u2cfa\u2cfb\u2e2e"
+    "\u2e3c\u2e53\u2e54\ua4ff\ua60e\ua60f\ua6f3\ua6f7\ua876\ua877\ua8ce\ua8cf\ua92f\ua9c8"
+    "\ua9c9\uaa5d\uaa5e\uaa5f\uaaf0\uaaf1\uabeb\ufe12\ufe15\ufe16\ufe52\ufe56\ufe57\uff0e"
+    "\uff61\U00010a56\U00010a57\U00010f55\U00010f56\U00010f57\U00010f58\U00010f59\U00010f86"
+    "\U00010f87\U00010f88\U00010f89\U00011047\U00011048\U000110be\U000110bf\U000110c0"
+    "\U000110c1\U00011141\U00011142\U00011143\U000111c5\U000111c6\U000111cd\U000111de"
+    "\U000111df\U00011238\U00011239\U0001123b\U0001123c\U000112a9\U0001144b\U0001144c"
+    "\U000115c2\U000115c3\U000115c9\U000115ca\U000115cb\U000115cc\U000115cd\U000115ce"
+    "\U000115cf\U000115d0\U000115d1\U000115d2\U000115d3\U000115d4\U000115d5\U000115d6"
+    "\U000115d7\U00011641\U00011642\U0001173c\U0001173d\U0001173e\U00011944\U00011946"
+    "\U00011a42\U00011a43\U00011a9b\U00011a9c\U00011c41\U00011c42\U00011ef7\U00011ef8"
+    "\U00011f43\U00011f44\U00016a6e\U00016a6f\U00016af5\U00016b37\U00016b38\U00016b44"
+    "\U00016e98\U0001bc9f\U0001da88"
+    # colons, semicolons, closing brackets and quotes of the scripts that use them
+    "\u061b\u0f0d\u0f0e\u300b\u300d\u300f\u3011\uff09\uff1a\uff1b\uff63"
+)
 SEPARATORS = "|›»>•·"
 SYMBOLS = "#*$%&|<>"
 PHRASES = (
@@ -64,7 +88,7 @@ class Rules:
     symbol_share: float = 0.3  # words with a symbol
     shout_share: float = 0.5  # words that end in a doubled mark, or are upper case
     short_line: int = 2  # words of a line that needs no mark
-    words_per_mark: int = 60  # a line that ends without a mark has one so often
+    words_per_mark: int = 60  # a paragraph that ends without a mark has one so often
     stutter_share: float = 0.3  # words equal to the word before them
     phrase_words: int = 25  # stock phrases condemn only lines up to this length
 
@@ -82,6 +106,24 @@ def _marks(characters: str, data: np.ndarray) -> np.ndarray:
     return hit
 
 
+_END_CODES = np.array(sorted(map(ord, END_MARKS)))
+
+
+def _last_characters(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Code point of the last character of each word."""
+    at = ends - 1
+    code = data[at].astype(np.int64)
+    more = (code & 0xC0) == 0x80
+    code[more] &= 0x3F
+    for back in (1, 2, 3):
+        byte = data[np.maximum(at - back, starts)].astype(np.int64)
+        follows = (byte & 0xC0) == 0x80
+        bits = byte & np.where(follows, 0x3F, 0x7F >> (back + 1))
+        code = np.where(more, code | bits << (6 * back), code)
+        more &= follows
+    return code
+
+
 def _sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     total = np.zeros(len(values) + 1, np.int64)
     np.cumsum(values, out=total[1:])
@@ -169,21 +211,27 @@ def measure(texts: list[bytes], rules: Rules = Rules()) -> Measured:
     w_first = np.searchsorted(w_start, l_start)
     w_after = w_first + l_words
 
+    # navigation
+    bars = _sums(_marks(SEPARATORS, data), l_start, l_end)
+    menu = (bars >= rules.min_separators) & (bars >= rules.separator_share * l_words)
     # punctuation
-    mark = _marks(END_MARKS, data)
-    ends_well = mark[w_end[w_after - 1] - 1] if len(l_start) else np.zeros(0, bool)
-    marked = _sums(mark[w_end - 1], w_first, w_after)
+    mark = np.isin(_last_characters(data, w_start, w_end), _END_CODES)
+    ends_well = mark[w_after - 1]
+    opens = np.ones(len(l_start), bool)
+    opens[1:] = (l_start[1:] != l_end[:-1] + 1) | (l_owner[1:] != l_owner[:-1])
+    opens[1:] |= ends_well[:-1] | menu[:-1] | menu[1:]
+    p_first = np.flatnonzero(opens)
+    p_last = np.append(p_first[1:], len(opens))[: len(p_first)] - 1
+    p_words = w_after[p_last] - w_first[p_first]
+    marked = _sums(mark, w_first[p_first], w_after[p_last])
+    p_fails = ~ends_well[p_last] & (marked * rules.words_per_mark < p_words)
     last, ahead = data[w_end - 1], data[np.maximum(w_end - 2, w_start)]
     doubled = (w_end - w_start >= 2) & (last == ahead) & np.isin(last, [33, 63])
     upper = _sums((data >= 65) & (data <= 90), w_start, w_end) >= 2
     upper &= _sums((data >= 97) & (data <= 122), w_start, w_end) == 0
     shouted = _sums(doubled | upper, w_first, w_after) > rules.shout_share * l_words
     shouted &= l_words > rules.short_line
-    unmarked = ~ends_well & (marked * rules.words_per_mark < l_words)
-    unmarked &= l_words > rules.short_line
-    # navigation
-    bars = _sums(_marks(SEPARATORS, data), l_start, l_end)
-    menu = (bars >= rules.min_separators) & (bars >= rules.separator_share * l_words)
+    unmarked = np.repeat(p_fails, p_last - p_first + 1) & (l_words > rules.short_line)
     # boilerplate
     hung = _sums(symbol, w_start, w_end) > 0
     noisy = (_sums(hung, w_first, w_after) > rules.symbol_share * l_words) & (

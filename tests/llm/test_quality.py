@@ -75,6 +75,38 @@ def test_line_rules(line, stays):
     assert found.line_stays.tolist() == [True, stays and line != PROSE]
 
 
+WRAPPED = """\
+It was a fine day in the old town, and all of them went
+out to see what it was about. Nobody had told them that
+the river was so high, but they saw it for themselves and
+were not at all afraid of what the evening would bring to
+their houses.
+
+When the lamps were lit people sat down to eat, and there
+was much talk of the weather, of the harvest and of a man
+who had come over the hills."""
+
+
+def test_wrapped_prose_stays():
+    found = quality.measure([WRAPPED.encode(), WRAPPED.replace("\n", "\r\n").encode()])
+    assert found.kept.all() and found.line_stays.all()
+
+
+def test_a_paragraph_ends_at_blank_marked_and_navigation_lines():
+    loose = "one line of words that never comes to any end mark at all"
+    menu = "Home | News | Sport | Contact | About us"
+    for text in (f"{loose}\n\n{PROSE}", f"{PROSE}\n{loose}", f"{loose}\n{menu}\n{PROSE}"):
+        stays = quality.measure([text.encode()]).line_stays.tolist()
+        assert stays == [line == PROSE for line in text.split("\n") if line]
+    assert quality.measure([loose.encode(), PROSE.encode()]).line_stays.tolist() == [False, True]
+
+
+@pytest.mark.parametrize("mark", ["।", "۔", "؟", "։", "።", "។", "\uff61", "\U00011047"])
+def test_end_marks_of_other_scripts(mark):
+    line = "यह एक पुराना शहर था और सब लोग वहाँ गए" + mark
+    assert quality.measure([line.encode()]).line_stays.tolist() == [True]
+
+
 def test_documents_that_lose_too_much_go(spark):
     menu = "Home | News | Sport | Contact | About us now"
     other = [
