@@ -10,6 +10,11 @@ sidebars, notices, adverts, forms, reader comments, scripts, styles) is left out
 before. Where a page marks its article, only the article's blocks are judged, and
 in it no block falls for want of stop words: the page has said what it is.
 
+A name alone is weaker than an element: an article inside a wrapper that is only
+named like furniture is judged by itself, and stands where it holds more text than
+the rest of the page. Where nothing else is left, the rules judge the named blocks too.
+Names that say what a page has or lacks (``has-sidebar``, ``no-comments``) count for nothing.
+
 Edge cases: NULL, empty and text-less pages give the empty text; unclosed and
 cut-off markup is read as far as it goes; character references are decoded, with
 or without their semicolon; a page of any length is read whole; equal rows get
@@ -73,6 +78,10 @@ JUNK_NAMES = frozenset(
     subscribe subscription tags teaser toolbar topbar widget widgets
     """.split()
 )
+#: Words that make a name describe a layout instead of the element.
+LAYOUT_WORDS = frozenset("has have no not with without".split())
+#: What may stand in a head; anything else ends one whose end tag is left out.
+HEAD_TAGS = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 MAIN_TAGS = frozenset(["article", "main"])
 # Names that say the same of a plain element, each word of them present.
 MAIN_NAMES = tuple(
@@ -128,28 +137,42 @@ def _names(rest: str) -> set[str]:
     return parts
 
 
+def _junk_names(rest: str) -> set[str]:
+    parts: set[str] = set()
+    for _, value in _NAMED.findall(rest):
+        for name in value.strip("\"'").split():
+            words = {p.lower() for p in _PARTS.findall(_CAMEL.sub(" ", name))}
+            if not words & LAYOUT_WORDS:
+                parts |= words
+    return parts & JUNK_NAMES
+
+
 @dataclass
 class Block:
     text: str
     linked: int
     main: bool
     heading: bool
+    named: bool  # like furniture, by a name alone
+    held: bool  # of an article inside such a name
 
 
 @dataclass
 class _Open:
     name: str
     skips: bool
+    named: bool
     main: bool
+    outer: int  # names around an article that it sets aside
 
 
 def blocks(page: str) -> list[Block]:
-    """Text blocks of a page in order, self-declared furniture left out."""
+    """Text blocks of a page in order, without furniture elements and hidden ones."""
     found: list[Block] = []
     stack: list[_Open] = []
     pieces: list[str] = []
     linked: list[str] = []
-    skips = mains = links = 0
+    skips = mains = links = names = held = heads = 0
     heading = ""
 
     def close() -> None:
@@ -157,20 +180,30 @@ def blocks(page: str) -> list[Block]:
             text = " ".join("".join(pieces).split())
             if text:
                 chars = len(" ".join("".join(linked).split()))
-                found.append(Block(text, chars, mains > 0, bool(heading)))
+                found.append(Block(text, chars, mains > 0, bool(heading), names > 0, held > 0))
             pieces.clear()
             linked.clear()
 
     def pop(to: int) -> None:
-        nonlocal skips, mains
+        nonlocal skips, mains, names, held, heads
         while len(stack) > to:
+            if stack[-1].named or stack[-1].outer:
+                close()
             gone = stack.pop()
             skips -= gone.skips
             mains -= gone.main
+            names += gone.outer - gone.named
+            held -= gone.outer > 0
+            heads -= gone.name == "head"
+
+    def end_head() -> None:
+        pop(next(at for at, x in enumerate(stack) if x.name == "head"))
 
     for token in _TOKEN.finditer(page):
         kind = token.lastgroup
         if kind == "text":
+            if heads and not token["text"].isspace():
+                end_head()
             if not skips:
                 text = html.unescape(token["text"])
                 pieces.append(text)
@@ -178,6 +211,8 @@ def blocks(page: str) -> list[Block]:
                     linked.append(text)
             continue
         if kind in ("raw", "empty"):
+            if heads and token[kind].lower() not in HEAD_TAGS:
+                end_head()
             pieces.append(" ") if not skips else None
             continue
         name = token["name"]
@@ -197,6 +232,8 @@ def blocks(page: str) -> list[Block]:
                     break
             continue
         rest = token["rest"]
+        if heads and name not in HEAD_TAGS:
+            end_head()
         if name == "br":
             pieces.append(" ")
             continue
@@ -211,7 +248,9 @@ def blocks(page: str) -> list[Block]:
             links = 0
             heading = name if name in HEADINGS else ""
         parts = _names(rest) if "=" in rest else set()
-        junk = bool(parts & JUNK_NAMES - (TITLE_NAMES if mains else set())) or (bool(rest) and bool(_HIDDEN.search(rest)))
+        hidden = bool(rest) and bool(_HIDDEN.search(rest))
+        named = bool(parts & JUNK_NAMES) and bool(_junk_names(rest) - (TITLE_NAMES if mains else set()))
+        junk = named or hidden
         if name in ("html", "body"):
             junk = False
         elif name in FURNITURE_TAGS:
@@ -225,9 +264,14 @@ def blocks(page: str) -> list[Block]:
         if name == "a":
             links += 1
         if junk or main or name not in INLINE:
-            stack.append(_Open(name, junk, main))
-            skips += junk
+            hard = junk and (hidden or not named or name in FURNITURE_TAGS or name in INLINE)
+            outer = names if main else 0
+            stack.append(_Open(name, hard, junk and not hard, main, outer))
+            skips += hard
             mains += main
+            names += (junk and not hard) - outer
+            held += outer > 0
+            heads += name == "head"
     close()
     return found
 
@@ -281,11 +325,7 @@ def _settled(labels: list[str], inside: bool) -> list[bool]:
     return [label == TEXT for label in labels]
 
 
-def main_text(page: str, rules: BlockRules = BlockRules()) -> str:
-    found = blocks(page)
-    inside = any(b.main for b in found)
-    if inside:
-        found = [b for b in found if b.main]
+def _judged(found: list[Block], inside: bool, rules: BlockRules) -> str:
     stay = _settled([_decided(b, rules) for b in found], inside)
     if not inside:
         # a heading right above text belongs to it
@@ -294,6 +334,22 @@ def main_text(page: str, rules: BlockRules = BlockRules()) -> str:
     return "\n".join(b.text for b, good in zip(found, stay) if good)
 
 
+def main_text(page: str, rules: BlockRules = BlockRules()) -> str:
+    found = blocks(page)
+    open_ = [b for b in found if not b.named and not b.held]
+    marked = [b for b in open_ if b.main]
+    text = _judged(marked or open_, bool(marked), rules)
+    if any(b.held for b in found):
+        held = _judged([b for b in found if b.held and not b.named], True, rules)
+        if len(held) > len(text):
+            both = [b for b in found if not b.named and (b.held or b.main)]
+            text = _judged(both, True, rules)
+    if not text and any(b.named for b in found):
+        marked = [b for b in found if b.main]
+        text = _judged(marked or found, bool(marked), rules)
+    return text
+
+
 RESULT = "page_id long, url string, text string, n_chars long"
 
 

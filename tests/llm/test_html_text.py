@@ -89,6 +89,32 @@ def test_self_closed_elements_are_empty(icon):
     assert html_text.main_text(page) == f"{LONG}\n{OTHER}"
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<div class="layout has-sidebar"><article><p>{LONG}</p><p>{OTHER}</p></article></div>',
+        f'<div class="post no-comments"><p>{LONG}</p><p>{OTHER}</p></div>',
+        f'<div class="sidebar layout"><article><p>{LONG}</p><p>{OTHER}</p></article></div>',
+        f'<div class="sidebar"><div class="post-content"><p>{LONG}</p><p>{OTHER}</p></div></div>',
+        f'<main><div class="widget"><p>{LONG}</p><p>{OTHER}</p></div></main>',
+        f"<html><head><title>t</title><meta x><body><article><p>{LONG}</p><p>{OTHER}</p></article>",
+        f"<html><head><title>t</title><p>{LONG}</p><p>{OTHER}</p>",
+        f"<head><title>t</title>{LONG}<p>{OTHER}</p>",
+    ],
+)
+def test_wrappers_and_open_heads_hide_no_article(page):
+    assert html_text.main_text(page) == f"{LONG}\n{OTHER}"
+
+
+def test_cards_in_furniture_stay_behind_the_article():
+    cards = f'<div class="related"><article><p>{LONG}</p></article></div>'
+    page = f"<main><p>{LONG}</p><p>{OTHER}</p></main>{cards}"
+    assert html_text.main_text(page) == f"{LONG}\n{OTHER}"
+    assert html_text.main_text(f"<div><p>{LONG}</p><p>{OTHER}</p></div>{cards}") == f"{LONG}\n{OTHER}"
+    hidden = f'<div class="sidebar" hidden><article><p>{LONG}</p></article></div>'
+    assert html_text.main_text(hidden) == ""
+
+
 def test_edges(spark):
     rows = [
         (1, None, None, "x", 1),
