@@ -87,9 +87,97 @@ FROM cut
 """
 
 
+# CRC-32 of a text's bytes, as a fold over the 256 steps of its polynomial
+_CRC32 = """
+crc_steps AS (
+  SELECT list(v ORDER BY b) AS step FROM (
+    SELECT b, list_reduce(list_concat([b], [0, 0, 0, 0, 0, 0, 0, 0]),
+             lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM (SELECT unnest(range(256)) AS b))
+), crc AS (
+  SELECT f, xor(4294967295, list_reduce(
+           list_concat([4294967295], list_transform(range(octet_length(encode(f))),
+             lambda i: CAST('0x' || substr(hex(encode(f)), 2 * i + 1, 2) AS BIGINT))),
+           lambda c, b: xor(c >> 8, step[1 + xor(c & 255, b)]))) AS crc32
+  FROM (SELECT DISTINCT f FROM features), crc_steps
+)
+"""
+
+OP11_IMPORTANCE = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, true AS own, text FROM documents
+  UNION ALL SELECT NULL, NULL, false, text FROM benchmark
+), worded AS (
+  SELECT r, doc_id, own, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM texts
+), features AS (
+  SELECT r, own, unnest(list_concat(w, list_transform(range(1, len(w)),
+           lambda i: w[i] || ' ' || w[i + 1]))) AS f
+  FROM worded
+), {crc}, bucketed AS (
+  SELECT r, own, CAST(crc32 % 10000 AS BIGINT) AS b FROM features JOIN crc USING (f)
+), counted AS (
+  SELECT b, count(*) FILTER (own) AS s, count(*) FILTER (NOT own) AS t FROM bucketed GROUP BY b
+), gains AS (
+  SELECT b, CAST(floor(1000 * ln(
+           ((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE)
+           / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM counted
+), summed AS (
+  SELECT r, count(*) AS n_features, sum(gain) AS gain FROM bucketed JOIN gains USING (b)
+  WHERE own GROUP BY r
+), weighted AS (
+  SELECT r, doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features,
+         CAST(coalesce(floor(gain / n_features), 0) AS BIGINT) AS weight,
+         CAST('0x' || substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8)
+              AS BIGINT) AS h
+  FROM worded LEFT JOIN summed USING (r) WHERE own
+), scored AS (
+  SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT)
+              AS score,
+         n_words >= 20 AS entitled
+  FROM weighted
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY entitled ORDER BY score DESC, doc_id NULLS LAST) AS place,
+         count(*) OVER (PARTITION BY entitled) AS n
+  FROM scored
+)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN entitled AND place <= 25 * n // 100 THEN place END AS rank
+FROM ranked
+""".replace("{crc}", _CRC32.strip())
+
+OP12_LINES = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines
+  FROM documents
+), exploded AS (
+  SELECT r, doc_id, generate_subscripts(lines, 1) AS i, unnest(lines) AS line FROM docs
+), keyed AS (
+  SELECT *, translate(trim(line, E' \t\n\x0B\x0C\r'),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM exploded
+), shared AS (
+  SELECT k, max(doc_id) AS keeper FROM keyed WHERE length(k) >= 40
+  GROUP BY k HAVING count(DISTINCT doc_id) >= 5
+)
+SELECT doc_id, count(*) AS n_lines,
+       count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM (
+  SELECT r, doc_id, i, line, keeper IS NOT NULL AND doc_id IS DISTINCT FROM keeper AS gone
+  FROM keyed LEFT JOIN shared USING (k)
+) GROUP BY r, doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_topk": OP1_TOPK,
         "op4_mixing": OP4_MIXING,
         "op7_repeats": OP7_REPEATS,
+        "op11_importance": OP11_IMPORTANCE,
+        "op12_lines": OP12_LINES,
     }

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from punctual.llm import (
     html_text,
+    importance,
+    line_copies,
     mixing,
     ngram,
     quality,
@@ -19,6 +21,7 @@ from punctual.llm import (
     tokens,
     topk,
     warc,
+    whitening,
 )
 from punctual.llm.common import table
 
@@ -69,6 +72,20 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.page_texts(table(spark, sf_dir, "pages"))
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resampled(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+def op12_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_copies.line_digests(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     operators = (
         op1_topk,
@@ -81,5 +98,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_quality,
         op9_sharding,
         op10_html,
+        op11_importance,
+        op12_lines,
+        op13_whitening,
     )
     return {f.__name__: f for f in operators} | {"pipeline": corpus_pipeline.run}
