@@ -88,40 +88,43 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@cache
-def _byte_values(salt: int) -> np.ndarray:
-    """A 64-bit value for each byte, drawn from a fixed seed."""
-    return np.random.default_rng(20240607 + salt).integers(1, 2**64 - 1, 256, dtype=np.uint64)
-
-
-_BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)  # odd, so they have inverses mod 2 ** 64
-
-
-_LONGEST: dict[int, np.ndarray] = {}
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    """The first ``n`` powers modulo 2 ** 64; the longest array asked for is kept."""
-    if len(_LONGEST.get(base, ())) < n:
-        out = np.full(1 << max(10, (n - 1).bit_length()), base, np.uint64)
-        out[0] = 1
-        _LONGEST[base] = np.multiply.accumulate(out)
-    return _LONGEST[base][:n]
-
-
-def _rolling(terms: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: int) -> np.ndarray:
-    """Polynomial hash of stretches of ``terms``, equal stretches alike."""
-    base = _BASES[salt]
-    prefix = np.zeros(len(terms) + 1, np.uint64)
-    np.cumsum(terms * _powers(base, len(terms)), out=prefix[1:])
-    undo = _powers(pow(base, -1, 2**64), len(terms) + 1)
-    value = (prefix[ends] - prefix[starts]) * undo[starts]
-    return mix64(value ^ (ends - starts).astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
+_SALTS = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7)
+#: The first r bytes of a little-endian integer, r up to 8.
+_FIRST_BYTES = np.array([(1 << 8 * r) - 1 for r in range(9)], np.uint64)
+#: Longer spans, which are few, are hashed one by one.
+_SPAN_BYTES = 32
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: int = 0) -> np.ndarray:
-    """64-bit hash of each byte span, equal spans alike wherever they stand."""
-    return _rolling(_byte_values(salt)[data], starts, ends, salt)
+    """64-bit hash of each byte span, equal spans alike wherever they stand.
+
+    Eight bytes at a time go through a mixing bijection, so no pattern of the
+    bytes makes different spans agree more often than by chance; hashes of two
+    salts together are 128 bits.
+    """
+    from xxhash import xxh3_64_intdigest
+
+    starts, ends = np.asarray(starts, np.int64), np.asarray(ends, np.int64)
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    eights = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    sizes = ends - starts
+    out = sizes.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25) + np.uint64(_SALTS[salt])
+    long = np.flatnonzero(sizes > _SPAN_BYTES)
+    todo, at = np.flatnonzero((sizes > 0) & (sizes <= _SPAN_BYTES)), 0
+    while len(todo):
+        left = sizes[todo] - at
+        chunk = eights[starts[todo] + at] & _FIRST_BYTES[np.minimum(left, 8)]
+        out[todo] = mix64(out[todo] ^ mix64(chunk + np.uint64(_SALTS[salt])))
+        at += 8
+        todo = todo[left > 8]
+    if len(long):
+        whole = memoryview(np.ascontiguousarray(data))
+        out[long] = [
+            xxh3_64_intdigest(whole[a:b], _SALTS[salt])
+            for a, b in zip(starts[long].tolist(), ends[long].tolist())
+        ]
+    return out
 
 
 def pieces_of(bodies: list[bytes], most_bytes: int = 1 << 20) -> Iterator[slice]:
@@ -153,8 +156,29 @@ def word_hashes(
 
 
 def run_hashes(words: np.ndarray, starts: np.ndarray, width: int, salt: int = 0) -> np.ndarray:
-    """Hash of the ``width`` words from each of ``starts``."""
-    return _rolling(words, starts, starts + width, salt)
+    """Hash of the ``width`` words from each of ``starts``.
+
+    Runs are put together from runs of half their length, each step a mixing
+    bijection of one side: as safe as the words' hashes, in the logarithm of the
+    width.
+    """
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    odd = np.uint64(_SALTS[salt] | 1)
+
+    def joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        return mix64(left * odd + mix64(right))
+
+    # runs of a power of two from every word; the last words start none
+    power, size, out, done = words, 1, None, 0
+    while True:
+        if width & size:
+            piece = power[starts + done]
+            out = piece if out is None else joined(out, piece)
+            done += size
+        if done == width:
+            return out
+        power, size = joined(power[:-size], power[size:]), size * 2
 
 
 # ---- sorted keys as bytes ---------------------------------------------------------

@@ -32,7 +32,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from punctual.llm.common import as_bytes, lower_ascii, mix64, regrouped, span_hashes, word_spans
+from punctual.llm.common import (
+    as_bytes,
+    lower_ascii,
+    mix64,
+    regrouped,
+    run_hashes,
+    span_hashes,
+    word_spans,
+)
 
 # Marks that end a line of prose, separators of navigation lines,
 # symbols of the base count, stock phrases of page furniture.
@@ -106,6 +114,10 @@ def _marks(characters: str, data: np.ndarray) -> np.ndarray:
     return hit
 
 
+# letters, digits, all that is not ASCII, and what joins parts of a word
+_NAME_BYTES = np.array(
+    [b >= 0x80 or chr(b).isalnum() or chr(b) in "_-'" for b in range(256)], bool
+)
 _END_CODES = np.array(sorted(map(ord, END_MARKS)))
 
 
@@ -138,11 +150,9 @@ def repeated_words(
     covered = np.zeros(len(hashes), bool)
     if n <= 0:
         return covered
-    key = np.zeros(n, np.uint64)
-    for j in range(width):
-        key = key * np.uint64(0x9E3779B97F4A7C15) + hashes[j : j + n]
     inside = np.flatnonzero(owner[:n] == owner[width - 1 :])
-    key = mix64(key[inside] ^ mix64(owner[inside].astype(np.uint64) + np.uint64(1)))
+    key = run_hashes(hashes, inside, width)
+    key = mix64(key ^ mix64(owner[inside].astype(np.uint64) + np.uint64(1)))
     order = np.argsort(key, kind="stable")
     same = key[order][1:] == key[order][:-1]
     again = np.zeros(len(inside), bool)
@@ -242,11 +252,14 @@ def measure(texts: list[bytes], rules: Rules = Rules()) -> Measured:
     stutter = _sums(echoes, w_first, w_after) > rules.stutter_share * l_words
     stock = np.zeros(len(l_start), bool)
     small = lower_ascii(data).tobytes()
+    inside_name = _NAME_BYTES[data]
     for phrase in PHRASES:
         at = small.find(phrase.encode())
         while at >= 0:
             line = np.searchsorted(l_start, at, side="right") - 1
-            if line >= 0 and l_words[line] <= rules.phrase_words:
+            # a phrase begins and ends where words do, not inside of "catalog in"
+            alone = not (inside_name[at - 1] if at else False) and not inside_name[at + len(phrase)]
+            if alone and line >= 0 and l_words[line] <= rules.phrase_words:
                 stock[line] = True
             at = small.find(phrase.encode(), at + 1)
     fails = unmarked | shouted | menu | noisy | stutter | stock | ~first

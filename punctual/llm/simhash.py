@@ -31,7 +31,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from punctual.llm.common import as_bytes, give_back, regrouped, stored
@@ -90,17 +90,26 @@ def _fingerprints_of(bodies: list[bytes], width: int) -> np.ndarray:
     return majority(flat, counts)
 
 
-def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
-    """``doc_id`` and the fingerprint of its text as a signed long."""
+def fingerprints(docs: DataFrame, width: int = 3, named: bool = False) -> DataFrame:
+    """``doc_id`` and the fingerprint of its text as a signed long; if ``named``,
+    the digest of the text as ``node`` besides."""
+    kept = ["doc_id", "node"] if named else ["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in regrouped(batches, _CHUNK, "body"):
             prints = _fingerprints_of(as_bytes(part.column("body")), width)
-            table = pa.table([part.column("doc_id"), pa.array(prints.view(np.int64))], ["doc_id", "fp"])
-            yield from table.to_batches()
+            columns = [*map(part.column, kept), pa.array(prints.view(np.int64))]
+            yield from pa.table(columns, [*kept, "fp"]).to_batches()
 
     body = F.col("text").cast("binary").alias("body")
-    return docs.select(F.col("doc_id").cast("long"), body).mapInArrow(run, "doc_id long, fp long")
+    chosen = [F.col("doc_id").cast("long"), *([_node().alias("node")] if named else []), body]
+    schema = "doc_id long, node binary, fp long" if named else "doc_id long, fp long"
+    return docs.select(*chosen).mapInArrow(run, schema)
+
+
+def _node() -> Column:
+    """Tells texts apart; NULL is the empty one."""
+    return F.unhex(F.md5(F.coalesce(F.col("text").cast("binary"), F.lit(b""))))
 
 
 # ---- bit-sliced comparison -----------------------------------------------------------
@@ -389,3 +398,37 @@ def grouped(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFrame:
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+def without_near_copies(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFrame:
+    """``docs`` with one row of each group of linked fingerprints: the one with
+    the smallest id, NULL last, ties to the smaller digest of the text."""
+    prints = stored(fingerprints(docs, width, named=True), "simhash-prints")
+    links = stored(print_links(prints, radius), "simhash-links")
+    roots = stored(components(links), "simhash-roots").withColumnsRenamed({"node": "of"})
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "node"))
+    # equal fingerprints are merged before the join, whatever their number
+    rooted = (
+        prints.groupBy("fp")
+        .agg(first.alias("first"))
+        .join(roots, F.col("fp") == F.col("of"), "left")
+        .select(F.coalesce("root", "fp").alias("root"), "first")
+    )
+    stays = stored(
+        rooted.groupBy("root")
+        .agg(F.min("first").alias("first"))
+        .select(F.col("first.doc_id").alias("stays_id"), F.col("first.node").alias("stays")),
+        "simhash-stay",
+    )
+    rows = docs.select(
+        F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), _node().alias("node")
+    )
+    kept = rows.join(
+        stays,
+        (F.col("node") == F.col("stays")) & F.col("id").eqNullSafe(F.col("stays_id")),
+        "left_semi",
+    )
+    # rows that agree in id and text are one
+    return kept.dropDuplicates(["id", "node"]).select(
+        *[F.col("row").getField(c).alias(c) for c in docs.columns]
+    )

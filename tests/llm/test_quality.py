@@ -142,3 +142,23 @@ def test_labels_agree(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert quality.judged(df).count() == 0 and quality.accepted(df).count() == 0
+
+
+@pytest.mark.parametrize(
+    "line",
+    [
+        "The whole catalog in the library was digitised during the winter.",
+        "They asked for a design update for the bridge over the river.",
+        "The farmers spread more straw on the field before the frost came.",
+        "On her blog in the evening she wrote about the people of the town.",
+    ],
+)
+def test_phrases_are_whole_words(line):
+    found = quality.measure([("\n".join([line, "Another line of prose stands here."])).encode()])
+    assert found.line_stays.all()
+
+
+@pytest.mark.parametrize("line", ["Sign up now.", "Please log in.", "(Click here!)", "READ MORE."])
+def test_phrases_by_themselves_are_boilerplate(line):
+    found = quality.measure([f"A line of prose that stays as it is.\n{line}".encode()])
+    assert found.line_stays.tolist() == [True, False]

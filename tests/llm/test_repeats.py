@@ -79,3 +79,17 @@ def test_documents_keep_their_columns(spark):
     assert digest[(-2, hashlib.sha256(b"kept  as it\nis").hexdigest())] == 1
     assert all(r.text is None or r.doc_id == -2 or r.n_chars == len(r.text) for r in got)
     assert len(got) == len(rows)
+
+
+def test_patterned_words_are_no_repeats(spark):
+    # words on which a polynomial hash modulo a power of two agrees for any base
+    def patterned(letters):
+        return "".join(letters[i.bit_count() & 1] for i in range(1024))
+
+    frame = [f"w{i}" for i in range(40)]
+    rows = [
+        (n, " ".join([*frame[:20], patterned(letters), *frame[20:]]), 0, "x")
+        for n, letters in enumerate(("ab", "ba"))
+    ]
+    assert digests(spark, rows, width=35) == brute(rows, 35)
+    assert all(r[2] == 0 for r in digests(spark, rows, width=35))
