@@ -39,6 +39,12 @@ def seeded_key(seed: int, value: Column) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(value.cast("string"), F.lit(""))))
 
 
+def row_key(seed: int) -> Column:
+    """The same for rows: by ``doc_id``, among rows of one id by a digest of the text."""
+    text = F.md5(F.coalesce(F.col("text").cast("binary"), F.lit(b"")))
+    return F.concat(seeded_key(seed, F.col("doc_id")), text)
+
+
 def give_back() -> None:
     """Hand memory that a task no longer uses back to the system: workers live on
     after it, and their allocators would keep what the largest task needed."""

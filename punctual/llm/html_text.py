@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -48,9 +49,11 @@ STOP_WORDS = frozenset(
     """.split()
 )
 # Names of elements.
-RAW = "script|style|noscript|template|textarea|title|iframe|svg|math|object|audio|video|canvas"
+RAW = "script|style|noscript|template|textarea|title|iframe|svg|math"
 #: Those that are empty where their tag closes itself; the others read on as raw text.
 SELF_CLOSED = "template|iframe|svg|math|object|audio|video|canvas"
+#: What they hold is shown only where the element itself is not.
+EMBEDDED = frozenset("audio canvas object video".split())
 INLINE = frozenset(
     """
     a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby
@@ -108,12 +111,12 @@ class BlockRules:
     max_link_density_inside: float = 0.5  # of a marked article
     short_chars: int = 70
     long_chars: int = 100
-    stop_low: float = 0.10
+    stop_low: float = 0.05
     stop_high: float = 0.20
 
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))"
     rf"|<(?P<empty>{SELF_CLOSED})(?=[\s/>])"
     r"(?:[^>\"'=/]++|=\s*(?:\"[^\"]*+\"|'[^']*+'|[^\s\"'>]++)|/(?!>)|[\"'=])*+/>"
     rf"|<(?P<raw>{RAW})(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
@@ -122,26 +125,42 @@ _TOKEN = re.compile(
     r"|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
-_NAMED = re.compile(r"(?:^|\s)(class|id|role|itemprop)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
-_HIDDEN = re.compile(
-    r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I
-)
+_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+_NAMING = ("class", "id", "role", "itemprop")
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
 _PARTS = re.compile(r"[^\W_]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
-def _names(rest: str) -> set[str]:
-    parts: set[str] = set()
-    for _, value in _NAMED.findall(rest):
-        parts.update(p.lower() for p in _PARTS.findall(_CAMEL.sub(" ", value)))
-    return parts
+def _attributes(rest: str) -> dict[str, str]:
+    """Values by attribute name; of a repeated one the first counts."""
+    found: dict[str, str] = {}
+    for name, value in _ATTRIBUTE.findall(rest):
+        found.setdefault(name.lower(), value.strip("\"'"))
+    return found
+
+
+def _is_hidden(attributes: dict[str, str]) -> bool:
+    return (
+        "hidden" in attributes
+        or attributes.get("aria-hidden", "").strip().lower() == "true"
+        or bool(_NO_DISPLAY.search(attributes.get("style", "")))
+    )
+
+
+def _words(name: str) -> set[str]:
+    return {p.lower() for p in _PARTS.findall(_CAMEL.sub(" ", name))}
+
 
+def _names(attributes: dict[str, str]) -> set[str]:
+    return set().union(*[_words(attributes.get(key, "")) for key in _NAMING])
 
-def _junk_names(rest: str) -> set[str]:
+
+def _junk_names(attributes: dict[str, str]) -> set[str]:
     parts: set[str] = set()
-    for _, value in _NAMED.findall(rest):
-        for name in value.strip("\"'").split():
-            words = {p.lower() for p in _PARTS.findall(_CAMEL.sub(" ", name))}
+    for key in _NAMING:
+        for name in attributes.get(key, "").split():
+            words = _words(name)
             if not words & LAYOUT_WORDS:
                 parts |= words
     return parts & JUNK_NAMES
@@ -174,6 +193,15 @@ def blocks(page: str) -> list[Block]:
     linked: list[str] = []
     skips = mains = links = names = held = heads = 0
     heading = ""
+    open_names: Counter[str] = Counter()
+    last_ends: dict[str, int] = {}
+
+    def ends_later(name: str, at: int) -> bool:
+        """Whether an end tag of that name follows."""
+        if name not in last_ends:
+            found_at = [m.start() for m in re.finditer(rf"</{name}[\s>]", page, re.I)]
+            last_ends[name] = max(found_at, default=-1)
+        return last_ends[name] > at
 
     def close() -> None:
         if pieces:
@@ -190,6 +218,7 @@ def blocks(page: str) -> list[Block]:
             if stack[-1].named or stack[-1].outer:
                 close()
             gone = stack.pop()
+            open_names[gone.name] -= 1
             skips -= gone.skips
             mains -= gone.main
             names += gone.outer - gone.named
@@ -226,10 +255,12 @@ def blocks(page: str) -> list[Block]:
                 close()
                 if name == heading:
                     heading = ""
-            for at in range(len(stack) - 1, -1, -1):
-                if stack[at].name == name:
-                    pop(at)
-                    break
+            # searched only where it is found, and all above it goes
+            if open_names[name]:
+                at = len(stack) - 1
+                while stack[at].name != name:
+                    at -= 1
+                pop(at)
             continue
         rest = token["rest"]
         if heads and name not in HEAD_TAGS:
@@ -247,14 +278,19 @@ def blocks(page: str) -> list[Block]:
                 pop(len(stack) - 1)
             links = 0
             heading = name if name in HEADINGS else ""
-        parts = _names(rest) if "=" in rest else set()
-        hidden = bool(rest) and bool(_HIDDEN.search(rest))
-        named = bool(parts & JUNK_NAMES) and bool(_junk_names(rest) - (TITLE_NAMES if mains else set()))
+        attributes = _attributes(rest) if rest else {}
+        parts = _names(attributes)
+        hidden = _is_hidden(attributes)
+        named = bool(parts & JUNK_NAMES) and bool(
+            _junk_names(attributes) - (TITLE_NAMES if mains else set())
+        )
         junk = named or hidden
         if name in ("html", "body"):
             junk = False
         elif name in FURNITURE_TAGS:
             junk = True
+        elif name in EMBEDDED:
+            hidden = junk = junk or ends_later(name, token.end())
         elif name == "header":
             junk = junk or not mains
         elif name in MAIN_TAGS:
@@ -267,6 +303,7 @@ def blocks(page: str) -> list[Block]:
             hard = junk and (hidden or not named or name in FURNITURE_TAGS or name in INLINE)
             outer = names if main else 0
             stack.append(_Open(name, hard, junk and not hard, main, outer))
+            open_names[name] += 1
             skips += hard
             mains += main
             names += (junk and not hard) - outer
@@ -282,24 +319,47 @@ _EDGES = re.compile(r"^\W+|\W+$")
 TEXT, FURNITURE, NEAR, SHORT = "text", "furniture", "near", "short"
 
 
-def _decided(block: Block, rules: BlockRules) -> str:
-    """First pass: text, furniture, or one of the two ambiguous kinds."""
+def _size(text: str) -> int:
+    """Length; a character of the scripts written without spaces says as much as
+    three letters."""
+    return len(text) if text.isascii() else len(text) + 2 * sum(c >= "\u2e80" for c in text)
+
+
+def _stop_share(text: str) -> float:
+    words = [_EDGES.sub("", w).lower() for w in text.split()]
+    return sum(w in STOP_WORDS for w in words) / max(1, len(words))
+
+
+def _foreign(found: list[Block], rules: BlockRules) -> bool:
+    """Whether the longer blocks hardly have a stop word: another language."""
+    prose = [
+        b.text
+        for b in found
+        if _size(b.text) >= rules.long_chars and b.linked <= rules.max_link_density * len(b.text)
+    ]
+    return bool(prose) and _stop_share(" ".join(prose)) < rules.stop_low
+
+
+def _decided(block: Block, rules: BlockRules, foreign: bool) -> str:
+    """First pass: text, furniture, or one of the two ambiguous kinds. In a
+    language without known stop words length and links alone decide."""
     most = rules.max_link_density_inside if block.main else rules.max_link_density
     if block.linked > most * len(block.text):
         return FURNITURE
-    if len(block.text) < rules.short_chars or block.heading:
+    size = _size(block.text)
+    if size < rules.short_chars or block.heading:
         return SHORT
-    words = [_EDGES.sub("", w).lower() for w in block.text.split()]
-    stops = sum(w in STOP_WORDS for w in words) / len(words)
+    stops = rules.stop_high if foreign else _stop_share(block.text)
     if stops >= rules.stop_high:
-        return TEXT if len(block.text) >= rules.long_chars or block.main else NEAR
+        return TEXT if size >= rules.long_chars or block.main else NEAR
     return NEAR if stops >= rules.stop_low or block.main else FURNITURE
 
 
 def _follow(labels: list[str], kind: str, inside: bool) -> list[str]:
-    """Replace one ambiguous kind by what its nearest decided neighbours say."""
+    """Replace one ambiguous kind by what its nearest decided neighbours say. An
+    edge of a marked article counts as text, any other says nothing."""
     decided = (TEXT, FURNITURE)
-    edge = TEXT if inside else FURNITURE
+    edge = TEXT if inside else None
     behind, last = [], edge
     for label in reversed(labels):
         behind.append(last)
@@ -308,9 +368,9 @@ def _follow(labels: list[str], kind: str, inside: bool) -> list[str]:
     out, last = [], edge
     for label, after in zip(labels, behind):
         if label == kind:
-            both = {last, after} == {TEXT}
-            either = TEXT in (last, after) and (inside or kind == NEAR)
-            label = TEXT if both or either else FURNITURE
+            sides = {last, after} - {None}
+            either = TEXT in sides and (inside or kind == NEAR)
+            label = TEXT if sides <= {TEXT} or either else FURNITURE
         else:
             last = label if label in decided else last
         out.append(label)
@@ -318,15 +378,20 @@ def _follow(labels: list[str], kind: str, inside: bool) -> list[str]:
 
 
 def _settled(labels: list[str], inside: bool) -> list[bool]:
-    """Second pass: near-text blocks first, then short ones. An edge of a
-    marked article counts as text, any other as furniture."""
+    """Second pass: near-text blocks first, then short ones."""
     for kind in (NEAR, SHORT):
         labels = _follow(labels, kind, inside)
     return [label == TEXT for label in labels]
 
 
 def _judged(found: list[Block], inside: bool, rules: BlockRules) -> str:
-    stay = _settled([_decided(b, rules) for b in found], inside)
+    foreign = _foreign(found, rules)
+    labels = [_decided(b, rules, foreign) for b in found]
+    if not inside and not {TEXT, FURNITURE} & set(labels):
+        # nothing to ask: short blocks are text if they are some together
+        if sum(_size(b.text) for b in found) < rules.short_chars:
+            return ""
+    stay = _settled(labels, inside)
     if not inside:
         # a heading right above text belongs to it
         for i in range(len(found) - 2, -1, -1):

@@ -16,8 +16,8 @@ ever meets in one task, and what comes out is one row per source.
 
 Edge cases: NULL or word-less texts have size 0 and are repeated with their
 source like others, without counting; NULL is a source of its own, the last
-one; repeated rows and rows with one ``doc_id`` (NULL included) stand at one
-place of the order and are taken together; an empty table gives no rows;
+one; rows with one ``doc_id`` (NULL included) are ordered by a digest of their
+text, repeated rows stand at one place of the order and are taken together; an empty table gives no rows;
 further columns pass through. The sources' own table, one row each, is sorted
 in one task: it grows with the number of names, not of rows.
 """
@@ -30,7 +30,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from punctual.llm.common import n_words, seeded_key, stored
+from punctual.llm.common import n_words, row_key, stored
 
 
 @dataclass(frozen=True)
@@ -118,8 +118,13 @@ def _cuts(narrow: DataFrame, mix: Mix) -> DataFrame:
         .groupBy("named")
         .agg(
             F.coalesce(
-                F.max(F.when(F.col("middle") <= F.col("rest"), F.col("order_key"))),
-                F.min("bucket"),
+                # without a rest nothing is taken once more, texts without words included
+                F.max(
+                    F.when(
+                        (F.col("rest") > 0) & (F.col("middle") <= F.col("rest")), F.col("order_key")
+                    )
+                ),
+                F.when(F.max("rest") > 0, F.min("bucket")),
             ).alias("last_key")
         )
     )
@@ -146,7 +151,7 @@ def _narrow(docs: DataFrame, mix: Mix) -> DataFrame:
             "doc_id",
             "source",
             n_words(F.col("text")).alias("size"),
-            seeded_key(mix.seed, F.col("doc_id")).alias("order_key"),
+            row_key(mix.seed).alias("order_key"),
         ),
         "mix-sizes",
     )
@@ -171,7 +176,7 @@ def mix_documents(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
         F.struct("whole", "last_key", "mixed_source").alias("__mix_cut")
     )
     taken = docs.join(cuts, F.col("source").eqNullSafe(F.col("__mix_cut.mixed_source")))
-    extra = seeded_key(mix.seed, F.col("doc_id")) <= F.col("__mix_cut.last_key")
+    extra = row_key(mix.seed) <= F.col("__mix_cut.last_key")
     copies = (F.col("__mix_cut.whole") + extra.cast("bigint")).cast("int")
     repeated = taken.withColumn("__mix_copies", F.array_repeat(F.lit(1), copies))
     return repeated.select(

@@ -249,6 +249,7 @@ def measure(texts: list[bytes], rules: Rules = Rules()) -> Measured:
     )
     echoes = np.zeros(len(w_start), bool)
     echoes[1:] = hashes[1:] == hashes[:-1]
+    echoes[w_first] = False  # a line is judged by itself
     stutter = _sums(echoes, w_first, w_after) > rules.stutter_share * l_words
     stock = np.zeros(len(l_start), bool)
     small = lower_ascii(data).tobytes()

@@ -19,12 +19,18 @@ gives no rows; further columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from punctual.llm.common import seeded_key, stored
 
 
+def _row_key(seed: int) -> Column:
+    """Shuffles rows by id and text, so that rows of one id are spread as well."""
+    text = F.md5(F.coalesce(F.col("text").cast("binary"), F.lit(b"")))
+    return F.md5(F.concat(seeded_key(seed, F.col("doc_id")), text))
+
+
 def place_rows(
     docs: DataFrame, seed: int = 17, bucket_digits: int = 3, place_buckets: int = 4096
 ) -> DataFrame:
@@ -36,7 +42,7 @@ def place_rows(
             "source",
             (F.octet_length(body) + 1).cast("bigint").alias("size"),
             F.crc32(body).alias("text_crc32"),
-            seeded_key(seed, F.col("doc_id")).alias("order_key"),
+            _row_key(seed).alias("order_key"),
         ).withColumn("bucket", F.substring("order_key", 1, bucket_digits)),
         "shard-rows",
     )

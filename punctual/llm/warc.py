@@ -163,15 +163,21 @@ def parse(raw: bytes) -> dict:
 
 
 def _dictionary(samples: list[bytes], size: int):
-    """A dictionary trained on ``samples``; none where they are too few."""
+    """A dictionary trained on ``samples``; where they are too few or too alike,
+    their own heads are one."""
     import zstandard
 
-    if len(samples) < 8:
-        return None
     try:
-        return zstandard.train_dictionary(size, samples, k=512, d=8)
+        if len(samples) >= 8:
+            return zstandard.train_dictionary(size, samples, k=512, d=8)
     except zstandard.ZstdError:
-        return None
+        pass
+    each = max(64, size // max(1, len(samples)))
+    heads = b"".join(s[:each] for s in samples)[-size:]
+    # shorter content than eight bytes is no dictionary
+    return zstandard.ZstdCompressionDict(
+        heads.ljust(8, b"\n"), dict_type=zstandard.DICT_TYPE_RAWCONTENT
+    )
 
 
 def archive(records: list[bytes], how: Archiving = Archiving()) -> bytes:
@@ -179,18 +185,17 @@ def archive(records: list[bytes], how: Archiving = Archiving()) -> bytes:
     import zstandard
 
     samples, size = [], 0
-    for r in records[: how.sample_records]:
-        if size + len(r) > how.sample_bytes:
-            break
-        samples.append(r)
-        size += len(r)
+    for r in records:
+        # long records give way to the next ones, or to their own heads
+        if len(samples) < how.sample_records and size + len(r) <= how.sample_bytes:
+            samples.append(r)
+            size += len(r)
+    samples = samples or [r[: how.dictionary_bytes] for r in records[:1]]
     trained = _dictionary(samples, how.dictionary_bytes)
     packer = zstandard.ZstdCompressor(level=how.level, dict_data=trained)
-    frames = [packer.compress(r) for r in records]
-    if trained is not None:
-        body = zstandard.ZstdCompressor(level=how.level).compress(trained.as_bytes())
-        frames.insert(0, DICTIONARY_MAGIC + len(body).to_bytes(4, "little") + body)
-    return b"".join(frames)
+    body = zstandard.ZstdCompressor(level=how.level).compress(trained.as_bytes())
+    head = DICTIONARY_MAGIC + len(body).to_bytes(4, "little") + body
+    return b"".join([head, *map(packer.compress, records)])
 
 
 def frames(data: bytes) -> Iterator[bytes]:

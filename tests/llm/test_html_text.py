@@ -126,3 +126,70 @@ def test_edges(spark):
     got = html_text.page_texts(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sorted(r.n_chars for r in got) == [0, 0, 5, 5, 5 * 60_000 - 1]
     assert html_text.page_texts(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+PROSE = "It was a cold day and the rain fell on the roofs of the town, so we all stayed at home and read for hours."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<div data-headline="The hidden cost of rain"><p>{}</p></div>',
+        '<section aria-label="our hidden rivers"><p>{}</p></section>',
+        '<div class="hidden md:block"><p>{}</p></div>',
+        '<div class="md:block hidden lg:flex"><p>{}</p></div>',
+        '<p title="display: none">{}</p>',
+        "<!--><p>{}</p>",
+        "<!---><p>{}</p>",
+        "<!-- x --!><p>{}</p>",
+        "<canvas><p>{}</p>",
+        "<video src=x><p>{}</p>",
+        "<p>{}</p><object data=x>",
+    ],
+)
+def test_text_that_only_looks_hidden(page):
+    assert html_text.main_text(page.format(PROSE)) == PROSE
+
+
+@pytest.mark.parametrize(
+    "element",
+    [
+        "<p hidden>{}</p>",
+        '<p aria-hidden="true">{}</p>',
+        '<p style="color: red; display : none">{}</p>',
+        "<canvas><p>{}</p></canvas>",
+        "<object data=x><p>{}</p></object>",
+    ],
+)
+def test_hidden_text(element):
+    other = PROSE.replace("cold", "warm")
+    assert html_text.main_text(f"<p>{PROSE}</p>" + element.format(other)) == PROSE
+
+
+def test_stray_end_tags_take_linear_time():
+    import time
+
+    def seconds(n):
+        start = time.perf_counter()
+        html_text.main_text("<div>" * n + "</span></b></ul>" * n + f"<p>{PROSE}</p>")
+        return time.perf_counter() - start
+
+    seconds(1000)
+    assert seconds(64_000) < 40 * max(seconds(8_000), 0.05)
+
+
+def test_other_scripts():
+    russian = "Это первый абзац статьи, который достаточно длинный, чтобы его можно было признать текстом по всем правилам."
+    chinese = "这是文章的第一段，它足够长，可以根据任何规则被识别为正文，而且没有任何链接，因此应该被保留下来。" * 2
+    for text in (russian, chinese):
+        menu = "<ul><li><a href=x>主页</a></li><li><a href=y>Новости</a></li></ul>"
+        assert html_text.main_text(f"{menu}<p>{text}</p><p>{text}</p>") == f"{text}\n{text}"
+
+
+def test_blocks_decide_without_article_tags(medium, spark):
+    pages = [r.html for r in spark.read.parquet(f"{medium}/pages.parquet").collect()]
+    marked = [html_text.main_text(p) for p in pages]
+    bare = [html_text.main_text(re.sub(r"</?article[^>]*>", "", p, flags=re.I)) for p in pages]
+    same = sum(a == b for a, b in zip(marked, bare))
+    halved = sum(2 * len(b) < len(a) for a, b in zip(marked, bare))
+    assert same > 0.95 * len(pages) and halved < 0.02 * len(pages)

@@ -96,3 +96,19 @@ def test_no_python_in_the_plan(spark, small):
     df = spark.read.parquet(f"{small}/documents.parquet")
     plan = mixing.mix_plan(df)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_no_document_exceeds_the_most_epochs(spark):
+    # sources at their cap take every document twice, empty ones included
+    rows = [(i, "" if i % 3 else "a b c", "only", "", 0) for i in range(60)]
+    mix = mixing.Mix(total_share=2.0)
+    got = Counter(r.doc_id for r in mixing.mix_documents(spark.createDataFrame(rows, SCHEMA), mix).collect())
+    assert got == {i: 2 for i in range(60)}
+
+
+def test_rows_of_one_id_are_not_one_block(spark):
+    rows = [(None if i % 3 else i, f"word{i} " * 10, "one", "", 0) for i in range(300)]
+    mix = mixing.Mix(total_share=0.5)
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert abs(sum(r.taken for r in mixing.mix_plan(df, mix).collect()) - 1500) <= 5
+    assert mixing.mix_documents(df, mix).count() == 150

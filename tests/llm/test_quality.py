@@ -162,3 +162,76 @@ def test_phrases_are_whole_words(line):
 def test_phrases_by_themselves_are_boilerplate(line):
     found = quality.measure([f"A line of prose that stays as it is.\n{line}".encode()])
     assert found.line_stays.tolist() == [True, False]
+
+
+def plain_kept(text):
+    """Both rules word by word and line by line."""
+    rules = quality.Rules()
+    lines = (text or "").split("\n")
+    words = [WORD.findall(line) for line in lines]
+    n = sum(map(len, words))
+    flat = [w for line in words for w in line]
+    windows = Counter(tuple(flat[i : i + 8]) for i in range(n - 7))
+    covered = set()
+    for i in range(n - 7):
+        if windows[tuple(flat[i : i + 8])] > 1:
+            covered.update(range(i, i + 8))
+    if n < rules.min_words or 100 * len(covered) > rules.max_repeat_percent * n:
+        return False
+
+    def menu(i):
+        bars = sum(c in quality.SEPARATORS for c in lines[i])
+        return bars >= rules.min_separators and bars >= rules.separator_share * len(words[i])
+
+    def ends(i):
+        return words[i][-1][-1] in quality.END_MARKS
+
+    def failing(i, paragraph, earlier):
+        line, mine = lines[i], words[i]
+        many = len(mine) > rules.short_line
+        marked = sum(w[-1] in quality.END_MARKS for j in paragraph for w in words[j])
+        long = sum(len(words[j]) for j in paragraph)
+        loud = 0
+        for w in mine:
+            upper = sum("A" <= c <= "Z" for c in w) >= 2 and not any("a" <= c <= "z" for c in w)
+            loud += upper or w[-2:] in ("!!", "??")
+        hung = sum(any(c in quality.SYMBOLS for c in w) for w in mine)
+        echoes = sum(a == b for a, b in zip(mine, mine[1:]))
+        edge = r"(?<![\w'\-])" + "(?:" + "|".join(quality.PHRASES) + ")" + r"(?![\w'\-])"
+        stock = re.search(edge, re.sub("[A-Z]", lambda m: m[0].lower(), line))
+        return (
+            (not ends(paragraph[-1]) and marked * rules.words_per_mark < long and many)
+            or (loud > rules.shout_share * len(mine) and many)
+            or menu(i)
+            or (hung > rules.symbol_share * len(mine) and many)
+            or echoes > rules.stutter_share * len(mine)
+            or (stock and len(mine) <= rules.phrase_words)
+            or line in earlier
+        )
+
+    paragraphs, last = [], None
+    for i in range(len(lines)):
+        if not words[i]:
+            continue
+        if last is None or last != i - 1 or ends(last) or menu(last) or menu(i):
+            paragraphs.append([])
+        paragraphs[-1].append(i)
+        last = i
+    lost, earlier = 0, set()
+    for paragraph in paragraphs:
+        for i in paragraph:
+            lost += sum(map(len, words[i])) if failing(i, paragraph, earlier) else 0
+            earlier.add(lines[i])
+    return lost <= rules.max_lost * sum(map(len, flat))
+
+
+def test_verdicts_against_brute_force(spark, small):
+    rng = __import__("random").Random(8)
+    rows = [(r.doc_id, r.text, "k", 0) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
+    pieces = ["word one two three", "Prose of some words ends here.", "A | B | C | D", "BUY NOW OR NEVER!!", "###  $x %y",
+              "the the the the", "Sign up today.", "", "   ", "Ünder größe\u2026", "half a sentence that", "goes on to its end?"]
+    rows += [(10_000 + i, "\n".join(rng.choices(pieces, k=rng.randrange(1, 30))), "k", 0) for i in range(400)]
+    got = {r.doc_id: r.kept for r in quality.judged(spark.createDataFrame(rows, SCHEMA), columns=["doc_id"]).collect()}
+    wrong = [r[0] for r in rows if got[r[0]] != plain_kept(r[1])]
+    assert wrong == []
+    assert 100 < sum(got.values()) < len(got)

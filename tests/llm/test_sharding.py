@@ -75,3 +75,36 @@ def test_no_python_in_the_plan(spark, small):
     df = spark.read.parquet(f"{small}/documents.parquet")
     plan = sharding.shard_rows(df)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_rows_without_id_are_spread(spark):
+    rows = [(None if i % 3 else i, f"t{i}", "one", "", 0.0) for i in range(900)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    checked(rows, sharding.shard_rows(df).collect())
+    keys = df.where("doc_id IS NULL").select(sharding._row_key(17).substr(1, 3).alias("k"))
+    assert keys.distinct().count() > 400
+
+
+def test_order_by_fractional_rank(spark):
+    import hashlib
+
+    rows = corpus(500)
+
+    def md5(x):
+        return hashlib.md5(x.encode()).hexdigest()
+
+    def key(value):
+        return md5(f"17:{'' if value is None else value}")
+
+    by_source = {}
+    for r in rows:
+        by_source.setdefault(r[2], []).append((md5(key(r[0]) + md5(r[1] or "")), r[0]))
+    placed = []
+    for source, members in by_source.items():
+        shift = int(key(source)[:8], 16) / 2**32
+        for rank, (_, doc_id) in enumerate(sorted(members)):
+            placed.append(((rank + shift) / len(members), doc_id))
+    order = [d for _, d in sorted(placed)]
+    got = sharding.shard_rows(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert [r.doc_id for r in sorted(got, key=lambda r: (r.shard, r.slot))] == order
+    assert all(r.shard == i * 8 // len(rows) for i, r in enumerate(sorted(got, key=lambda r: (r.shard, r.slot))))

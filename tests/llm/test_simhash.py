@@ -129,3 +129,35 @@ def test_components(spark):
     got = {r.node: r.root for r in simhash.components(df).collect()}
     assert got == {**{i: 0 for i in range(31)}, 100: 100, 101: 100, 102: 100}
     assert simhash.components(df.limit(0)).count() == 0
+
+
+def survivors(rows, radius=2):
+    roots = smallest_linked([print_of(r[1]) for r in rows], radius)
+    least = {}
+    for r, root in zip(rows, roots):
+        key = (r[0] is None, r[0] or 0)
+        least[root] = min(key, least.get(root, key))
+    return sorted(least.values())
+
+
+def kept(spark, rows):
+    out = simhash.without_near_copies(spark.createDataFrame(rows, SCHEMA))
+    assert out.columns == ["doc_id", "text", "fp"]
+    got = out.collect()
+    assert {tuple(r) for r in got} <= set(rows)
+    return sorted((r.doc_id is None, r.doc_id or 0) for r in got)
+
+
+def test_one_row_of_each_group_stays(spark):
+    rng = np.random.default_rng(5)
+    base = [" ".join(rng.choice(list("abcdefgh"), 60)) for _ in range(6)]
+    rows = []
+    for i in range(200):
+        words = base[rng.integers(6)].split()
+        for _ in range(rng.integers(4)):
+            words[rng.integers(len(words))] = f"w{rng.integers(5)}"
+        rows.append((None if i % 17 == 0 else 500 - i, " ".join(words), f"f{i}"))
+    rows += [(3, base[0], "twice"), (3, base[0], "twice"), (7, "some other text", "x"), (7, None, "y")]
+    rows += [(None, "all alone here", "n"), (None, "all alone here", "n")]
+    assert kept(spark, rows) == survivors(rows)
+    assert kept(spark, []) == []

@@ -82,7 +82,7 @@ def test_archive_layout():
     data = warc.archive(records())
     assert data[:4] == warc.DICTIONARY_MAGIC
     assert list(warc.frames(data)) == records()
-    # few records: no dictionary, still one frame each
+    # few records: a dictionary of their heads, still one frame each
     assert list(warc.frames(warc.archive(records(2)))) == records(2)
     # an uncompressed dictionary is read as well
     size = int.from_bytes(data[4:8], "little")
@@ -119,3 +119,13 @@ def test_broken_records_are_refused(old, new):
         warc.parse(raw.replace(old, new))
     with pytest.raises(warc.ArchiveError):
         warc.parse(raw + raw)
+
+
+@pytest.mark.parametrize("n", [1, 2, 30])
+def test_a_dictionary_is_always_there(n):
+    # long records first, very short ones, none alike
+    long = warc.record(99, "u", b"x" * 3_000_000, digest(b"x" * 3_000_000), None, "d")
+    for some in (records(n), [long, *records(n)], [long], [b"a"] * n):
+        data = warc.archive(some)
+        assert data[:4] == warc.DICTIONARY_MAGIC
+        assert list(warc.frames(data)) == some
