@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punctual.llm import mixing, near_copies, quality, repeats, tokens
+from punctual.llm import mixing, quality, repeats, simhash, tokens
 from punctual.llm.common import stored, table
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -22,8 +22,9 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near copies."""
-    return near_copies.without_near_copies(docs)
+    """Keep one document of each group of linked fingerprints: words in threes,
+    two differing bits."""
+    return simhash.without_near_copies(docs, width=3, radius=2)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
