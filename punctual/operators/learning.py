@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Bucketizer, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,8 +50,44 @@ def feature_stages(settings: Settings = DEFAULTS) -> Pipeline:
     return Pipeline(stages=[indexer, *encoder, assembler])
 
 
+def slot_limits(values: int, slots: int) -> list[float]:
+    """Limits that put indices 0..``values`` (the last one for unseen values)
+    into at most ``slots`` bins.
+
+    Indices fall by frequency: the most frequent half of the slots keep a value
+    each, the tail is cut into bins of about equally many values.
+    """
+    if values + 1 <= slots:
+        inner = [float(i) for i in range(1, values + 1)]
+    else:
+        own = slots // 2
+        step = (values + 1 - own) / (slots - own)
+        inner = [float(i) for i in range(1, own + 1)]
+        inner += [float(round(own + step * i)) for i in range(1, slots - own)]
+    return [-math.inf, *inner, math.inf]
+
+
+def _fit_binned(train: DataFrame, settings: Settings) -> PipelineModel:
+    """Indices binned into few nominal slots, whatever the number of values: a
+    split then sorts at most ``category_slots`` sets of values, and deep trees
+    cannot tell rare values apart by chance."""
+    index = [f"{c}_index" for c in settings.categorical]
+    binned = [f"{c}_slot" for c in settings.categorical]
+    indexer = StringIndexer(
+        inputCols=list(settings.categorical), outputCols=index, handleInvalid="keep"
+    ).fit(train)
+    limits = [slot_limits(len(v), settings.category_slots) for v in indexer.labelsArray]
+    bins = Bucketizer(inputCols=index, outputCols=binned, splitsArray=limits)
+    assembler = VectorAssembler(
+        inputCols=binned + list(settings.numeric), outputCol="features", handleInvalid="skip"
+    )
+    return PipelineModel(stages=[indexer, bins, assembler])
+
+
 def fit_features(train: DataFrame, settings: Settings = DEFAULTS) -> PipelineModel:
     """Fit the stages on prepared training rows."""
+    if settings.encoding == "binned":
+        return _fit_binned(train, settings)
     return feature_stages(settings).fit(train)
 
 
@@ -61,7 +98,7 @@ def category_labels(features: PipelineModel, settings: Settings = DEFAULTS) -> d
 
 def vector_width(features: PipelineModel, settings: Settings = DEFAULTS) -> int:
     labels = category_labels(features, settings)
-    if settings.encoding == "index":
+    if settings.encoding != "onehot":
         return len(labels) + len(settings.numeric)
     return sum(len(v) for v in labels.values()) + len(settings.numeric)
 
@@ -100,6 +137,10 @@ def random_split(df: DataFrame, settings: Settings = DEFAULTS) -> tuple[DataFram
 # ---- training and scoring -----------------------------------------------------
 
 
+#: Column that marks the rows which decide how many trees are kept.
+_HELD_OUT = "__held_out"
+
+
 def fit_trees(
     vectors: DataFrame, settings: Settings = DEFAULTS, most_values: int = 0
 ) -> GBTClassificationModel:
@@ -107,10 +148,12 @@ def fit_trees(
     each of its at most ``most_values`` values.
 
     Residuals are checkpointed every few trees, so that the lineage of a long
-    run stays short and a lost executor recomputes little.
+    run stays short and a lost executor recomputes little. Rows marked as held
+    out, if there is such a column, are not learned from: ``trees`` is then an
+    upper bound, and boosting ends where the loss on them stops to fall.
     """
     ensure_checkpoint_dir(vectors.sparkSession)
-    return GBTClassifier(
+    booster = GBTClassifier(
         labelCol=settings.label,
         featuresCol="features",
         maxIter=settings.trees,
@@ -119,7 +162,13 @@ def fit_trees(
         seed=settings.seed,
         checkpointInterval=settings.checkpoint_every,
         maxBins=max(32, most_values),
-    ).fit(vectors.select("features", settings.label))
+    )
+    columns = ["features", settings.label]
+    if _HELD_OUT in vectors.columns:
+        booster.setValidationIndicatorCol(_HELD_OUT)
+        booster.set(booster.validationTol, settings.validation_tolerance)
+        columns.append(_HELD_OUT)
+    return booster.fit(vectors.select(*columns))
 
 
 @dataclass(frozen=True)
@@ -153,9 +202,15 @@ def fit_model(train: DataFrame, settings: Settings = DEFAULTS) -> DelayModel:
     """
     labelled = train.where(F.col(settings.label).isNotNull())
     features = fit_features(labelled, settings)
-    vectors = features.transform(labelled).select("features", settings.label)
+    # parts of even size, however the rows are laid out: every tree waits for the largest
+    vectors = features.transform(labelled.hint("rebalance"))
+    columns = [F.col("features"), F.col(settings.label)]
+    if settings.validation_percent:
+        # another hash than the split's, so that both are independent
+        draw = F.pmod(F.xxhash64(settings.split_key, F.lit("held out")), F.lit(100))
+        columns.append((draw < settings.validation_percent).alias(_HELD_OUT))
     most = max((len(v) for v in category_labels(features, settings).values()), default=0) + 1
-    kept = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = vectors.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         trees = fit_trees(kept, settings, most if settings.encoding == "index" else 0)
     finally:

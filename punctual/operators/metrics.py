@@ -76,17 +76,15 @@ def recall_of(counts: DataFrame, value: float = 1.0) -> DataFrame:
 
 
 def area_under_roc(
-    df: DataFrame, score: str = "score", label: str = LABEL, ranges: int = 1000
+    df: DataFrame, score: str = "score", label: str = LABEL, ranges: int | None = None
 ) -> DataFrame:
     """Exact area under the ROC curve, ties counted half, as one row; missing
     scores and labels are left out.
 
-    Rows are first reduced to one per score level. Levels are cut into quantile
-    ranges of about equal size, whose limits enter the plan as a one-row
-    subquery on the same levels; each range accumulates its own levels in order,
-    in parallel, and only the range totals, at most ``ranges`` rows, are
-    accumulated in one task. Any cut gives the same area, so no score is
-    rounded or binned.
+    Rows are first reduced to one per score level. Levels are range-partitioned
+    by score; each range accumulates its own levels in order, in parallel, and
+    only the range totals, one row each, are accumulated in one task. Any ranges
+    give the same area, so no score is rounded or binned.
     """
     levels = (
         df.select(F.col(score).alias("score"), F.col(label).alias("label"))
@@ -97,11 +95,8 @@ def area_under_roc(
             F.count_if(F.col("label") == 0).alias("neg"),
         )
     )
-    shares = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
-    limits = levels.agg(F.percentile_approx("score", shares, 10 * ranges).alias("cuts")).scalar()
-    # the place of a score among the limits; levels are many, limits few
-    place = F.array_position(F.sort_array(F.array_append(limits, F.col("score"))), F.col("score"))
-    return _area(levels.withColumn("range", place))
+    dealt = levels.repartitionByRange(*([ranges] if ranges else []), "score")
+    return _area(dealt.withColumn("range", F.spark_partition_id()))
 
 
 def _area(levels: DataFrame) -> DataFrame:

@@ -226,7 +226,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "feed_rows": _flights(f"SELECT origin AS key, {text} FROM flights"),
         "feed_cap": _flights(
-            "SELECT LEAST(1000, COUNT(*)) AS n, 0::BIGINT AS n_unknown FROM flights"
+            f"SELECT origin AS key, flight_id FROM flights ORDER BY {', '.join(COLUMNS)} LIMIT 1000"
         ),
         "feed_key": _flights(
             "SELECT flight_id, CASE WHEN weather_origin <> 'Fog' THEN origin END AS key, "
@@ -341,6 +341,17 @@ FROM orders GROUP BY o_orderpriority""",
         "split_random": _flights(_SPLIT),
         "split_default": _flights(_SPLIT),
         "category_index": _by_category(f"SELECT *, {_POSITION} AS index FROM freq", "flights"),
+        "indexer_index": _by_category(f"SELECT *, {_POSITION} AS index FROM freq", "flights"),
+        "category_encoded": _flights(f"""+ seen AS (SELECT * FROM flights WHERE {_BUCKET} < 80),
+o AS (SELECT origin, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, origin) - 1 AS i
+      FROM seen GROUP BY origin),
+c AS (SELECT carrier, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, carrier) - 1 AS i
+      FROM seen GROUP BY carrier)
+SELECT flight_id,
+  CASE WHEN weather_origin <> 'Snow' AND o.i IS NOT NULL THEN o.i
+    ELSE (SELECT COUNT(*) FROM o) END AS origin_index,
+  COALESCE(c.i, (SELECT COUNT(*) FROM c)) AS carrier_index
+FROM flights LEFT JOIN o USING (origin) LEFT JOIN c USING (carrier) WHERE {_BUCKET} >= 80"""),
         "onehot_width": _by_category(
             f"SELECT category, value, COUNT(*) OVER (PARTITION BY category) AS width, "
             f"{_POSITION} AS slot FROM freq",
@@ -360,7 +371,7 @@ FROM orders GROUP BY o_orderpriority""",
             f"SELECT COUNT(*) AS n, CAST(0 AS BIGINT) AS n_changed FROM flights WHERE {_BUCKET} >= 80"
         ),
         "gbt_train": _flights(
-            "SELECT COUNT(*) AS n, TRUE AS auc_in_range, TRUE AS accuracy_near_majority, "
+            "SELECT COUNT(*) AS n, TRUE AS trees_in_range, TRUE AS auc_in_range, TRUE AS accuracy_near_majority, "
             f"TRUE AS recall_is_accuracy FROM flights WHERE {_BUCKET} >= 80"
         ),
         "gbt_predict": _flights(
@@ -372,4 +383,20 @@ FROM orders GROUP BY o_orderpriority""",
         "stream_parse": whole,
         "stream_features": _flights(f"SELECT flight_id, {_FEATURES} FROM flights"),
         "stream_resume": _flights("SELECT flight_id, origin, is_delayed FROM flights"),
+        "stream_recover": _flights("SELECT flight_id, origin, is_delayed FROM flights"),
+        "stream_latest": _flights(
+            f"SELECT flight_id, origin, is_delayed FROM flights WHERE {_BUCKET} >= 80"
+        ),
+        "stream_rejects": _flights("""SELECT CASE WHEN carrier IN
+    ('Brand#11', 'Brand#12', 'Brand#13', 'Brand#14') THEN 'reject' ELSE 'flight' END AS kind,
+  CASE carrier WHEN 'Brand#11' THEN SUBSTR(j, 1, 40)
+    WHEN 'Brand#12' THEN 'no json: ' || SUBSTR(j, 15, 20)
+    WHEN 'Brand#13' THEN '[' || SUBSTR(j, 14, 12) || ']'
+    WHEN 'Brand#14' THEN NULL ELSE carrier END AS what,
+  COUNT(*) AS n
+FROM (SELECT carrier, '{"flight_id":"' || flight_id || '","date":"' || date || '",' AS j FROM flights) t
+GROUP BY 1, 2"""),
+        "stream_monitor": _flights(
+            "SELECT COUNT(*) AS rows_reported, COUNT(*) AS rows_written FROM flights"
+        ),
     }

@@ -18,8 +18,10 @@ class Settings:
     categorical: tuple[str, ...] = CATEGORICAL_FEATURES
     numeric: tuple[str, ...] = NUMERIC_FEATURES
     label: str = LABEL
-    # "onehot": one slot per category value; "index": one nominal slot per column
+    # "onehot": one slot per category value; "index": one nominal slot per column;
+    # "binned": the same with at most category_slots values
     encoding: str = "onehot"
+    category_slots: int = 16
 
     # boosted trees
     trees: int = 100
@@ -27,6 +29,10 @@ class Settings:
     step_size: float = 0.1
     seed: int = 42
     checkpoint_every: int = 10
+    # share of the training rows that decides how many of the trees are kept;
+    # 0 keeps all of them
+    validation_percent: int = 0
+    validation_tolerance: float = 0.0
 
     # train / test split
     split_key: str = "flight_id"

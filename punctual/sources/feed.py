@@ -3,7 +3,10 @@ the same key and value columns where no broker is at hand."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from datetime import datetime
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -41,30 +44,51 @@ def keyed_records(df: DataFrame, max_records: int | None = None) -> DataFrame:
     return rows.select(record_key(df).alias("key"), value.alias("value"))
 
 
+def _positions(df: DataFrame) -> DataFrame:
+    """``df`` with ``__file``, ``__start`` and ``__place``: rows by file, by the
+    byte where their split of it begins, and by a number that rises within it.
+
+    A split is read by one task from front to back, whatever other splits that
+    task reads, so places are contiguous in it. Rows that come from no file are
+    told by their partition instead.
+    """
+    place = F.monotonically_increasing_id().alias("__place")
+    try:
+        named = df.select(
+            "*",
+            F.col("_metadata.file_path").alias("__file"),
+            F.col("_metadata.file_block_start").alias("__start"),
+        )
+    except AnalysisException:
+        part = F.shiftright(F.monotonically_increasing_id(), 33)
+        named = df.select("*", F.lit("").alias("__file"), part.alias("__start"))
+    return named.select("*", place)
+
+
 def capped(df: DataFrame, most: int) -> DataFrame:
-    """The first ``most`` rows in the order of the partitions, without moving
-    them through one task.
+    """The first ``most`` rows in the order of the files' names and of the rows in
+    them, however Spark packs files into tasks.
 
-    Rows are counted per partition first; each partition then keeps what is
-    left of the cap when its turn comes. The order is that of the files, so
-    this is meant for tables read from files.
+    Rows are counted per split; a table of one row per split sums up how many lie
+    ahead of it. Each split then keeps its part of the cap: no row moves, and
+    nothing is collected. Only the splits that keep rows are looked up.
     """
-    place = F.monotonically_increasing_id()
-    part, row = F.shiftright(place, 33), place.bitwiseAND((1 << 33) - 1)
-    counts = df.select(part.alias("part")).groupBy("part").agg(F.count("*").alias("n"))
-    left, quota = most, {}
-    for part_number, n in sorted(counts.collect()):
-        quota[part_number] = min(n, left)
-        left -= quota[part_number]
-        if not left:
-            break
-    if not quota:
-        return df
-    # one number per partition that has a share
-    limits = F.map_from_arrays(F.lit([*quota]), F.lit([*quota.values()]))
-    mine = F.coalesce(F.element_at(limits, F.col("__part").cast("int")), F.lit(0))
-    numbered = df.withColumns({"__part": part, "__row": row})
-    return numbered.where(F.col("__row") < mine).drop("__part", "__row")
+    rows = _positions(df)
+    per_split = rows.groupBy("__file", "__start").agg(
+        F.count("*").alias("n"), F.min("__place").alias("first")
+    )
+    ahead = Window.orderBy("__file", "__start").rowsBetween(Window.unboundedPreceding, -1)
+    quotas = (
+        per_split.withColumn("before", F.coalesce(F.sum("n").over(ahead), F.lit(0)))
+        .where(F.col("before") < most)
+        .select(
+            F.col("__file").alias("__of_file"),
+            F.col("__start").alias("__of_start"),
+            (F.col("first") + F.lit(most) - F.col("before")).alias("__stop"),
+        )
+    )
+    mine = (F.col("__file") == F.col("__of_file")) & (F.col("__start") == F.col("__of_start"))
+    return rows.join(quotas, mine).where(F.col("__place") < F.col("__stop")).select(*df.columns)
 
 
 def kafka_source_options(
@@ -114,11 +138,17 @@ def read_records(
     path: str | None = None,
     settings: Settings = DEFAULTS,
     max_files_per_trigger: int | None = None,
+    since: datetime | None = None,
+    archive: str | None = None,
     **kafka,
 ) -> DataFrame:
     """A stream of records with columns key and value.
 
-    ``kind`` is ``kafka`` or ``files`` (a folder of Parquet files).
+    ``kind`` is ``kafka`` or ``files`` (a folder of Parquet files). Of files,
+    ``since`` takes only those delivered after that moment, as a broker's latest
+    offsets do: note it at the first start, and pass the same one when resuming.
+    ``archive`` is a folder that finished files move to, the file twin of
+    retention.
     """
     if kind == "kafka":
         options = kafka_source_options(settings, **kafka)
@@ -127,7 +157,13 @@ def read_records(
         reader = spark.readStream.schema(RECORD_SCHEMA)
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-        return reader.parquet(path)
+        if archive:
+            reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+        records = reader.parquet(path)
+        if since is None:
+            return records
+        delivered = F.col("_metadata.file_modification_time")
+        return records.where(delivered > F.lit(since)).select(*RECORD_SCHEMA.names)
     raise ValueError(f"unknown kind of feed: {kind}")
 
 
