@@ -13,7 +13,7 @@ from punctual.operators import analytics, features, learning, synthesis
 from punctual.session import build_session, scratch_folder
 from punctual.settings import DEFAULTS, Settings
 from punctual.sources import feed, files
-from punctual.streaming import scoring
+from punctual.streaming import monitor, scoring
 
 
 def _flights(spark: SparkSession, args) -> DataFrame:
@@ -77,10 +77,7 @@ def train(spark: SparkSession, args) -> None:
     """Fit, measure and save a model."""
     settings = _settings(args)
     flights = _flights(spark, args)
-    analytics.dataset_summary(features.cast_numeric(flights), settings.label).show()
-    sides = learning.hash_split(features.prepare(flights), settings)
-    for name, side in zip(("train", "test"), sides):
-        print(f"{name} rows: {side.count()}")
+    learning.training_summary(features.prepare(flights), settings).show()
     model, measured = learning.train_and_evaluate(flights, settings)
     measured.show(truncate=False)
     model.save(args.features_path, args.classifier_path)
@@ -134,11 +131,14 @@ def predict(spark: SparkSession, args) -> None:
         spark, args.kind, args.path, settings, **(options if args.kind == "kafka" else {})
     )
     scored = scoring.score_records(records, model)
-    scoring.run(
-        scoring.write_stream(
-            scored, args.checkpoint, args.sink, args.output, args.interval, args.once, settings
-        )
+    query = scoring.write_stream(
+        scored, args.checkpoint, args.sink, args.output, args.interval, args.once, settings
     )
+    try:
+        scoring.run(query)
+    finally:
+        if args.progress:
+            monitor.batches(spark, query).write.mode("append").parquet(args.progress)
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -182,6 +182,8 @@ def _parser() -> argparse.ArgumentParser:
     sub = job("train", train)
     table(sub)
     model(sub)
+    sub.add_argument("--encoding", choices=["onehot", "index", "binned"])
+    sub.add_argument("--validation-percent", type=int, help="rows that decide how many trees stay")
     sub.add_argument("--trees", type=int)
     sub.add_argument("--depth", type=int)
     sub.add_argument("--step-size", type=float)
@@ -201,6 +203,7 @@ def _parser() -> argparse.ArgumentParser:
     broker(sub)
     sub.add_argument("--sink", choices=["console", "parquet", "kafka"], default="console")
     sub.add_argument("--output")
+    sub.add_argument("--progress", help="folder for one row per batch: rows, seconds, skipped")
     sub.add_argument("--once", action="store_true", help="handle what has arrived, then end")
     sub.add_argument("--starting-offsets", default="latest")
     sub.add_argument("--fail-on-data-loss", action="store_true")

@@ -64,7 +64,8 @@ def slot_limits(values: int, slots: int) -> list[float]:
         step = (values + 1 - own) / (slots - own)
         inner = [float(i) for i in range(1, own + 1)]
         inner += [float(round(own + step * i)) for i in range(1, slots - own)]
-    return [-math.inf, *inner, math.inf]
+    # a column without any value still needs a limit
+    return [-math.inf, *(inner or [1.0]), math.inf]
 
 
 def _fit_binned(train: DataFrame, settings: Settings) -> PipelineModel:
@@ -134,6 +135,31 @@ def random_split(df: DataFrame, settings: Settings = DEFAULTS) -> tuple[DataFram
     return train, test
 
 
+def training_summary(prepared: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """What a fit will see, in one pass: rows and label balance, rows of both split
+    sides, rows without a label, and rows dropped for a missing number."""
+    train = split_bucket(F.col(settings.split_key)) < settings.train_percent
+    known = F.col(settings.label).isNotNull()
+    kinds = dict(prepared.dtypes)
+    missing = F.lit(False)
+    for c in settings.numeric:
+        missing = missing | F.col(c).isNull()
+        if kinds[c] in ("double", "float"):
+            missing = missing | F.coalesce(F.isnan(c), F.lit(False))
+    counts = prepared.agg(
+        F.count("*").alias("total"),
+        F.count_if(F.col(settings.label) == 1).alias("delayed"),
+        F.count_if(F.col(settings.label) == 0).alias("not_delayed"),
+        F.count_if(train).alias("train_rows"),
+        F.count_if(~train).alias("test_rows"),
+        F.count_if(~known).alias("unlabelled"),
+        F.count_if(missing).alias("skipped"),
+    )
+    labelled = (F.col("delayed") + F.col("not_delayed")).cast("double")
+    percent = F.try_divide(F.col("delayed") * F.lit(100.0), labelled)
+    return counts.withColumn("percent_delayed", percent)
+
+
 # ---- training and scoring -----------------------------------------------------
 
 

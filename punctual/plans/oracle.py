@@ -396,7 +396,21 @@ FROM flights LEFT JOIN o USING (origin) LEFT JOIN c USING (carrier) WHERE {_BUCK
   COUNT(*) AS n
 FROM (SELECT carrier, '{"flight_id":"' || flight_id || '","date":"' || date || '",' AS j FROM flights) t
 GROUP BY 1, 2"""),
-        "stream_monitor": _flights(
-            "SELECT COUNT(*) AS rows_reported, COUNT(*) AS rows_written FROM flights"
-        ),
+        "stream_monitor": _flights("""SELECT COUNT(*) AS rows_reported, COUNT(*) AS rows_written,
+  CAST(SUM(CASE WHEN carrier IN ('Brand#11', 'Brand#12', 'Brand#13', 'Brand#14') THEN 1 ELSE 0 END)
+    AS BIGINT) AS unreadable,
+  CAST(SUM(CASE WHEN carrier IN ('Brand#11', 'Brand#12', 'Brand#13', 'Brand#14') THEN 1 ELSE 0 END)
+    AS BIGINT) AS skipped FROM flights"""),
+        "distinct_by_month": _flights("""+ long AS (
+  SELECT SUBSTR(date, 1, 7) AS month, 'origin' AS category, origin AS v FROM flights
+  UNION ALL SELECT SUBSTR(date, 1, 7), 'destination', destination FROM flights
+  UNION ALL SELECT SUBSTR(date, 1, 7), 'carrier', carrier FROM flights)
+SELECT month, category, COUNT(DISTINCT v) AS n FROM long GROUP BY 1, 2
+UNION ALL SELECT 'all', category, COUNT(DISTINCT v) FROM long GROUP BY 2"""),
+        "training_summary": _flights("""+ l AS (
+  SELECT CASE WHEN weather_origin <> 'Snow' THEN is_delayed END AS y, weather_destination AS w
+  FROM flights)
+SELECT COUNT(*) AS total, CAST(SUM(y) AS BIGINT) AS delayed, CAST(SUM(1 - y) AS BIGINT) AS not_delayed,
+  SUM(y) * 100 / COUNT(y) AS percent_delayed, COUNT(*) - COUNT(y) AS unlabelled,
+  COUNT(*) FILTER (w = 'Fog') AS skipped, COUNT(*) AS both_sides FROM l"""),
     }

@@ -318,6 +318,37 @@ def distinct_counts(spark, sf_dir):
     return analytics.distinct_counts(flights_table(spark, sf_dir), ["origin", "carrier"])
 
 
+@_query
+def distinct_by_month(spark, sf_dir):
+    """Distinct airports and carriers per month, and over all months from the
+    months' bitmaps alone."""
+    columns = ["origin", "destination", "carrier"]
+    rows = flights_table(spark, sf_dir).withColumn("month", F.substring("date", 1, 7))
+    entries = dictionary.dictionary(rows, columns)
+    path = scratch_folder(spark, "bitmaps")
+    dictionary.distinct_bitmaps(rows, entries, columns, ["month"]).write.parquet(path)
+    bitmaps = spark.read.parquet(path)
+    whole = dictionary.merged_distinct(bitmaps).select(F.lit("all").alias("month"), "category", "n")
+    return dictionary.merged_distinct(bitmaps, ["month"]).unionAll(whole)
+
+
+@_query
+def training_summary(spark, sf_dir):
+    """What a fit would see, with labels and numbers missing here and there."""
+    rows = _prepared(spark, sf_dir).withColumns(
+        {
+            "is_delayed": F.when(F.col("weather_origin") != "Snow", F.col("is_delayed")),
+            "temperature_origin": F.when(
+                F.col("weather_destination") != "Fog", F.col("temperature_origin")
+            ),
+        }
+    )
+    found = learning.training_summary(rows)
+    sides = (F.col("train_rows") + F.col("test_rows")).alias("both_sides")
+    names = ("total", "delayed", "not_delayed", "percent_delayed", "unlabelled", "skipped")
+    return found.select(*names, sides)
+
+
 @_query
 def overall_rate(spark, sf_dir):
     return analytics.overall_rate(flights_table(spark, sf_dir))
@@ -794,14 +825,23 @@ def stream_latest(spark, sf_dir):
 @_query
 def stream_monitor(spark, sf_dir):
     """An interval-triggered stream that is ended once all that arrived is handled:
-    rows reported over its batches against rows written."""
+    rows, unreadable and skipped ones over its batches, and rows written."""
     source, checkpoint, out = (scratch_folder(spark, p) for p in ("feed", "progress", "sink"))
-    _send(spark, flights_table(spark, sf_dir), source)
+    feed.send_records(_damaged(spark, sf_dir), kind="files", path=source)
     records = feed.read_records(spark, "files", source, max_files_per_trigger=2)
+    flights = features.prepare(scoring.checked_records(records).drop("rejected_value"))
     query = scoring.write_stream(
-        scoring.parse_records(records), checkpoint, "parquet", out, interval="1 second"
+        scoring.watched(flights), checkpoint, "parquet", out, interval="1 second"
     )
     scoring.run(query, follow=False)
     seen = monitor.batches(spark, query)
     written = spark.read.parquet(out).agg(F.count("*")).scalar()
-    return seen.agg(F.sum("rows").alias("rows_reported")).withColumn("rows_written", written)
+
+    def counted(name):
+        return F.sum(F.col("observed")[f"feed.{name}"].cast("bigint"))
+
+    return seen.agg(
+        F.sum("rows").alias("rows_reported"),
+        counted("unreadable").alias("unreadable"),
+        counted("skipped").alias("skipped"),
+    ).withColumn("rows_written", written)

@@ -4,6 +4,8 @@ the operators are the ones the batch job uses."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from punctual.operators.features import cast_numeric, prepare
 from punctual.operators.learning import DelayModel, scored_rows
-from punctual.schema import COLUMNS, text_schema
+from punctual.schema import COLUMNS, NUMERIC_FEATURES, text_schema
 from punctual.sources.feed import kafka_sink_options
 from punctual.settings import DEFAULTS, Settings
 
@@ -54,9 +56,22 @@ def checked_records(records: DataFrame) -> DataFrame:
     return cast_numeric(flat)
 
 
+def watched(flights: DataFrame, name: str = "feed") -> DataFrame:
+    """``flights`` (prepared, from a feed), counting on the way: rows, those that
+    could not be read, and those that scoring will skip for a missing number. The
+    counts come with the progress of each batch, without another pass."""
+    missing = reduce(or_, [F.col(c).isNull() for c in NUMERIC_FEATURES])
+    return flights.observe(
+        name,
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("flight_id").isNull()).alias("unreadable"),
+        F.count_if(missing).alias("skipped"),
+    )
+
+
 def score_records(records: DataFrame, model: DelayModel) -> DataFrame:
     """Scored flights from a feed."""
-    return scored_rows(model.score(prepare(parse_records(records))))
+    return scored_rows(model.score(watched(prepare(parse_records(records)))))
 
 
 def write_stream(

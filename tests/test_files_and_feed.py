@@ -2,6 +2,7 @@ import json
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from punctual.plans.flights import flights_table
@@ -207,3 +208,50 @@ def test_paced_feed_from_csv(spark, small, tmp_path):
     assert len([p for p in query.recentProgress if p["numInputRows"]]) == 3
     back = scoring.parse_records(spark.read.parquet(out))
     assert back.count() == 90 and back.exceptAll(flights_table(spark, small)).isEmpty()
+
+
+@pytest.mark.parametrize("names", [("a", "b", "c"), ("c", "a", "b"), ("b", "c", "a")])
+def test_cap_takes_the_first_rows_of_the_files(spark, tmp_path, names):
+    # written in another order than the names', sizes apart: tasks read large ones first
+    start = 0
+    for name, size in sorted(zip(names, (100, 5000, 200))):
+        lines = [f"F{start + i:06d},x{i}" for i in range(size)]
+        (tmp_path / f"{name}.csv").write_text("\n".join(["flight_id,origin", *lines]) + "\n")
+        start += size
+    for files_a_task in ("128m", "1k", "16k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", files_a_task)
+        try:
+            rows = files.read_feed_csv(spark, str(tmp_path))
+            for most in (1, 50, 150, 5100, 9999):
+                got = sorted(r.flight_id for r in feed.capped(rows, most).collect())
+                assert got == [f"F{i:06d}" for i in range(min(most, start))]
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_cap_of_rows_without_files(spark):
+    rows = spark.range(100, numPartitions=5).withColumn("a", F.lit(1))
+    assert sorted(r.id for r in feed.capped(rows, 37).collect()) == list(range(37))
+    assert feed.capped(rows.limit(0), 5).count() == 0
+
+
+def test_rejected_messages(spark):
+    good = '{"flight_id": "F1", "distance_miles": 12, "extra": [1]}'
+    texts = [good, "no json", '{"flight_id": "F2"', "[1, 2]", '"text"', "7", "null", "", None, "  {}"]
+    records = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "key string, value string")
+    got = scoring.checked_records(records).collect()
+    assert [r.rejected for r in got] == [False] + [True] * 8 + [False]
+    assert [r.rejected_value for r in got] == [None, *texts[1:9], None]
+    assert got[0].flight_id == "F1" and got[0].distance_miles == 12.0
+
+
+def test_a_replayed_batch_is_written_once(spark, tmp_path):
+    ledger = scoring.Ledger(spark, str(tmp_path / "out"))
+    rows = spark.range(5)
+    # rows of a batch that was never entered do not count
+    rows.write.parquet(ledger._data(0, "rows"))
+    ledger.write({"rows": spark.range(3)}, 0)
+    ledger.write({"rows": rows}, 0)
+    ledger.write({"rows": spark.range(3, 6)}, 1)
+    spark.range(9).write.parquet(ledger._data(2, "rows"))
+    assert sorted(r.id for r in ledger.read().collect()) == [0, 1, 2, 3, 4, 5]

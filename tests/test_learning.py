@@ -132,3 +132,38 @@ def test_quality_is_near_what_the_data_allows(spark, medium):
     assert 0.62 <= row.auc <= 0.70
     assert abs(row.accuracy - (1 - share)) < 0.02
     assert row.weighted_recall == pytest.approx(row.accuracy)
+
+
+@pytest.mark.parametrize("values, slots", [(0, 4), (3, 4), (4, 4), (25, 16), (1000, 16), (1000, 32)])
+def test_slots_of_categories(values, slots):
+    limits = learning.slot_limits(values, slots)
+    assert limits == sorted(set(limits)) and len(limits) - 1 == max(2, min(values + 1, slots))
+    # each of the most frequent values has a slot of its own
+    own = min(values + 1, slots // 2)
+    assert limits[1 : own + 1] == [float(i) for i in range(1, own + 1)][: len(limits) - 2]
+
+
+def test_binned_features_and_early_end(spark, prepared):
+    settings = replace(SMALL, encoding="binned", category_slots=8, trees=60, validation_percent=20)
+    model = learning.fit_model(prepared, settings)
+    assert model.classifier.numFeatures == learning.vector_width(model.features, settings) == 14
+    assert 1 <= model.classifier.getNumTrees < 60
+    slots = model.features.transform(prepared).agg(F.max("origin_slot"), F.min("origin_slot")).first()
+    assert 0 <= slots[1] <= slots[0] < 8
+    unseen = prepared.withColumn("origin", F.lit("nowhere"))
+    assert model.score(unseen).where("prediction IS NULL").count() == 0
+
+
+def test_fit_rebalances_its_rows(spark, small):
+    one = flights_table(spark, small).coalesce(1)
+    plan = features.prepare(one).hint("rebalance")._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" in plan
+
+
+def test_model_survives_saving_when_binned(spark, prepared, tmp_path):
+    settings = replace(SMALL, encoding="binned")
+    model = learning.fit_model(prepared, settings)
+    model.save(str(tmp_path / "f"), str(tmp_path / "t"))
+    loaded = learning.DelayModel.load(str(tmp_path / "f"), str(tmp_path / "t"))
+    before, after = (sorted(tuple(r) for r in learning.scored_rows(m.score(prepared)).collect()) for m in (model, loaded))
+    assert before == after
