@@ -278,9 +278,9 @@ def blocks(page: str) -> list[Block]:
                 pop(len(stack) - 1)
             links = 0
             heading = name if name in HEADINGS else ""
-        attributes = _attributes(rest) if rest else {}
-        parts = _names(attributes)
-        hidden = _is_hidden(attributes)
+        attributes = _attributes(rest) if rest and not rest.isspace() else {}
+        parts = _names(attributes) if attributes else set()
+        hidden = bool(attributes) and _is_hidden(attributes)
         named = bool(parts & JUNK_NAMES) and bool(
             _junk_names(attributes) - (TITLE_NAMES if mains else set())
         )
@@ -319,40 +319,64 @@ _EDGES = re.compile(r"^\W+|\W+$")
 TEXT, FURNITURE, NEAR, SHORT = "text", "furniture", "near", "short"
 
 
+_WIDE = re.compile("[\u2e80-\U0010ffff]")
+
+
 def _size(text: str) -> int:
     """Length; a character of the scripts written without spaces says as much as
     three letters."""
-    return len(text) if text.isascii() else len(text) + 2 * sum(c >= "\u2e80" for c in text)
+    if text.isascii() or not _WIDE.search(text):
+        return len(text)
+    return len(text) + 2 * len(_WIDE.findall(text))
+
 
+def _stops(text: str) -> tuple[int, int]:
+    """Stop words and words of a text."""
+    words = text.split()
+    n = 0
+    for w in words:
+        if not (w[0].isalnum() and w[-1].isalnum()):
+            w = _EDGES.sub("", w)
+        n += w.lower() in STOP_WORDS
+    return n, len(words)
 
-def _stop_share(text: str) -> float:
-    words = [_EDGES.sub("", w).lower() for w in text.split()]
-    return sum(w in STOP_WORDS for w in words) / max(1, len(words))
 
+def _labels(found: list[Block], rules: BlockRules) -> list[str]:
+    """First pass: text, furniture, or one of the two ambiguous kinds.
 
-def _foreign(found: list[Block], rules: BlockRules) -> bool:
-    """Whether the longer blocks hardly have a stop word: another language."""
+    Where the longer blocks hardly have a stop word, in a language other than the
+    known ones, length and links alone decide.
+    """
+    sizes = [_size(b.text) for b in found]
+    stops = [
+        None
+        if size < rules.short_chars
+        or b.linked > (rules.max_link_density_inside if b.main else rules.max_link_density) * len(b.text)
+        else _stops(b.text)
+        for b, size in zip(found, sizes)
+    ]
     prose = [
-        b.text
-        for b in found
-        if _size(b.text) >= rules.long_chars and b.linked <= rules.max_link_density * len(b.text)
+        s
+        for b, size, s in zip(found, sizes, stops)
+        if s and size >= rules.long_chars and b.linked <= rules.max_link_density * len(b.text)
     ]
-    return bool(prose) and _stop_share(" ".join(prose)) < rules.stop_low
+    known, words = map(sum, zip(*prose)) if prose else (0, 0)
+    foreign = bool(words) and known < rules.stop_low * words
+    return [_decided(b, size, s, rules, foreign) for b, size, s in zip(found, sizes, stops)]
 
 
-def _decided(block: Block, rules: BlockRules, foreign: bool) -> str:
-    """First pass: text, furniture, or one of the two ambiguous kinds. In a
-    language without known stop words length and links alone decide."""
+def _decided(
+    block: Block, size: int, stops: tuple[int, int] | None, rules: BlockRules, foreign: bool
+) -> str:
     most = rules.max_link_density_inside if block.main else rules.max_link_density
     if block.linked > most * len(block.text):
         return FURNITURE
-    size = _size(block.text)
     if size < rules.short_chars or block.heading:
         return SHORT
-    stops = rules.stop_high if foreign else _stop_share(block.text)
-    if stops >= rules.stop_high:
+    share = rules.stop_high if foreign else stops[0] / max(1, stops[1])
+    if share >= rules.stop_high:
         return TEXT if size >= rules.long_chars or block.main else NEAR
-    return NEAR if stops >= rules.stop_low or block.main else FURNITURE
+    return NEAR if share >= rules.stop_low or block.main else FURNITURE
 
 
 def _follow(labels: list[str], kind: str, inside: bool) -> list[str]:
@@ -385,8 +409,7 @@ def _settled(labels: list[str], inside: bool) -> list[bool]:
 
 
 def _judged(found: list[Block], inside: bool, rules: BlockRules) -> str:
-    foreign = _foreign(found, rules)
-    labels = [_decided(b, rules, foreign) for b in found]
+    labels = _labels(found, rules)
     if not inside and not {TEXT, FURNITURE} & set(labels):
         # nothing to ask: short blocks are text if they are some together
         if sum(_size(b.text) for b in found) < rules.short_chars:
