@@ -4,6 +4,9 @@ Operators that ask "how often does this occur in the whole corpus" send sorted
 keys of a batch to the partitions that count them and get the answers back per
 batch. The batch itself stays put: it is one row of a table that is bucketed by
 batch id, so that answers are joined to it without moving the texts again.
+
+A bucket is one task wherever the table is read, and adaptive execution cannot
+cut it. So the number of buckets follows the bytes of the texts.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from punctual.llm.common import regrouped
 from punctual.session import scratch_folder
 
 BATCH_BYTES = 8 << 20
+BUCKET_BYTES = 256 << 20
 
 
 def to_blob(table: pa.Table) -> bytes:
@@ -33,8 +37,22 @@ def from_blob(blob: bytes) -> pa.Table:
     return pa.ipc.open_stream(blob).read_all()
 
 
+def bucket_count(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """Buckets for the bodies of ``docs``: about ``bucket_bytes`` each, at least as
+    many as a shuffle has partitions (with fewer, Spark would shuffle the table to
+    join it), at most as many as a table may have."""
+    setting = docs.sparkSession.conf.get
+    total = docs.agg(F.sum(F.octet_length("__body").cast("long"))).first()[0] or 0
+    wanted = max(int(setting("spark.sql.shuffle.partitions")), -(-total // bucket_bytes))
+    return min(wanted, int(setting("spark.sql.sources.bucketing.maxBuckets")))
+
+
 def batched(
-    docs: DataFrame, label: str, measure=None, batch_bytes: int = BATCH_BYTES
+    docs: DataFrame,
+    label: str,
+    measure=None,
+    batch_bytes: int = BATCH_BYTES,
+    bucket_bytes: int = BUCKET_BYTES,
 ) -> DataFrame:
     """A table (batch, kind, size, body): every row of ``docs`` in one batch.
 
@@ -65,7 +83,7 @@ def batched(
 
     rows = docs.mapInArrow(run, "batch string, kind int, size long, body binary")
     name = f"batches_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = bucket_count(docs, bucket_bytes)
     writer = rows.write.option("path", scratch_folder(spark, label)).option("compression", "none")
     writer.bucketBy(buckets, "batch").saveAsTable(name)
     table = spark.table(name)

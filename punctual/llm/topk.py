@@ -1,16 +1,25 @@
 """Exact top-k by inner product: a ball tree per shard, branch and bound.
 
-Vectors are dealt over shards of bounded size by a hash of their id. In a shard
-they form a ball tree; the inner product of a query with anything in a ball is
-at most ``query . centre + |query| * radius``. Queries go down together, each
-towards the child with the higher bound first, and leave a ball out when its
-bound is below their current k-th score. Every query is first answered in its
-own shard; the k-th score found there travels with it to all others, which
-mostly prune and return only what can still matter.
+Vectors are dealt over cells of space: a coarse tree of hyperplanes, fitted on a
+bounded sample, says which cell a vector lies in, and every vector is dealt by
+it. A cell is cut by a hash of the id into shards of bounded size, so that a
+cell with a third of all vectors is many shards. In a shard they form a ball
+tree; the inner product of a query with anything in a ball is at most
+``query . centre + |query| * radius``. Queries go down together, each towards
+the child with the higher bound first, and leave a ball out when its bound is
+below their current k-th score. Every query is first answered in its own shard;
+the k-th score found there travels with it to the others.
+
+A cell is a ball as well: its centre is the mean of its part of the sample, its
+radius the largest distance of any of its vectors, taken over all of them. A
+query is sent to the shards of those cells whose bound reaches its k-th score,
+the others are ruled out before the shuffle. The sample decides where vectors
+lie, never what is found. Cells are ``CELLS`` at most; their balls are all that
+passes through the driver. Vectors of another length than most have one more
+cell, which is never ruled out for queries of such lengths.
 
 A task holds one shard's vectors and streams the queries past them in Arrow
-batches. What is shuffled is (queries x shards) rows, the stated query set
-against all rows; per query at most k rows leave a shard.
+batches; per query at most k rows leave a shard.
 
 Components become ``floor(256 * x)``; scores are integers, and float64 products
 are exact for them below 2 ** 53. A shard whose products could be larger is
@@ -28,16 +37,21 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from punctual.llm.common import stored
 
 SHARD_ROWS = 16384
 LEAF_ROWS = 128
+#: Cells of the coarse tree, and the expected number of vectors it is fitted on.
+CELLS = 1024
+SAMPLE_ROWS = 16384
 _LOWEST = np.iinfo(np.int64).min
 
 
@@ -147,6 +161,155 @@ def _matrix(column: pa.ChunkedArray, length: int) -> np.ndarray:
     return np.asarray(flat, np.int64).reshape(len(column), length)
 
 
+@dataclass
+class Cells:
+    """Cells of a binary space partition, for vectors of one length. Cell number
+    ``len(centres)`` takes those of any other length."""
+
+    length: int
+    normals: np.ndarray
+    cuts: np.ndarray
+    below: np.ndarray  # a node, or ~cell
+    above: np.ndarray
+    centres: np.ndarray
+
+    @staticmethod
+    def fit(sample: np.ndarray, most: int) -> Cells:
+        """At most ``most`` cells by cutting the largest part of the sample in halves."""
+        rows = sample.astype(np.float64)
+        length = rows.shape[1]
+        nodes: list[list] = []  # normal, cut, below, above
+        parts = [(-len(rows), 0, np.arange(len(rows)), -1, 0)]
+        cells: list[tuple[np.ndarray, int, int]] = []
+        made = 1
+        while parts:
+            _, _, mine, parent, side = heappop(parts)
+            more = len(mine) > 1 and len(parts) + len(cells) + 1 < most
+            halves = _halves(rows[mine]) if more else None
+            if halves is None:
+                cells.append((mine, parent, side))
+                continue
+            normal, cut, high = halves
+            number = len(nodes)
+            nodes.append([normal, cut, 0, 0])
+            if parent >= 0:
+                nodes[parent][2 + side] = number
+            for into, which in enumerate((mine[~high], mine[high])):
+                heappush(parts, (-len(which), made, which, number, into))
+                made += 1
+        for cell, (_, parent, side) in enumerate(cells):
+            if parent >= 0:
+                nodes[parent][2 + side] = ~cell
+        empty = np.zeros(length)
+        return Cells(
+            length,
+            np.array([n[0] for n in nodes]).reshape(len(nodes), length),
+            np.array([n[1] for n in nodes], np.float64),
+            np.array([n[2] for n in nodes], np.int64),
+            np.array([n[3] for n in nodes], np.int64),
+            np.stack([rows[c].mean(axis=0) if len(c) else empty for c, _, _ in cells]),
+        )
+
+    def place(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Cell of each row, and its distance from that cell's centre."""
+        points = rows.astype(np.float64)
+        cell = np.zeros(len(rows), np.int64)
+        todo = [(0, np.arange(len(rows)))] if len(self.cuts) else []
+        while todo:
+            node, who = todo.pop()
+            high = points[who] @ self.normals[node] >= self.cuts[node]
+            for into, part in ((self.below[node], who[~high]), (self.above[node], who[high])):
+                if into < 0:
+                    cell[part] = ~into
+                elif len(part):
+                    todo.append((int(into), part))
+        away = np.empty(len(rows))
+        for part in range(0, len(rows), 4096):
+            near = slice(part, part + 4096)
+            away[near] = np.sqrt(((points[near] - self.centres[cell[near]]) ** 2).sum(axis=1))
+        return cell, away
+
+    def reached(self, queries: np.ndarray, floor: np.ndarray, radii: np.ndarray) -> np.ndarray:
+        """Which cells may hold a score of at least ``floor``: queries by cells. A
+        bound that is not safely exact rules nothing out."""
+        points = queries.astype(np.float64)
+        length = np.sqrt((points**2).sum(axis=1))
+        far = length[:, None] * (np.sqrt((self.centres**2).sum(axis=1)) + radii)
+        top = points @ self.centres.T + length[:, None] * radii + 0.5 + 1e-9 * far
+        return (top >= floor[:, None].astype(np.float64)) | (far >= 2.0**53)
+
+
+def _halves(rows: np.ndarray) -> tuple[np.ndarray, float, np.ndarray] | None:
+    """A plane between two far points that halves the rows: normal, cut, who lies above."""
+    centre = rows.mean(axis=0)
+    one = rows[((rows - centre) ** 2).sum(axis=1).argmax()]
+    two = rows[((rows - one) ** 2).sum(axis=1).argmax()]
+    normal = one - two
+    along = rows @ normal
+    cut = np.median(along)
+    if not (along < cut).any():
+        more = along[along > cut]
+        if not len(more):
+            return None
+        cut = more.min()
+    high = along >= cut
+    return normal, float(cut), high
+
+
+def _by_length(vecs: pa.Array, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which vectors have that length, and those as a matrix."""
+    import pyarrow.compute as pc
+
+    usual = np.asarray(pc.list_value_length(vecs).to_numpy(zero_copy_only=False)) == length
+    return usual, _matrix(pa.chunked_array([vecs.filter(pa.array(usual))]), length)
+
+
+def _usual(vecs: pa.Array) -> np.ndarray:
+    """The vectors of the most frequent length."""
+    import pyarrow.compute as pc
+
+    sizes = np.asarray(pc.list_value_length(vecs).to_numpy(zero_copy_only=False), np.int64)
+    lengths, often = np.unique(sizes, return_counts=True)
+    return _by_length(vecs, int(lengths[often.argmax()]) if len(lengths) else 0)[1]
+
+
+def _placing(cells: Cells):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            usual, rows = _by_length(batch.column("vec"), cells.length)
+            cell = np.full(batch.num_rows, len(cells.centres), np.int64)
+            away = np.zeros(batch.num_rows)
+            cell[usual], away[usual] = cells.place(rows)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("vec_id"), batch.column("vec"), pa.array(cell), pa.array(away)],
+                names=["vec_id", "vec", "cell", "away"],
+            )
+
+    return run
+
+
+def _routing(cells: Cells, radii: np.ndarray, names: list[str]):
+    """Add to each query the cells that it has to ask."""
+    other = len(cells.centres)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            usual, rows = _by_length(batch.column("vec"), cells.length)
+            floor = np.asarray(batch.column("floor").fill_null(_LOWEST).to_numpy(), np.int64)
+            can = np.zeros((batch.num_rows, other + 1), bool)
+            can[usual, :other] = cells.reached(rows, floor[usual], radii)
+            can[~usual, other] = True
+            ends = np.concatenate([[0], np.cumsum(can.sum(axis=1))])
+            reach = pa.ListArray.from_arrays(
+                pa.array(ends, pa.int32()), pa.array(np.nonzero(can)[1], pa.int64())
+            )
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(n) for n in names], reach], names=[*names, "reach"]
+            )
+
+    return run
+
+
 def _searching(k: int, leaf_rows: int):
     """Answer a stream of shards, each with its vectors (kind 0) first, then queries."""
 
@@ -218,15 +381,32 @@ def top_k(
         lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")),
     )
     whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("long"))
-    known = stored(
-        vectors.where(F.col("embedding").isNotNull() & F.col("vec_id").isNotNull() & finite).select(
-            F.col("vec_id").cast("long"), whole.alias("vec")
-        ),
+    known = vectors.where(
+        F.col("embedding").isNotNull() & F.col("vec_id").isNotNull() & finite
+    ).select(F.col("vec_id").cast("long"), whole.alias("vec"))
+    rows = known.count()
+    sample = known.select("vec").sample(min(1.0, SAMPLE_ROWS / max(1, rows)), seed=1).toArrow()
+    cells = Cells.fit(
+        _usual(sample.column("vec").combine_chunks()), min(CELLS, max(1, -(-rows // shard_rows)))
+    )
+    placed = stored(
+        known.mapInArrow(_placing(cells), "vec_id long, vec array<long>, cell long, away double"),
         "topk-vectors",
     )
-    shards = max(1, -(-known.count() // shard_rows))
-    home = F.pmod(F.xxhash64("vec_id"), F.lit(shards))
-    held = known.select(
+    # one row per cell: its radius and the shards it is cut into
+    radii, pieces = np.zeros(len(cells.centres)), np.ones(len(cells.centres) + 1, np.int64)
+    for row in placed.groupBy("cell").agg(F.max("away").alias("r"), F.count("*").alias("n")).collect():
+        pieces[row.cell] = -(-row.n // shard_rows)
+        if row.cell < len(radii):
+            radii[row.cell] = row.r
+    first = np.cumsum(pieces) - pieces
+
+    def of_cell(numbers: np.ndarray, cell) -> Column:
+        return F.get(F.lit([int(x) for x in numbers]).cast("array<bigint>"), cell.cast("int"))
+
+    cell = F.col("cell")
+    home = of_cell(first, cell) + F.pmod(F.xxhash64("vec_id"), of_cell(pieces, cell))
+    held = placed.select(
         home.alias("shard"),
         F.lit(0).alias("kind"),
         "vec_id",
@@ -235,14 +415,14 @@ def top_k(
         "vec",
         F.lit(None).cast("long").alias("floor"),
     )
-    queries = known.where(F.col("vec_id") % every == 0).distinct().select(
+    queries = placed.where(F.col("vec_id") % every == 0).select(
         home.alias("shard"),
         F.lit(1).alias("kind"),
         "vec_id",
         F.xxhash64("vec").alias("mark"),
         F.size("vec").cast("long").alias("size"),
         "vec",
-    )
+    ).distinct()
 
     def answered(asked: DataFrame) -> DataFrame:
         rows = held.union(asked.select(held.columns))
@@ -253,7 +433,7 @@ def top_k(
         answered(queries.withColumn("floor", F.lit(None).cast("long"))), "topk-home"
     )
     found = at_home
-    if shards > 1:
+    if pieces.sum() > 1:
         kth = (
             at_home.groupBy("query_id", "mark")
             .agg(F.min("score").alias("least"), F.count("*").alias("n"))
@@ -265,11 +445,19 @@ def top_k(
         )
         asked = queries.join(
             kth, (F.col("vec_id") == F.col("query_id")) & (F.col("mark") == F.col("of")), "left"
+        ).select(held.columns)
+        routed = asked.mapInArrow(
+            _routing(cells, radii, held.columns),
+            T.StructType([*asked.schema.fields, T.StructField("reach", T.ArrayType(T.LongType()))]),
+        )
+        shards = F.flatten(
+            F.transform(
+                "reach",
+                lambda c: F.sequence(of_cell(first, c), of_cell(first + pieces - 1, c)),
+            )
         )
-        every_shard = F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint"))
-        others = F.filter(every_shard, lambda s: s != F.col("shard"))
-        asked = asked.withColumn("shard", F.explode(others))
-        found = found.union(answered(asked))
+        others = F.filter(shards, lambda s: s != F.col("shard"))
+        found = found.union(answered(routed.withColumn("shard", F.explode(others))))
     ranking = Window.partitionBy("query_id", "mark").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(ranking))

@@ -77,3 +77,45 @@ def test_own_id_never_answers_and_large_scores_are_exact(spark):
 def test_plan_reads_only_needed_columns(spark, small):
     df = spark.read.parquet(f"{small}/embeddings.parquet")
     assert topk.top_k(df).where(F.col("rank") == 1).count() == df.where("vec_id % 50 = 0").count()
+
+
+def clustered(rng, n, width=8, places=12):
+    middles = rng.normal(0, 4, (places, width))
+    near = middles[rng.integers(0, places, n)] + rng.normal(0, 0.2, (n, width))
+    return [(i, v.astype(np.float32).tolist(), "x") for i, v in enumerate(near)]
+
+
+def test_clusters_a_hot_vector_and_two_lengths(spark):
+    rng = np.random.default_rng(8)
+    rows = clustered(rng, 500)
+    rows += [(1000 + i, [1.5] * 8, "hot") for i in range(250)]  # one cell, cut into shards
+    rows += [(2000 + i, rng.normal(0, 1, 3).tolist(), "short") for i in range(150)]
+    assert answers(spark, rows, shard_rows=32, leaf_rows=8) == brute(rows)
+
+
+def test_cells_hold_all_rows_and_rule_out_only_what_is_worse():
+    rng = np.random.default_rng(9)
+    rows = np.array([r[1] for r in clustered(rng, 3000)])
+    rows = np.floor(rows * 256).astype(np.int64)
+    cells = topk.Cells.fit(rows[::5], 16)
+    place, away = cells.place(rows)
+    assert len(cells.centres) == 16 and set(place) == set(range(16))
+    radii = np.array([away[place == c].max() for c in range(16)])
+    queries = rows[::50]
+    scores = queries @ rows.T
+    floor = np.sort(scores, axis=1)[:, -6]
+    can = cells.reached(queries, floor, radii)
+    for c in range(16):
+        best = scores[:, place == c].max(axis=1)
+        assert can[best >= floor, c].all()
+    assert can.mean() < 0.5
+
+
+def test_cells_of_equal_empty_and_few_rows():
+    same = topk.Cells.fit(np.ones((50, 3)), 8)
+    assert len(same.centres) == 1 and same.place(np.ones((2, 3), np.int64))[0].tolist() == [0, 0]
+    none = topk.Cells.fit(np.zeros((0, 0)), 8)
+    assert none.length == 0 and len(none.centres) == 1
+    assert len(topk.Cells.fit(np.zeros((3, 0)), 4).centres) == 1
+    mostly = topk.Cells.fit(np.concatenate([np.zeros((30, 2)), np.ones((1, 2))]), 4)
+    assert len(mostly.centres) == 2
