@@ -11,15 +11,18 @@ A source whose target is ``t`` words of its ``s`` is taken ``floor(t / s)``
 times whole, and the rest as a prefix of its documents in a seeded order. The
 prefix ends where its words come nearest, so a source misses its target by at
 most half a document. Where it ends is found from word counts per (source,
-bucket of the order) and, inside one bucket per source, per document: no source
-ever meets in one task, and what comes out is one row per source.
+bucket of the order). The rows of the bucket it ends in are range-partitioned by
+key and row, so that a bucket of any size is split, and added up within a range
+behind the totals of the ranges before: no source ever meets in one task, and
+what comes out is one row per source.
 
 Edge cases: NULL or word-less texts have size 0 and are repeated with their
 source like others, without counting; NULL is a source of its own, the last
 one; rows with one ``doc_id`` (NULL included) are ordered by a digest of their
-text, repeated rows stand at one place of the order and are taken together; an empty table gives no rows;
-further columns pass through. The sources' own table, one row each, is sorted
-in one task: it grows with the number of names, not of rows.
+text; repeated rows share a place of the order, and where the prefix ends among
+them as many are taken as it needs (which of them is left open); an empty table
+gives no rows; further columns pass through. The sources' own table, one row
+each, is sorted in one task: it grows with the number of names, not of rows.
 """
 
 from __future__ import annotations
@@ -107,78 +110,144 @@ def _cuts(narrow: DataFrame, mix: Mix) -> DataFrame:
     )
     inside = narrow.join(
         turn, F.col("source").eqNullSafe(F.col("named")) & (bucket == F.col("bucket"))
-    )
-    keyed = inside.groupBy("named", "bucket", "before", "rest", "order_key").agg(
-        F.sum("size").alias("size")
-    )
-    running = Window.partitionBy("named").orderBy("order_key")
-    middle = F.col("before") + F.sum("size").over(running) - F.col("size") / 2
-    last = (
-        keyed.withColumn("middle", middle)
-        .groupBy("named")
-        .agg(
-            F.coalesce(
-                # without a rest nothing is taken once more, texts without words included
-                F.max(
-                    F.when(
-                        (F.col("rest") > 0) & (F.col("middle") <= F.col("rest")), F.col("order_key")
-                    )
-                ),
-                F.when(F.max("rest") > 0, F.min("bucket")),
-            ).alias("last_key")
-        )
-    )
+    ).select("named", "bucket", "before", "rest", "order_key", "row", "size")
     return stored(
-        planned.join(last, F.col("source").eqNullSafe(F.col("named")), "left").select(
+        planned.join(
+            _last_taken(inside), F.col("source").eqNullSafe(F.col("named")), "left"
+        ).select(
             F.col("source").alias("mixed_source"),
             "source_size",
             "target",
             "whole",
             F.coalesce("last_key", F.lit("")).alias("last_key"),
+            F.coalesce("last_row", F.lit(-1)).alias("last_row"),
+            F.coalesce("n_last", F.lit(0)).alias("n_last"),
+            F.coalesce("n_equal", F.lit(0)).alias("n_equal"),
         ),
         "mix-cuts",
     )
 
 
-def _copies() -> Column:
-    extra = (F.col("order_key") <= F.col("last_key")).cast("bigint")
-    return F.col("whole") + extra
+def _last_taken(inside: DataFrame) -> DataFrame:
+    """Per source, the key and row where its prefix ends, from the rows of the
+    bucket it ends in; how many rows have that key and how many of them are taken."""
+    order = ["order_key", "row"]
+    ranges = inside.repartitionByRange("named", *order)
+    dealt = stored(ranges.withColumn("part", F.spark_partition_id()), "mix-ranges")
+    # one row per source and range: bounded by the partitions of a shuffle
+    ahead = Window.partitionBy("named").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        dealt.groupBy("named", "part")
+        .agg(F.sum("size").alias("words"))
+        .select(
+            F.col("named").alias("of_source"),
+            F.col("part").alias("of_part"),
+            F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("ahead"),
+        )
+    )
+    running = (
+        Window.partitionBy("named", "part")
+        .orderBy(*order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    upto = F.col("before") + F.col("ahead") + F.col("within")
+    # without a rest nothing is taken once more, texts without words included
+    reached = (F.col("rest") > 0) & (upto - F.col("size") / 2 <= F.col("rest"))
+    last = (
+        dealt.withColumn("within", F.sum("size").over(running))
+        .join(
+            offsets,
+            F.col("named").eqNullSafe(F.col("of_source")) & (F.col("part") == F.col("of_part")),
+        )
+        .groupBy("named")
+        .agg(
+            F.max(F.when(reached, F.struct(*order))).alias("last"),
+            F.when(F.max("rest") > 0, F.min("bucket")).alias("start"),
+        )
+        .select(
+            F.col("named").alias("ended"),
+            # an unreached bucket leaves the prefix in front of it
+            F.coalesce("last.order_key", "start").alias("last_key"),
+            F.coalesce("last.row", F.lit(-1)).alias("last_row"),
+        )
+    )
+    equal = dealt.join(last, F.col("named").eqNullSafe(F.col("ended"))).groupBy(
+        "named", "last_key", "last_row"
+    )
+    at_last = F.col("order_key") == F.col("last_key")
+    return equal.agg(
+        F.count_if(at_last & (F.col("row") <= F.col("last_row"))).alias("n_last"),
+        F.count_if(at_last).alias("n_equal"),
+    )
 
 
 def _narrow(docs: DataFrame, mix: Mix) -> DataFrame:
-    return stored(
-        docs.select(
-            "doc_id",
-            "source",
-            n_words(F.col("text")).alias("size"),
-            row_key(mix.seed).alias("order_key"),
-        ),
-        "mix-sizes",
+    rows = docs.select(
+        "doc_id",
+        "source",
+        n_words(F.col("text")).alias("size"),
+        row_key(mix.seed).alias("order_key"),
     )
+    return stored(rows.withColumn("row", F.monotonically_increasing_id()), "mix-sizes")
 
 
 def mix_plan(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """Per document: its size, its source's size and target, the words taken."""
     narrow = _narrow(docs, mix)
     cuts = _cuts(narrow, mix)
+    extra = (F.col("order_key") < F.col("last_key")) | (
+        (F.col("order_key") == F.col("last_key")) & (F.col("row") <= F.col("last_row"))
+    )
     return narrow.join(cuts, F.col("source").eqNullSafe(F.col("mixed_source"))).select(
         "doc_id",
         "size",
         "source_size",
         "target",
-        (F.col("size") * _copies()).alias("taken"),
+        (F.col("size") * (F.col("whole") + extra.cast("bigint"))).alias("taken"),
+    )
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with their number per source from 1: counted per part as written,
+    so that no source meets in one task."""
+    rows = rows.withColumn("__mix_row", F.monotonically_increasing_id())
+    rows = stored(rows, "mix-equal").withColumn("__mix_part", F.shiftright("__mix_row", 33))
+    source, part = F.col("__mix_cut.mixed_source"), F.col("__mix_part")
+    ahead = Window.partitionBy("__of").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        rows.groupBy(source.alias("__of"), part.alias("__at"))
+        .agg(F.count("*").alias("__n"))
+        .select("__of", "__at", F.coalesce(F.sum("__n").over(ahead), F.lit(0)).alias("__ahead"))
+    )
+    inside = F.row_number().over(Window.partitionBy(source, part).orderBy("__mix_row"))
+    return (
+        rows.withColumn("__inside", inside)
+        .join(offsets, source.eqNullSafe(F.col("__of")) & (part == F.col("__at")))
+        .withColumn("__mix_number", F.col("__ahead") + F.col("__inside"))
     )
 
 
 def mix_documents(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as the plan takes it."""
-    cuts = _cuts(_narrow(docs, mix), mix).select(
-        F.struct("whole", "last_key", "mixed_source").alias("__mix_cut")
-    )
-    taken = docs.join(cuts, F.col("source").eqNullSafe(F.col("__mix_cut.mixed_source")))
-    extra = row_key(mix.seed) <= F.col("__mix_cut.last_key")
-    copies = (F.col("__mix_cut.whole") + extra.cast("bigint")).cast("int")
-    repeated = taken.withColumn("__mix_copies", F.array_repeat(F.lit(1), copies))
-    return repeated.select(
-        *[F.col(c) for c in docs.columns], F.explode("__mix_copies").alias("__mix_copy")
-    ).drop("__mix_copy")
+    cuts = _cuts(_narrow(docs, mix), mix)
+    # a prefix that ends among equal rows takes some of them, which needs their numbers
+    divided = not cuts.where("n_last < n_equal").isEmpty()
+    cut = F.struct("whole", "last_key", "n_last", "mixed_source").alias("__mix_cut")
+    rows = docs.join(
+        cuts.select(cut), F.col("source").eqNullSafe(F.col("__mix_cut.mixed_source"))
+    )
+    key, last = row_key(mix.seed), F.col("__mix_cut.last_key")
+
+    def repeated(rows: DataFrame, extra: Column) -> DataFrame:
+        copies = (F.col("__mix_cut.whole") + extra.cast("bigint")).cast("int")
+        many = rows.withColumn("__mix_copies", F.array_repeat(F.lit(1), copies))
+        return many.select(
+            *[F.col(c) for c in docs.columns], F.explode("__mix_copies").alias("__mix_copy")
+        ).drop("__mix_copy")
+
+    if not divided:
+        return repeated(rows, key <= last)
+    equal = _numbered(rows.where(key == last))
+    return repeated(rows.where(key != last), key < last).union(
+        repeated(equal, F.col("__mix_number") <= F.col("__mix_cut.n_last"))
+    )

@@ -1,3 +1,4 @@
+import hashlib
 import random
 from collections import Counter
 
@@ -112,3 +113,36 @@ def test_rows_of_one_id_are_not_one_block(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     assert abs(sum(r.taken for r in mixing.mix_plan(df, mix).collect()) - 1500) <= 5
     assert mixing.mix_documents(df, mix).count() == 150
+
+
+def test_equal_rows_are_divided(spark):
+    # a third of the rows agree in all columns, and the prefix ends in their middle
+    rows = [(None, "a b c", "one", "", 0)] * 100 + [(i, "a b c", "one", "", 0) for i in range(200)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(7)
+    place = hashlib.md5(b"11:").hexdigest()
+    ahead = sum(hashlib.md5(f"11:{i}".encode()).hexdigest() < place for i in range(200))
+    mix = mixing.Mix(total_share=1 + (ahead + 50) / 300)
+    taken = [r.taken for r in mixing.mix_plan(df, mix).collect()]
+    assert Counter(taken) == {6: ahead + 50, 3: 250 - ahead}
+    copies = Counter(r.doc_id for r in mixing.mix_documents(df, mix).collect())
+    assert copies[None] == 150 and copies.total() == 350 + ahead
+
+
+def test_a_hot_place_of_the_order_is_split(spark):
+    # rows without id fall into one bucket; ranges by text share its rows out
+    rows = [(None, f"word{i} " * 9, "one", "", 0) for i in range(3000)]
+    mix = mixing.Mix(total_share=0.5)
+    narrow = mixing._narrow(spark.createDataFrame(rows, SCHEMA), mix)
+    inside = narrow.selectExpr(
+        "source AS named", "'0' AS bucket", "0L AS before", "13500.0D AS rest", "*"
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        dealt = inside.repartitionByRange("named", "order_key", "row")
+        sizes = Counter(r.p for r in dealt.selectExpr("spark_partition_id() AS p").collect())
+        assert len(sizes) > 1 and max(sizes.values()) < 1500
+        got = mixing._last_taken(inside).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(got) == 1 and got[0].n_last == got[0].n_equal == 1
+    assert narrow.where(f"order_key <= '{got[0].last_key}'").count() == 1500
