@@ -166,6 +166,9 @@ def training_summary(prepared: DataFrame, settings: Settings = DEFAULTS) -> Data
 #: Column that marks the rows which decide how many trees are kept.
 _HELD_OUT = "__held_out"
 
+#: Rows of one part of the tree input, which one task keeps as objects.
+_MOST_PER_PART = 2_000_000
+
 
 def fit_trees(
     vectors: DataFrame, settings: Settings = DEFAULTS, most_values: int = 0
@@ -219,17 +222,29 @@ class DelayModel:
         )
 
 
+def tree_parts(rows: int, cores: int) -> int:
+    """Parts of the tree input: one per core, of at most ``_MOST_PER_PART`` rows."""
+    return max(cores, math.ceil(rows / _MOST_PER_PART))
+
+
 def fit_model(train: DataFrame, settings: Settings = DEFAULTS) -> DelayModel:
     """Fit feature stages and trees on prepared training rows only.
 
     The source is read twice: once for the categories, once for the vectors,
     which are kept (on disk where memory is short) while Spark ML looks at them
     for their size, their split points and the tree input.
+
+    Trees take some twenty short jobs each, every one of them a task and a set of
+    histograms per part of the input. The parts are therefore as few as there are
+    cores, and more only where they would grow too large.
     """
     labelled = train.where(F.col(settings.label).isNotNull())
     features = fit_features(labelled, settings)
-    # parts of even size, however the rows are laid out: every tree waits for the largest
-    vectors = features.transform(labelled.hint("rebalance"))
+    # parts of even size, however the rows are laid out: every tree waits for the largest;
+    # by a hash of what the rows hold, as dealing them out in turn would sort them first
+    inputs = {*settings.categorical, *settings.numeric, settings.split_key, settings.label}
+    by = [c for c in labelled.columns if c in inputs]
+    vectors = features.transform(labelled.hint("rebalance", *by))
     columns = [F.col("features"), F.col(settings.label)]
     if settings.validation_percent:
         # another hash than the split's, so that both are independent
@@ -238,7 +253,9 @@ def fit_model(train: DataFrame, settings: Settings = DEFAULTS) -> DelayModel:
     most = max((len(v) for v in category_labels(features, settings).values()), default=0) + 1
     kept = vectors.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        trees = fit_trees(kept, settings, most if settings.encoding == "index" else 0)
+        parts = tree_parts(kept.count(), kept.sparkSession.sparkContext.defaultParallelism)
+        few = kept.coalesce(parts)
+        trees = fit_trees(few, settings, most if settings.encoding == "index" else 0)
     finally:
         kept.unpersist()
     return DelayModel(features, trees)

@@ -167,3 +167,21 @@ def test_model_survives_saving_when_binned(spark, prepared, tmp_path):
     loaded = learning.DelayModel.load(str(tmp_path / "f"), str(tmp_path / "t"))
     before, after = (sorted(tuple(r) for r in learning.scored_rows(m.score(prepared)).collect()) for m in (model, loaded))
     assert before == after
+
+
+def test_trees_take_as_few_parts_as_there_are_cores(spark, prepared, monkeypatch):
+    """Every tree runs some twenty jobs, each a task per part of its input."""
+    seen = {}
+
+    def record(vectors, *_):
+        seen["parts"], seen["rows"] = vectors.rdd.getNumPartitions(), vectors.count()
+
+    monkeypatch.setattr(learning, "fit_trees", record)
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        learning.fit_model(prepared, SMALL)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert seen == {"parts": spark.sparkContext.defaultParallelism, "rows": prepared.count()}
+    assert learning.tree_parts(10, 12) == 12
+    assert learning.tree_parts(156_000_000, 12) == 78
