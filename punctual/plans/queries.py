@@ -91,7 +91,7 @@ def feed_cap(spark, sf_dir):
     path = scratch_folder(spark, "cap-csv")
     # one file per range of the id, so that name order is known
     ranged = flights_table(spark, sf_dir).repartitionByRange("flight_id")
-    files.write_flights_csv(ranged.sortWithinPartitions(*COLUMNS), path)
+    files.write_flights_csv(ranged.sortWithinPartitions(*COLUMNS), path, compression="gzip")
     capped = feed.keyed_records(files.read_feed_csv(spark, path), max_records=1000)
     return capped.select("key", F.get_json_object("value", "$.flight_id").alias("flight_id"))
 

@@ -71,7 +71,9 @@ def capped(df: DataFrame, most: int) -> DataFrame:
 
     Rows are counted per split; a table of one row per split sums up how many lie
     ahead of it. Each split then keeps its part of the cap: no row moves, and
-    nothing is collected. Only the splits that keep rows are looked up.
+    nothing is collected. Only the splits that keep rows are looked up, in a table
+    of at most one row per split that goes to all tasks: joined otherwise, every
+    row would be shuffled before the size of that table is known.
     """
     rows = _positions(df)
     per_split = rows.groupBy("__file", "__start").agg(
@@ -88,7 +90,8 @@ def capped(df: DataFrame, most: int) -> DataFrame:
         )
     )
     mine = (F.col("__file") == F.col("__of_file")) & (F.col("__start") == F.col("__of_start"))
-    return rows.join(quotas, mine).where(F.col("__place") < F.col("__stop")).select(*df.columns)
+    kept = rows.join(F.broadcast(quotas), mine)
+    return kept.where(F.col("__place") < F.col("__stop")).select(*df.columns)
 
 
 def kafka_source_options(

@@ -62,8 +62,10 @@ def stream_feed_csv(
     return _filled(spark.readStream.schema(schema).options(**chosen).csv(folder))
 
 
-def write_flights_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).options(**_CSV).csv(path)
+def write_flights_csv(
+    df: DataFrame, path: str, mode: str = "errorifexists", **options: str
+) -> None:
+    df.write.mode(mode).options(**{**_CSV, **options}).csv(path)
 
 
 def read_flights_parquet(spark: SparkSession, path: str) -> DataFrame:

@@ -255,3 +255,14 @@ def test_a_replayed_batch_is_written_once(spark, tmp_path):
     ledger.write({"rows": spark.range(3, 6)}, 1)
     spark.range(9).write.parquet(ledger._data(2, "rows"))
     assert sorted(r.id for r in ledger.read().collect()) == [0, 1, 2, 3, 4, 5]
+
+
+def test_cap_moves_no_row(spark, tmp_path):
+    """The counts per split are shuffled, the rows are not, whatever Spark knows of sizes."""
+    path = str(tmp_path / "rows")
+    spark.range(1000).repartition(4).write.parquet(path)
+    capped = feed.capped(spark.read.parquet(path), 700)
+    plan = capped._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    assert "BroadcastHashJoin" in plan
+    assert capped.count() == 700
