@@ -22,6 +22,10 @@ DELIVERY = {
     "kafka.linger.ms": "10",
 }
 
+# The file twin packs well, as every message repeats its field names,
+# and its row groups are small, so that a batch of few files is read by many tasks.
+FILE_TWIN = {"compression": "zstd", "parquet.block.size": str(8 * 1024 * 1024)}
+
 # Fixed value: key of records that have no origin column.
 UNKNOWN_KEY = "UNKNOWN"
 
@@ -185,6 +189,6 @@ def send_records(
     if kind == "kafka":
         records.write.format("kafka").options(**kafka_sink_options(settings)).save()
     elif kind == "files":
-        records.write.mode("append").parquet(path)
+        records.write.mode("append").options(**FILE_TWIN).parquet(path)
     else:
         raise ValueError(f"unknown kind of feed: {kind}")

@@ -266,3 +266,17 @@ def test_cap_moves_no_row(spark, tmp_path):
     assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
     assert "BroadcastHashJoin" in plan
     assert capped.count() == 700
+
+
+def test_file_twin_is_read_by_many_tasks(spark, tmp_path):
+    """A file of the feed has row groups that several tasks can share."""
+    import pyarrow.parquet as pq
+
+    path = tmp_path / "feed"
+    value = F.concat_ws(" ", *[F.sha2(F.concat(F.col("id").cast("string"), F.lit(str(i))), 512) for i in range(8)])
+    rows = spark.range(30_000).select(F.lit("k").alias("key"), value.alias("value")).coalesce(1)
+    feed.send_records(rows, "files", str(path))
+    (file,) = path.glob("*.parquet")
+    found = pq.ParquetFile(file)
+    assert found.metadata.num_row_groups > 1 and found.metadata.num_rows == 30_000
+    assert found.metadata.row_group(0).column(1).compression == "ZSTD"
