@@ -508,8 +508,16 @@ def _split_facts(sides: tuple[DataFrame, DataFrame]) -> DataFrame:
     )
 
 
+# Rows of the flight table for one task that keeps and sorts ids.
+_IDS_PER_PART = 500_000
+
+
 def _ids(spark, sf_dir) -> DataFrame:
-    return flights_table(spark, sf_dir).select("flight_id").distinct()
+    """Distinct ids in parts of a bounded number of flights. Adaptive execution
+    would merge parts up to so many compressed bytes, and ids compress well."""
+    flights = flights_table(spark, sf_dir)
+    parts = max(spark.sparkContext.defaultParallelism, flights.count() // _IDS_PER_PART + 1)
+    return flights.select("flight_id").repartition(parts, "flight_id").distinct()
 
 
 @_query

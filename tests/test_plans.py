@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from punctual.operators import analytics, features
 from punctual.plans import flights
+from punctual.plans import queries as registered
 from punctual.plans.flights import flights_from_lines, flights_table, read_table
 from punctual.plans.queries import queries
 
@@ -97,3 +98,15 @@ def test_flight_table_is_dealt_by_hash_before_flights_are_made(spark, small, mon
     assert set(lines.columns) == {*flights._LINE_COLUMNS, "p_brand"}
     plan = lines._jdf.queryExecution().optimizedPlan().toString()
     assert plan.startswith("RebalancePartitions [l_orderkey")
+
+
+def test_ids_of_a_split_lie_in_parts_of_bounded_size(spark, small, monkeypatch):
+    """Not merged by their compressed bytes; the whole table is still there once."""
+    monkeypatch.setattr(registered, "_IDS_PER_PART", 100)
+    n = flights_table(spark, small).count()
+    ids = registered._ids(spark, small)
+    sizes = ids.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"))
+    assert ids.count() == ids.distinct().count() == n
+    assert sizes.agg(F.max("n")).first()[0] < 200
+    facts = registered._split_facts(registered.learning.random_split(ids)).first()
+    assert (facts.n, facts.n_on_both, facts.share_holds) == (n, 0, True)
