@@ -789,7 +789,9 @@ def stream_recover(spark, sf_dir):
 def _damaged(spark, sf_dir) -> DataFrame:
     """The feed with messages cut off, no JSON, no object, and missing."""
     records = feed.keyed_records(flights_table(spark, sf_dir))
-    carrier = F.get_json_object("value", "$.carrier")
+    # a column of its own: as an expression each branch below would parse the message again
+    records = records.withColumn("carrier", F.get_json_object("value", "$.carrier"))
+    carrier = F.col("carrier")
     value = (
         F.when(carrier == "Brand#11", F.substring("value", 1, 40))
         .when(carrier == "Brand#12", F.concat(F.lit("no json: "), F.substring("value", 15, 20)))

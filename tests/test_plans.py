@@ -100,6 +100,11 @@ def test_flight_table_is_dealt_by_hash_before_flights_are_made(spark, small, mon
     assert plan.startswith("RebalancePartitions [l_orderkey")
 
 
+def test_damaged_messages_are_parsed_once(spark, small):
+    plan = registered._damaged(spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("get_json_object") == 1
+
+
 def test_ids_of_a_split_lie_in_parts_of_bounded_size(spark, small, monkeypatch):
     """Not merged by their compressed bytes; the whole table is still there once."""
     monkeypatch.setattr(registered, "_IDS_PER_PART", 100)
