@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from punctual.operators import metrics
+from punctual.operators import boosting, metrics
 from punctual.operators.features import delay_status, prepare
 from punctual.schema import SCORED_COLUMNS
 from punctual.session import ensure_checkpoint_dir
@@ -171,12 +171,16 @@ _MOST_PER_PART = 2_000_000
 
 
 def fit_trees(
-    vectors: DataFrame, settings: Settings = DEFAULTS, most_values: int = 0
+    vectors: DataFrame,
+    settings: Settings = DEFAULTS,
+    most_values: int = 0,
+    drawn: DataFrame | None = None,
 ) -> GBTClassificationModel:
     """Gradient-boosted trees on assembled rows. A nominal slot needs a bin for
-    each of its at most ``most_values`` values.
+    each of its at most ``most_values`` values; the limits of numeric slots come
+    from the ``drawn`` rows, if given.
 
-    Residuals are checkpointed every few trees, so that the lineage of a long
+    Margins are checkpointed every few trees, so that the lineage of a long
     run stays short and a lost executor recomputes little. Rows marked as held
     out, if there is such a column, are not learned from: ``trees`` is then an
     upper bound, and boosting ends where the loss on them stops to fall.
@@ -197,7 +201,7 @@ def fit_trees(
         booster.setValidationIndicatorCol(_HELD_OUT)
         booster.set(booster.validationTol, settings.validation_tolerance)
         columns.append(_HELD_OUT)
-    return booster.fit(vectors.select(*columns))
+    return boosting.fit(booster, vectors.select(*columns), drawn, tree_parts)
 
 
 @dataclass(frozen=True)
@@ -230,35 +234,32 @@ def tree_parts(rows: int, cores: int) -> int:
 def fit_model(train: DataFrame, settings: Settings = DEFAULTS) -> DelayModel:
     """Fit feature stages and trees on prepared training rows only.
 
-    The source is read twice: once for the categories, once for the vectors,
-    which are kept (on disk where memory is short) while Spark ML looks at them
-    for their size, their split points and the tree input.
-
-    Trees take some twenty short jobs each, every one of them a task and a set of
-    histograms per part of the input. The parts are therefore as few as there are
-    cores, and more only where they would grow too large.
+    The source is read for the categories, for its number of rows, for the limits of
+    numeric slots (Spark ML's number of rows, drawn before they become vectors) and
+    for the packed rows, which the trees keep. Rows move, by a hash of what they
+    hold, only where they lie in fewer parts than there are cores.
     """
     labelled = train.where(F.col(settings.label).isNotNull())
     features = fit_features(labelled, settings)
-    # parts of even size, however the rows are laid out: every tree waits for the largest;
-    # by a hash of what the rows hold, as dealing them out in turn would sort them first
-    inputs = {*settings.categorical, *settings.numeric, settings.split_key, settings.label}
-    by = [c for c in labelled.columns if c in inputs]
-    vectors = features.transform(labelled.hint("rebalance", *by))
     columns = [F.col("features"), F.col(settings.label)]
     if settings.validation_percent:
         # another hash than the split's, so that both are independent
         draw = F.pmod(F.xxhash64(settings.split_key, F.lit("held out")), F.lit(100))
         columns.append((draw < settings.validation_percent).alias(_HELD_OUT))
-    most = max((len(v) for v in category_labels(features, settings).values()), default=0) + 1
-    kept = vectors.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        parts = tree_parts(kept.count(), kept.sparkSession.sparkContext.defaultParallelism)
-        few = kept.coalesce(parts)
-        trees = fit_trees(few, settings, most if settings.encoding == "index" else 0)
-    finally:
-        kept.unpersist()
-    return DelayModel(features, trees)
+    values = max((len(v) for v in category_labels(features, settings).values()), default=0) + 1
+    most = values if settings.encoding == "index" else 0
+
+    # twice as many, as some are held out and some lack a number
+    rows, wanted = labelled.count(), 2 * boosting.sampled_rows(max(32, most))
+    some = labelled if rows <= wanted else labelled.sample(False, wanted / rows, settings.seed)
+    cores = labelled.sparkSession.sparkContext.defaultParallelism
+    if labelled.rdd.getNumPartitions() < cores:
+        inputs = {*settings.categorical, *settings.numeric, settings.split_key, settings.label}
+        even = labelled.repartition(cores, *[c for c in labelled.columns if c in inputs])
+    else:
+        even = labelled.coalesce(cores)
+    vectors, drawn = (features.transform(d).select(*columns) for d in (even, some))
+    return DelayModel(features, fit_trees(vectors, settings, most, drawn))
 
 
 def scored_rows(scored: DataFrame) -> DataFrame:
