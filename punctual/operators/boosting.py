@@ -53,6 +53,12 @@ BLOCK_ROWS = 1 << 18
 #: Rows of one block as it is stored: short enough to be dealt out evenly.
 _PACKED_ROWS = 1 << 14
 
+#: Bytes of one block, which bound its rows where there are very many slots.
+_BLOCK_BYTES = 16 << 20
+
+#: Bytes of the histograms of one task: nodes beyond that are left to another job.
+_HISTOGRAM_BYTES = 64 << 20
+
 #: Bins of several slots share a code while it has at most so many values.
 CODE_VALUES = 1024
 
@@ -134,6 +140,17 @@ class Layout:
             codes[self.group[slot]] += (bins * self.stride[slot]).astype(kind)
         return codes
 
+    @property
+    def most_rows(self) -> int:
+        """Rows of a block: codes, label and margin of each."""
+        kind = 2 if max(self.sizes) <= 1 << 16 else 4
+        return max(1, min(BLOCK_ROWS, _BLOCK_BYTES // (kind * len(self.sizes) + 9)))
+
+    @property
+    def most_nodes(self) -> int:
+        """Nodes that one job counts."""
+        return max(1, _HISTOGRAM_BYTES // (16 * max(sum(self.sizes), int(self.starts[-1]))))
+
     def bin_of(self, slot: int) -> np.ndarray:
         """The slot's bin for each value of its code."""
         code = np.arange(self.sizes[self.group[slot]])
@@ -392,7 +409,7 @@ def _packed(
     return rows.mapInArrow(blocks, "n long, body binary")
 
 
-def _dealt(stored: DataFrame, parts: int) -> RDD:
+def _dealt(stored: DataFrame, parts: int, block_rows: int) -> RDD:
     """Stored blocks in parts of about equally many rows, joined to long blocks."""
 
     def numbered(part: int, rows: Iterable) -> Iterator[tuple[int, bytes]]:
@@ -410,7 +427,7 @@ def _dealt(stored: DataFrame, parts: int) -> RDD:
         for _, body in bodies:
             found.append(pickle.loads(body))
             kept += sum(len(side[1]) for side in found[-1][:2])
-            if kept >= BLOCK_ROWS:
+            if kept >= block_rows:
                 yield block()
                 found, kept = [], 0
         if found:
@@ -528,7 +545,14 @@ def _grown(blocks: RDD, root: np.ndarray, codes_of: Layout, depth: int, first: b
             break
         parents = [nodes[i] for i in split]
         smaller = [tree.smaller(p) for p in parents]
-        part = _added(blocks.mapPartitions(_counting(codes_of, tree, smaller, first, scale)))
+        most = codes_of.most_nodes
+        part = np.concatenate(
+            [
+                _added(blocks.mapPartitions(_counting(codes_of, tree, smaller[i : i + most], first, scale)))
+                for i in range(0, len(smaller), most)
+            ],
+            axis=1,
+        )
         other = np.stack([counts[split], sums[split]]) - part
         larger = [tree.left[p] + tree.right[p] - s for p, s in zip(parents, smaller)]
         open_ = [i for i, node in enumerate(smaller + larger) if tree.rows[node] > 1]
@@ -602,7 +626,8 @@ def fit(
 
     # stored, as an executor lost later would otherwise pack its rows in another order
     path, cores = scratch_folder(spark, "packed"), spark.sparkContext.defaultParallelism
-    packed = _packed(vectors, features, label, held, codes_of, _PACKED_ROWS)
+    most_rows = codes_of.most_rows
+    packed = _packed(vectors, features, label, held, codes_of, min(_PACKED_ROWS, most_rows))
     packed.write.option("compression", "zstd").parquet(path)
     stored = spark.read.schema(packed.schema).parquet(path)
     n = stored.agg(F.sum("n")).first()[0]
@@ -610,7 +635,7 @@ def fit(
     scale = 2.0 ** (50 - math.ceil(math.log2(n + 1)))
     # whole rounds of tasks
     rounds = math.ceil(parts(n, cores) / cores)
-    blocks = _dealt(stored, rounds * cores).persist(StorageLevel.MEMORY_AND_DISK)
+    blocks = _dealt(stored, rounds * cores, most_rows).persist(StorageLevel.MEMORY_AND_DISK)
     fitted, kept, best, saved = [], 0, math.inf, None
     shape = (2, 1, int(codes_of.starts[-1]))
     size = math.prod(shape)

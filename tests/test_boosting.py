@@ -31,7 +31,7 @@ def _rows(spark, n=4000, nominal=True):
 
 
 def _booster(**more):
-    return GBTClassifier(labelCol="y", **({"maxIter": 6, "maxDepth": 4, "seed": 1} | more))
+    return GBTClassifier(labelCol="y", **({"maxIter": 3, "maxDepth": 4, "seed": 1} | more))
 
 
 def _chances(model, rows):
@@ -92,6 +92,14 @@ def test_same_trees_at_any_partitioning(spark, parts):
     assert _chances(boosting.fit(_booster(), dealt, dealt, lambda n, cores: parts), rows) == expected
 
 
+def test_same_trees_when_nodes_and_rows_are_counted_in_steps(spark, monkeypatch):
+    rows = _rows(spark)
+    expected = _chances(boosting.fit(_booster(), rows), rows)
+    monkeypatch.setattr(boosting, "_HISTOGRAM_BYTES", 1)
+    monkeypatch.setattr(boosting, "_BLOCK_BYTES", 3000)
+    assert _chances(boosting.fit(_booster(), rows), rows) == expected
+
+
 def test_checkpoints_are_removed(spark):
     found = boosting.fit(_booster(maxIter=5, checkpointInterval=2), _rows(spark))
     assert found.getNumTrees == 5
